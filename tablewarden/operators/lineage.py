@@ -19,42 +19,44 @@ CRITICAL_TAGS = ["PII", "Confidential", "BusinessCritical"]
 INPUT, OUTPUT, BOTH = "INPUT", "OUTPUT", "BOTH"
 
 
-def build_edges(process_io: DataFrame) -> DataFrame:
-    """Directed edges dataset -> process for inputs, process -> dataset for outputs."""
+def build_edges(process_io: DataFrame, unique: bool = False) -> DataFrame:
+    """Directed edges dataset -> process for inputs, process -> dataset for outputs.
+
+    ``unique`` says that no row of ``process_io`` is repeated, which saves the shuffle.
+    """
     is_input = F.col("direction") == "input"
-    return process_io.select(
+    edges = process_io.select(
         F.when(is_input, F.col("dataset_guid")).otherwise(F.col("process_guid")).alias("src_guid"),
         F.when(is_input, F.col("process_guid")).otherwise(F.col("dataset_guid")).alias("dst_guid"),
-    ).distinct()
+    )
+    return edges if unique else edges.distinct()
 
 
 def _walk(edges: DataFrame, seeds: DataFrame, depth: int | None, forward: bool) -> DataFrame:
     """Breadth-first walk from all seeds at once, the least hop per (labels, guid).
 
     ``seeds`` has a ``guid`` and label columns that travel along. Each hop joins only the
-    nodes found by the hop before, drops those seen already, and is written to the shared
+    nodes found by the hop before, and one aggregate over these and all nodes seen so far
+    both removes repeats and drops known nodes. The new nodes are written to the shared
     folder. So cycles end, paths do not multiply, plans stay short, a lost executor costs
     at most the current hop, and the size of a written frontier decides whether the next
     join broadcasts it. A node with very many edges is a hot join key; adaptive execution
     splits its partition.
     """
     here, there = ("src_guid", "dst_guid") if forward else ("dst_guid", "src_guid")
-    keys = [c for c in seeds.columns if c != "guid"] + ["guid"]
+    labels = [c for c in seeds.columns if c != "guid"]
+    keys = [*labels, "guid"]
     steps = edges.select(F.col(here).alias("guid"), F.col(there).alias("next_guid"))
-    frontier = materialize(
-        seeds.select(*keys).distinct().withColumn("hop", F.lit(0)), "frontier"
-    )
+    start = seeds.select(*keys).distinct().withColumn("hop", F.lit(0))
+    frontier = materialize(start, "frontier")
     paths, seen, hop = frontier.paths, frontier.frame, 0
     while frontier.rows and (depth is None or hop < depth):
         hop += 1
-        reached = (
-            frontier.frame.join(steps, "guid")
-            .select(*keys[:-1], F.col("next_guid").alias("guid"))
-            .distinct()
-            .join(seen.drop("hop"), keys, "left_anti")
-            .select(*keys, F.lit(hop).alias("hop"))
+        reached = frontier.frame.join(steps, "guid").select(
+            *labels, F.col("next_guid").alias("guid"), F.lit(hop).alias("hop")
         )
-        frontier = materialize(reached, "frontier")
+        known = seen.unionByName(reached).groupBy(*keys).agg(F.min("hop").alias("hop"))
+        frontier = materialize(known.filter(F.col("hop") == hop), "frontier")
         if frontier.rows:
             paths += frontier.paths
             seen = read_written(edges.sparkSession, paths, seen)
