@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.operators.entities import dataset_entities
 
+# Fixed value: columns of a listing of files.
+FILE_LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def ingest_new_files(
     spark: SparkSession,
@@ -49,34 +51,29 @@ def ingest_new_files(
 def register_new_files(
     spark: SparkSession,
     source: str,
-    schema: T.StructType,
     target: str,
     checkpoint: str,
-    source_format: str = "parquet",
-    source_options: dict[str, str] | None = None,
+    file_format: str,
+    name_pattern: str = "*",
 ) -> DataFrame:
-    """File entities of all new files, one folder per batch under ``target``.
+    """Append one file entity per new file to ``target`` and return the target.
 
-    A batch that is run again replaces its own folder, and a file belongs to one batch
-    only, so the result is the same however often a batch is tried.
+    Only paths and times are read, never the contents. A file gives one row, so nothing
+    has to be made distinct and no state is kept.
     """
     files = (
-        spark.readStream.format(source_format)
-        .schema(schema)
-        .options(**(source_options or {}))
+        spark.readStream.format("binaryFile")
+        .schema(FILE_LISTING)
+        .option("pathGlobFilter", name_pattern)
         .load(source)
-        .select(F.col("_metadata.file_path").alias("path"))
     )
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        entities = dataset_entities(batch.distinct(), "path", source_format.upper())
-        entities.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-
+    out = dataset_entities(files, "path", file_format, create_time="modificationTime")
     query = (
-        files.writeStream.foreachBatch(write_batch)
+        out.writeStream.format("parquet")
+        .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(target).drop("batch")
+    return spark.read.schema(out.schema).parquet(target)
