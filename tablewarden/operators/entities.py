@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions import naming, times
@@ -66,17 +66,13 @@ def bulk_batch(*batches: DataFrame) -> DataFrame:
 def first_by_key(entities: DataFrame) -> DataFrame:
     """The earliest entity per (type_name, qualified_name).
 
-    An aggregate and not a window: each task keeps one row per key before the shuffle, so
-    a key that is repeated in a large share of the rows stays cheap.
+    Rank 1 of a window is kept per task before the shuffle (a window group limit), so a
+    key that is repeated in a large share of the rows stays cheap.
     """
-    others = [c for c in entities.columns if c not in ("type_name", "qualified_name")]
-    order = F.struct("create_time", "guid", "name", "owner", "description")
-    return (
-        entities.groupBy("type_name", "qualified_name")
-        .agg(F.min_by(F.struct(*others), order).alias("kept"))
-        .select("type_name", "qualified_name", "kept.*")
-        .select(*entities.columns)
+    first = Window.partitionBy("type_name", "qualified_name").orderBy(
+        "create_time", "guid", "name", "owner", "description"
     )
+    return entities.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
 def new_entities(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.functions.casts import lenient_cast
+
 
 class DataQualityError(ValueError):
     """A table does not have the shape or the keys a job needs."""
@@ -101,7 +103,10 @@ def quality_metrics(df: DataFrame, rules: MetricRules, run_date: date | str) ->
         )
 
     present = [F.col(name).isNotNull() for name in rules.required]
-    typed = [F.col(name).try_cast(kind).isNotNull() for name, kind in rules.types.items()]
+    typed = [
+        lenient_cast(F.col(name), df.schema[name].dataType, kind).isNotNull()
+        for name, kind in rules.types.items()
+    ]
     metrics = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         share(present).alias("completeness"),
@@ -166,18 +171,18 @@ def _as_text(name: str, data_type: T.DataType) -> Column:
     return F.col(name).cast("string")
 
 
-def column_stats(df: DataFrame, distinct: bool = True) -> DataFrame:
+def column_stats(df: DataFrame, bounds: bool = True, distinct: bool = True) -> DataFrame:
     """One row per column: rows, NULLs, minimum, maximum, approximate distinct values.
 
     One scan and one aggregate whose state has a fixed size. Columns that have no order
-    get NULL bounds.
+    get NULL bounds. Without ``bounds`` and ``distinct`` only rows and NULLs are counted.
     """
     measures, rows = [F.count(F.lit(1)).alias("n_rows")], []
     for i, column in enumerate(df.schema):
         ordered = not isinstance(column.dataType, (T.ArrayType, T.MapType, T.StructType))
         value = F.col(f"`{column.name}`")
         measures.append(F.count_if(value.isNull()).alias(f"nulls_{i}"))
-        if ordered:
+        if ordered and bounds:
             measures += [F.min(value).alias(f"min_{i}"), F.max(value).alias(f"max_{i}")]
         if ordered and distinct:
             measures.append(F.approx_count_distinct(value).alias(f"distinct_{i}"))
@@ -186,9 +191,13 @@ def column_stats(df: DataFrame, distinct: bool = True) -> DataFrame:
             F.lit(column.name).alias("column_name"),
             F.lit(column.dataType.simpleString()).alias("data_type"),
             F.col(f"nulls_{i}").alias("n_nulls"),
-            (_as_text(f"min_{i}", column.dataType) if ordered else none).alias("min_value"),
-            (_as_text(f"max_{i}", column.dataType) if ordered else none).alias("max_value"),
         ]
+        if bounds:
+            low, high = (
+                _as_text(f"{end}_{i}", column.dataType) if ordered else none
+                for end in ("min", "max")
+            )
+            fields += [low.alias("min_value"), high.alias("max_value")]
         if distinct:
             count = F.col(f"distinct_{i}") if ordered else F.lit(None).cast("long")
             fields.append(count.alias("n_distinct"))

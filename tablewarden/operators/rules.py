@@ -16,6 +16,10 @@ def rules_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     return F.broadcast(frame) if len(rows) <= MAX_BROADCAST_RULES else frame
 
 
-def broadcast_if_short(df: DataFrame, max_rows: int = MAX_BROADCAST_RULES) -> DataFrame:
-    """``df`` marked for broadcast when a count, cut off at the bound, proves it short."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def is_short(df: DataFrame, max_rows: int = MAX_BROADCAST_RULES) -> bool:
+    """Whether a count, cut off at the bound, proves the table short enough to broadcast."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_short(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if is_short(df) else df

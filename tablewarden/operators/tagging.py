@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.operators.model import COLUMN_RULES
@@ -72,15 +72,12 @@ def tag_sets(classifications: DataFrame) -> DataFrame:
 def apply_business_metadata(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Last write per entity and group (guid, bm_name, attributes, written_at, seq) wins.
 
-    An aggregate and not a window, for the same reason as in ``first_by_key``.
+    Rank 1 is kept per task before the shuffle, as in ``first_by_key``.
     """
+    last = Window.partitionBy("guid", "bm_name").orderBy(F.desc("written_at"), F.desc("seq"))
     return (
         existing.unionByName(incoming, allowMissingColumns=True)
-        .groupBy("guid", "bm_name")
-        .agg(
-            F.max_by(
-                F.struct("attributes", "written_at", "seq"), F.struct("written_at", "seq")
-            ).alias("last")
-        )
-        .select("guid", "bm_name", "last.*")
+        .withColumn("_rank", F.row_number().over(last))
+        .filter("_rank = 1")
+        .drop("_rank")
     )

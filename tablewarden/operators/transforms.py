@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablewarden.functions.bands import employee_category, salary_band
+from tablewarden.functions.casts import lenient_cast
 from tablewarden.functions.times import processing_date
 
 # Fixed value: records of this age and below are dropped.
@@ -43,8 +44,10 @@ def filter_counts(df: DataFrame, condition: Column) -> DataFrame:
 
 def cast_employee(df: DataFrame) -> DataFrame:
     """Salary as double and age as int; text that is no number becomes NULL."""
+    types = {"salary": "double", "age": "int"}
+    schema = df.schema
     return df.withColumns(
-        {"salary": F.col("salary").try_cast("double"), "age": F.col("age").try_cast("int")}
+        {name: lenient_cast(F.col(name), schema[name].dataType, t) for name, t in types.items()}
     )
 
 
@@ -61,8 +64,12 @@ def transform_employees(df: DataFrame, run_date: date | str) -> DataFrame:
 
 def apply_mapping(df: DataFrame, mapping: list[tuple[str, str, str | None]]) -> DataFrame:
     """Project by mapping rows (source expression, target column, target type or None)."""
-    columns = []
-    for expression, target, target_type in mapping:
-        column = F.expr(expression)
-        columns.append((column.try_cast(target_type) if target_type else column).alias(target))
-    return df.select(*columns)
+    mapped = df.select(*[F.expr(expression).alias(target) for expression, target, _ in mapping])
+    schema = mapped.schema
+    typed = []
+    for _, target, target_type in mapping:
+        column = F.col(target)
+        if target_type:
+            column = lenient_cast(column, schema[target].dataType, target_type).alias(target)
+        typed.append(column)
+    return mapped.select(*typed)

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewarden.operators.rules import broadcast_if_short
+from tablewarden.functions.casts import lenient_cast
+from tablewarden.operators.rules import broadcast_if_short, is_short
+
+_ATTR_FIELDS = ["attribute", "attr_type", "is_optional", "min_count", "max_count", "enum_values"]
 
 # Attribute types and the Spark types their text is cast to.
 _SPARK_TYPES = {"int": "int", "long": "bigint", "float": "float", "double": "double", "boolean": "boolean", "date": "date"}
@@ -14,13 +18,11 @@ _SPARK_TYPES = {"int": "int", "long": "bigint", "float": "float", "double": "dou
 def _type_rows(type_defs: DataFrame) -> DataFrame:
     """One row per type with its attribute definitions as an array."""
     attr = F.struct(
-        "attr_name",
+        F.col("attr_name").alias("attribute"),
         "attr_type",
         "is_optional",
-        "cardinality",
         "min_count",
         "max_count",
-        "is_unique",
         "enum_values",
     )
     return type_defs.groupBy("type_name").agg(
@@ -28,78 +30,80 @@ def _type_rows(type_defs: DataFrame) -> DataFrame:
     )
 
 
-def _is_castable(value: Column, kind: Column) -> Column:
-    """Whether the text can be read as the attribute type; unknown types accept any."""
-    ok = F.lit(True)
+def _is_castable() -> Column:
+    """Whether ``value`` can be read as its attribute type; unknown types accept any."""
+    value, kind = F.col("value"), F.col("attr_type")
+    ok = F.when(kind == "string", True).when(kind == "array<string>", F.col("members").isNotNull())
     for name, spark_type in _SPARK_TYPES.items():
-        ok = F.when(kind == name, value.try_cast(spark_type).isNotNull()).otherwise(ok)
-    return F.when(
-        kind == "array<string>", F.from_json(value, "array<string>").isNotNull()
-    ).otherwise(ok)
+        ok = ok.when(kind == name, lenient_cast(value, T.StringType(), spark_type).isNotNull())
+    return ok.otherwise(True)
+
+
+def _kind() -> Column:
+    """Name of the first rule that an attribute breaks, NULL when it breaks none."""
+    value, enum, members = F.col("value"), F.col("enum_values"), F.col("members")
+    outside = F.when(members.isNotNull(), F.size(F.array_except(members, enum)) > 0).otherwise(
+        ~F.array_contains(enum, value)
+    )
+    miscounted = (F.size(members) > F.col("max_count")) | (F.size(members) < F.col("min_count"))
+    return (
+        F.when(~F.col("known"), "unknown_type")
+        .when(value.isNull(), F.when(~F.col("is_optional"), "missing_required"))
+        .when(~_is_castable(), "wrong_type")
+        .when(enum.isNotNull() & outside, "not_in_enum")
+        .when(members.isNotNull() & miscounted, "cardinality")
+    )
 
 
 def validate_entities(entities: DataFrame, type_defs: DataFrame) -> DataFrame:
     """Violations of the type definitions: guid, type_name, attribute, kind, value, n.
 
     Kinds: ``unknown_type``, ``missing_required``, ``not_in_enum``, ``wrong_type``,
-    ``cardinality`` and ``duplicate_unique``. The first five are found row by row beside
-    a join with one row per type; only violations leave that step. Array attributes are
-    JSON text. Unique values are counted per value before the shuffle, and a repeated
-    value gives one row with the number of entities that hold it.
+    ``cardinality`` and ``duplicate_unique``. The first five are found row by row: each
+    entity is joined with the one row of its type, unfolded into its attributes, and only
+    violations leave the task. Array attributes are JSON text. Unique values are counted
+    per value before the shuffle, and a repeated value gives one row with the number of
+    entities that hold it.
     """
-    types = broadcast_if_short(_type_rows(type_defs))
-    typed = entities.join(types, "type_name", "left")
-
-    def value_of(attr: Column) -> Column:
-        return F.col("attributes")[attr["attr_name"]]
-
-    def problems(attr: Column) -> Column:
-        value, kind = value_of(attr), attr["attr_type"]
-        given = value.isNotNull()
-        is_array = kind == "array<string>"
-        members = F.when(is_array, F.from_json(value, "array<string>")).otherwise(F.array(value))
-        enum = attr["enum_values"]
-        in_enum = F.size(F.array_except(members, enum)) == 0
-        count = F.size(members)
-        found = F.when(~given & ~attr["is_optional"], "missing_required")
-        found = found.when(given & ~_is_castable(value, kind), "wrong_type")
-        found = found.when(given & enum.isNotNull() & ~in_enum, "not_in_enum")
-        found = found.when(
-            given & is_array & ((count > attr["max_count"]) | (count < attr["min_count"])),
-            "cardinality",
-        )
+    small = F.broadcast if is_short(type_defs) else (lambda df: df)
+    types = small(_type_rows(type_defs))
+    typed = entities.select("guid", "type_name", "attributes").join(types, "type_name", "left")
+
+    def held(attr: Column) -> Column:
+        value = F.col("attributes")[attr["attribute"]]
+        is_array = attr["attr_type"] == "array<string>"
         return F.struct(
-            attr["attr_name"].alias("attribute"), found.alias("kind"), value.alias("value")
+            *[attr[name].alias(name) for name in _ATTR_FIELDS],
+            value.alias("value"),
+            F.when(is_array, F.from_json(value, "array<string>")).alias("members"),
         )
 
-    unknown = F.array(
-        F.struct(
-            F.lit(None).cast("string").alias("attribute"),
-            F.lit("unknown_type").alias("kind"),
-            F.lit(None).cast("string").alias("value"),
+    # The kind is unfolded from an array and not filtered as a column: a filter would be
+    # pushed below and evaluate the whole rule a second time.
+    by_row = (
+        typed.select(
+            "guid",
+            "type_name",
+            F.col("attrs").isNotNull().alias("known"),
+            F.inline_outer(F.transform("attrs", held)),
+        )
+        .select(
+            "guid",
+            "type_name",
+            "attribute",
+            F.explode(F.array_compact(F.array(_kind()))).alias("kind"),
+            "value",
         )
+        .withColumn("n", F.lit(1).cast("long"))
     )
-    checked = F.filter(F.transform("attrs", problems), lambda p: p["kind"].isNotNull())
-    by_row = typed.select(
-        "guid",
-        "type_name",
-        F.inline(F.when(F.col("attrs").isNull(), unknown).otherwise(checked)),
-    ).withColumn("n", F.lit(1).cast("long"))
-
-    unique_attrs = F.filter("attrs", lambda a: a["is_unique"])
-    held = typed.select(
-        "type_name",
-        F.inline(
-            F.transform(
-                unique_attrs,
-                lambda a: F.struct(
-                    a["attr_name"].alias("attribute"), value_of(a).alias("value")
-                ),
-            )
-        ),
+    unique_attrs = small(
+        type_defs.filter("is_unique").select("type_name", F.col("attr_name").alias("attribute"))
+    )
+    values = entities.join(unique_attrs, "type_name").select(
+        "type_name", "attribute", F.col("attributes")[F.col("attribute")].alias("value")
     )
     repeated = (
-        held.filter("value IS NOT NULL")
+        values.filter("value IS NOT NULL")
         .groupBy("type_name", "attribute", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
@@ -118,9 +122,9 @@ def validate_entities(entities: DataFrame, type_defs: DataFrame) -> DataFrame:
 def cardinality_violations(relationships: DataFrame, rel_defs: DataFrame) -> DataFrame:
     """Entities linked to several partners over an end that allows a single one.
 
-    Repeated links count once. Both steps aggregate before they shuffle.
+    Types without such an end are dropped first. Repeated links count once. Both steps
+    aggregate before they shuffle.
     """
-    links = relationships.select("rel_type", "end1_guid", "end2_guid").distinct()
     ends = F.array(
         F.struct(
             F.lit("end1").alias("rel_end"),
@@ -133,8 +137,11 @@ def cardinality_violations(relationships: DataFrame, rel_defs: DataFrame) -> Dat
             F.col("end2_cardinality").alias("cardinality"),
         ),
     )
+    limited = rel_defs.filter("end1_cardinality = 'SINGLE' OR end2_cardinality = 'SINGLE'")
     return (
-        links.join(broadcast_if_short(rel_defs), "rel_type")
+        relationships.join(broadcast_if_short(limited), "rel_type")
+        .select("rel_type", "end1_guid", "end2_guid", "end1_cardinality", "end2_cardinality")
+        .distinct()
         .select("rel_type", F.inline(ends))
         .filter("cardinality = 'SINGLE'")
         .groupBy("rel_type", "rel_end", "guid")

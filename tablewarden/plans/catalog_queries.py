@@ -9,6 +9,7 @@ from tablewarden.functions import documents as docs
 from tablewarden.functions import naming
 from tablewarden.operators import audit, columns, entities, relationships, tagging, validation
 from tablewarden.operators import search as searching
+from tablewarden.operators.lineage import build_edges
 from tablewarden.operators.model import RELATIONSHIP_DEFS
 from tablewarden.operators.quality import column_stats
 from tablewarden.operators.typedefs import ENTITY, Attr, TypeDef, list_types, register_types
@@ -18,7 +19,7 @@ from tablewarden.plans.views import (
     TAGS_SQL,
     catalog,
     customer_entities,
-    graph_edges,
+    graph_io,
     node,
     order_entities,
     part_entities,
@@ -64,7 +65,7 @@ def harvest_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in HARVESTED:
         df = table(spark, sf_dir, name)
         found = entities.harvest_schema(df, "bench", name).filter("type_name = 'hive_column'")
-        stats = column_stats(df, distinct=False)
+        stats = column_stats(df, bounds=False, distinct=False)
         parts.append(
             found.join(stats, found["name"] == stats["column_name"]).select(
                 "guid",
@@ -353,7 +354,9 @@ def catalog_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metadata_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = ["described", "owned", "tagged", "with_lineage"]
     found = audit.metadata_audit(
-        catalog(spark, sf_dir), tags(spark, sf_dir), graph_edges(spark, sf_dir)
+        catalog(spark, sf_dir),
+        tags(spark, sf_dir),
+        build_edges(graph_io(spark, sf_dir), unique=True),
     )
     return found.withColumns({name: F.round(name, 6) for name in shares})
 

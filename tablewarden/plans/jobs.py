@@ -24,9 +24,13 @@ from tablewarden.sources.files import read_csv, read_parquet, write_csv
 from tablewarden.sources.schemas import EMPLOYEE_COLUMNS, EMPLOYEE_SCHEMA, SAMPLE_SCHEMA
 from tablewarden.sources.tables import load_table
 
-# Names of the registered processes and the tag of employee data.
+# Names and descriptions of the registered processes and of the target
+# table, and the tag of employee data.
 TRANSFORM_PROCESS = "employee_data_transformation"
+TRANSFORM_TEXT = "Spark transformation to categorize employees and add derived columns"
 LOAD_PROCESS = "employee_data_loading"
+LOAD_TEXT = "Loading transformed employee data into the target table"
+TARGET_TEXT = "Employee master data with classifications"
 EMPLOYEE_TAG = "employee_data"
 
 # Tables of the sample graph with their columns and tags, and its processes.
@@ -136,7 +140,7 @@ def load_employees(
         db,
         name,
         store="rdbms",
-        description="Employee master data with classifications",
+        description=TARGET_TEXT,
         create_time=run_ts,
     )
     by_path = {
@@ -147,18 +151,8 @@ def load_employees(
     processes, io = register_runs(
         spark,
         [
-            (
-                TRANSFORM_PROCESS,
-                "Spark transformation to categorize employees and add derived columns",
-                [by_path[csv_path]],
-                [by_path[out_csv_path]],
-            ),
-            (
-                LOAD_PROCESS,
-                "Loading transformed employee data into the target table",
-                [by_path[out_csv_path]],
-                [table_guid],
-            ),
+            (TRANSFORM_PROCESS, TRANSFORM_TEXT, [by_path[csv_path]], [by_path[out_csv_path]]),
+            (LOAD_PROCESS, LOAD_TEXT, [by_path[out_csv_path]], [table_guid]),
         ],
         run_ts,
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tablewarden.functions.casts import lenient_cast
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header; columns are bound by header name, whatever their order.
@@ -18,7 +20,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
         return reader.option("inferSchema", True).csv(path)
     text = reader.csv(path)
     return text.select(
-        *[text[field.name].try_cast(field.dataType).alias(field.name) for field in schema]
+        *[
+            lenient_cast(text[f.name], T.StringType(), f.dataType.simpleString()).alias(f.name)
+            for f in schema
+        ]
     )
 
 

@@ -134,6 +134,8 @@ def test_upsert_of_a_hot_key(spark):
     )
     new = entities.entity_rows(hot, "type_name", "q", "n")
     merged = entities.upsert_entities(spark.createDataFrame([], ENTITIES), new)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
     assert merged.count() == 6001
     assert merged.filter("qualified_name = 'hot'").first().name == "0"
 

@@ -5,9 +5,11 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tablewarden.functions.casts import lenient_cast
 from tablewarden.operators import transforms as tr
 from tablewarden.plans.record_queries import EMPLOYEE_MAPPING
 
+# The ten rows of each record file.
 SAMPLE = [
     (1, "John Doe", 45, "Engineering", 85000),
     (2, "Jane Smith", 22, "Marketing", 62000),
@@ -115,6 +117,25 @@ def test_cast_of_text_is_lenient(spark):
     assert [tuple(r) for r in tr.cast_employee(df).collect()] == [(None, 1000.0), (41, None)]
 
 
+ODD_TEXT = [
+    "1", "-7", "+3", " 12 ", "\t5\n", "\x7f8", "1.5", ".5", "5.", ".", "", " ", "+", "1e3", "0x1", "x",
+    "2147483647", "2147483648", "9223372036854775807", "9223372036854775808", "5-LOW", "1 2",
+    "true", "T", " Yes ", "n", "0", "on", "tru", "\u0661", "\u20035", "--1", "1.x", None,
+]
+
+
+@pytest.mark.parametrize("target", ["int", "bigint", "smallint", "boolean", "double", "date"])
+def test_lenient_cast_is_try_cast(spark, target):
+    df = spark.createDataFrame([(t,) for t in ODD_TEXT], "t STRING")
+    source = df.schema["t"].dataType
+    both = df.select(
+        "t",
+        lenient_cast(F.col("t"), source, target).alias("a"),
+        F.col("t").try_cast(target).alias("b"),
+    )
+    assert both.filter("NOT (a <=> b)").collect() == []
+
+
 def test_transform_needs_no_shuffle(employees):
     plan = tr.transform_employees(employees, "2025-05-20")._jdf.queryExecution()
     assert "Exchange" not in plan.executedPlan().toString()
