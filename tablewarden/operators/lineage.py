@@ -122,16 +122,24 @@ def impact(
     The roots themselves are included when they carry such a tag.
     """
     reached = lineage(edges, roots, depth, OUTPUT).select("root", "guid", "hop")
-    critical = (
+    hits = (
         classifications.filter(F.col("classification").isin(tags))
         .select("guid", "classification")
+        .join(reached, "guid")
         .distinct()
     )
-    return (
-        reached.join(critical, "guid")
-        .join(entities.select("guid", "name", "type_name"), "guid", "left")
-        .select("root", "guid", "name", "type_name", "classification", "hop")
-    )
+    return hits.join(
+        _described(reached, entities).select("guid", "name", "type_name"), "guid", "left"
+    ).select("root", "guid", "name", "type_name", "classification", "hop")
+
+
+def _described(nodes: DataFrame, entities: DataFrame) -> DataFrame:
+    """The entities of some nodes.
+
+    A walk that found few nodes is broadcast here by its written size, so that the whole
+    catalog is filtered where it lies and only the few entities move.
+    """
+    return entities.join(nodes.select("guid"), "guid", "left_semi").select(*entities.columns)
 
 
 def propagate_tags(
@@ -160,7 +168,7 @@ def export_lineage(
     walked = lineage(edges, start, depth, BOTH)
     # Both walks hold the root, and a cycle may put a node into both.
     ids = walked.select("guid").distinct()
-    nodes = ids.join(entities, "guid", "left").select(
+    nodes = ids.join(_described(walked, entities), "guid", "left").select(
         F.col("guid").alias("id"),
         F.coalesce("name", F.lit("Unknown")).alias("label"),
         F.col("type_name").alias("type"),

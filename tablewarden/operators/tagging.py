@@ -19,14 +19,14 @@ def apply_classification(
     attributes: dict[str, str] | None = None,
     classifications: DataFrame | None = None,
 ) -> DataFrame:
-    """New tag rows for the entities the selector picks.
+    """New tag rows for the entities the selector picks, one row per entity row.
 
     Entities that already carry the tag in ``classifications`` are left out, so applying
     a tag twice changes nothing.
     """
     pairs = [F.lit(part) for pair in (attributes or {}).items() for part in pair]
     values = F.create_map(*pairs) if pairs else F.expr("map()")
-    picked = entities.filter(selector).select("guid").distinct()
+    picked = entities.filter(selector).select("guid")
     if classifications is not None:
         tagged = classifications.filter(F.col("classification") == tag)
         tagged = tagged.select("guid").distinct()

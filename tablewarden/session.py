@@ -17,15 +17,32 @@ SESSION_CONF = {
 }
 
 
+# Shuffle partitions start at about this size; adaptive execution merges smaller ones.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
 def build_session(
-    app_name: str = "tablewarden", master: str | None = None, **conf: str
+    app_name: str = "tablewarden",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **conf: str,
 ) -> SparkSession:
-    """Session with adaptive execution on; extra settings use ``__`` for dots."""
+    """Session with adaptive execution on; extra settings use ``__`` for dots.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to expect. Adaptive execution
+    merges partitions but never adds any, so a large job must start with enough of them
+    for each to fit in memory.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
+    if shuffle_bytes:
+        count = max(1, -(-shuffle_bytes // PARTITION_BYTES))
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count)
+        )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -8,6 +8,11 @@ from pyspark.sql import types as T
 from tablewarden.functions.casts import lenient_cast
 
 
+# Header line, quotes doubled inside quoted fields, and an error instead of a silent shift
+# of columns when the files of one folder have their columns in different orders.
+CSV_OPTIONS = {"header": "true", "escape": '"', "enforceSchema": "false"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header; columns are bound by header name, whatever their order.
 
@@ -15,7 +20,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     header name and a cast that cannot succeed gives NULL. Without one Spark infers the
     types, which reads the file twice.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**CSV_OPTIONS)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     text = reader.csv(path)
@@ -29,7 +34,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Folder of CSV part files with headers, written by the executors."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header="true", escape='"').csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablewarden.operators.entities import dataset_entities
+from tablewarden.sources.files import CSV_OPTIONS
 
 # Fixed value: columns of a listing of files.
 FILE_LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -32,6 +33,7 @@ def ingest_new_files(
     rows = (
         spark.readStream.format(source_format)
         .schema(schema)
+        .options(**(CSV_OPTIONS if source_format == "csv" else {}))
         .options(**(source_options or {}))
         .option("maxFilesPerTrigger", files_per_batch)
         .load(source)

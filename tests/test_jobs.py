@@ -125,7 +125,6 @@ def test_incremental_run_takes_each_file_once(spark, tmp_path):
             str(tmp_path / "progress"),
             filter_adults,
             "csv",
-            {"header": "true"},
         )
 
     csv(landing / "day1.csv", SAMPLE_HEADER, SAMPLE[:5])

@@ -42,6 +42,22 @@ def test_csv_binds_by_name(spark, tmp_path):
     assert files.read_csv(spark, str(path), EMPLOYEE_SCHEMA).columns == EMPLOYEE_SCHEMA.names
 
 
+def test_csv_of_quotes_commas_and_nulls(spark, tmp_path):
+    rows = [(1, 'say "hi", now'), (2, None), (3, "a,b"), (4, 'back\\slash')]
+    df = spark.createDataFrame(rows, "id INT, name STRING")
+    files.write_csv(df, str(tmp_path / "q"))
+    assert same(files.read_csv(spark, str(tmp_path / "q"), df.schema).na.fill("-"), df.na.fill("-"))
+    text = "".join(open(f).read() for f in glob.glob(str(tmp_path / "q" / "part-*")))
+    assert '"say ""hi"", now"' in text
+
+
+def test_csv_files_of_differing_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("name,id\ny,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        files.read_csv(spark, str(tmp_path), T.StructType.fromDDL("id INT, name STRING")).collect()
+
+
 def test_missing_source_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         files.read_csv(spark, str(tmp_path / "none.csv"), SAMPLE_SCHEMA)
