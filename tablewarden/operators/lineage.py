@@ -86,15 +86,17 @@ def lineage(
     return reduce(DataFrame.unionByName, walks)
 
 
-def lineage_counts(edges: DataFrame) -> DataFrame:
-    """Incoming and outgoing edges of every node, in one aggregate."""
+def lineage_counts(edges: DataFrame, guids: DataFrame | None = None) -> DataFrame:
+    """Incoming and outgoing edges of every node, or of the given ones, in one aggregate."""
     ends = F.array(
         F.struct(F.col("src_guid").alias("guid"), F.lit(0).alias("i"), F.lit(1).alias("o")),
         F.struct(F.col("dst_guid").alias("guid"), F.lit(1).alias("i"), F.lit(0).alias("o")),
     )
+    touched = edges.select(F.inline(ends))
+    if guids is not None:
+        touched = touched.join(guids.select("guid").distinct(), "guid", "left_semi")
     return (
-        edges.select(F.inline(ends))
-        .groupBy("guid")
+        touched.groupBy("guid")
         .agg(F.sum("i").alias("n_inputs"), F.sum("o").alias("n_outputs"))
     )
 

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from tablewarden.functions.casts import lenient_cast
 from tablewarden.operators.rules import broadcast_if_short, is_short
 
-_ATTR_FIELDS = ["attribute", "attr_type", "is_optional", "min_count", "max_count", "enum_values"]
-
 # Attribute types and the Spark types their text is cast to.
 _SPARK_TYPES = {"int": "int", "long": "bigint", "float": "float", "double": "double", "boolean": "boolean", "date": "date"}
 
@@ -39,19 +37,27 @@ def _is_castable() -> Column:
     return ok.otherwise(True)
 
 
-def _kind() -> Column:
-    """Name of the first rule that an attribute breaks, NULL when it breaks none."""
+def _kinds() -> Column:
+    """The first rule that an attribute breaks as an array of one name, else NULL.
+
+    An array, because unfolding it evaluates the rules once. A filter on a plain name would
+    be pushed below and evaluate them a second time.
+    """
     value, enum, members = F.col("value"), F.col("enum_values"), F.col("members")
     outside = F.when(members.isNotNull(), F.size(F.array_except(members, enum)) > 0).otherwise(
         ~F.array_contains(enum, value)
     )
     miscounted = (F.size(members) > F.col("max_count")) | (F.size(members) < F.col("min_count"))
+
+    def kind(name: str) -> Column:
+        return F.array(F.lit(name))
+
     return (
-        F.when(~F.col("known"), "unknown_type")
-        .when(value.isNull(), F.when(~F.col("is_optional"), "missing_required"))
-        .when(~_is_castable(), "wrong_type")
-        .when(enum.isNotNull() & outside, "not_in_enum")
-        .when(members.isNotNull() & miscounted, "cardinality")
+        F.when(~F.col("known"), kind("unknown_type"))
+        .when(value.isNull(), F.when(~F.col("is_optional"), kind("missing_required")))
+        .when(~_is_castable(), kind("wrong_type"))
+        .when(enum.isNotNull() & outside, kind("not_in_enum"))
+        .when(members.isNotNull() & miscounted, kind("cardinality"))
     )
 
 
@@ -68,32 +74,14 @@ def validate_entities(entities: DataFrame, type_defs: DataFrame) -> DataFrame:
     small = F.broadcast if is_short(type_defs) else (lambda df: df)
     types = small(_type_rows(type_defs))
     typed = entities.select("guid", "type_name", "attributes").join(types, "type_name", "left")
-
-    def held(attr: Column) -> Column:
-        value = F.col("attributes")[attr["attribute"]]
-        is_array = attr["attr_type"] == "array<string>"
-        return F.struct(
-            *[attr[name].alias(name) for name in _ATTR_FIELDS],
-            value.alias("value"),
-            F.when(is_array, F.from_json(value, "array<string>")).alias("members"),
-        )
-
-    # The kind is unfolded from an array and not filtered as a column: a filter would be
-    # pushed below and evaluate the whole rule a second time.
+    value = F.col("attributes")[F.col("attribute")]
+    is_array = F.col("attr_type") == "array<string>"
     by_row = (
-        typed.select(
-            "guid",
-            "type_name",
-            F.col("attrs").isNotNull().alias("known"),
-            F.inline_outer(F.transform("attrs", held)),
-        )
-        .select(
-            "guid",
-            "type_name",
-            "attribute",
-            F.explode(F.array_compact(F.array(_kind()))).alias("kind"),
-            "value",
-        )
+        typed.withColumn("known", F.col("attrs").isNotNull())
+        .select("guid", "type_name", "attributes", "known", F.inline_outer("attrs"))
+        .withColumn("value", value)
+        .withColumn("members", F.when(is_array, F.from_json("value", "array<string>")))
+        .select("guid", "type_name", "attribute", F.explode(_kinds()).alias("kind"), "value")
         .withColumn("n", F.lit(1).cast("long"))
     )
     unique_attrs = small(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,8 @@ from tablewarden.materialize import scratch_path
 from tablewarden.operators import quality, transforms
 from tablewarden.operators.quality import Check, MetricRules
 from tablewarden.plans.views import EMP_SQL, RUN_DATE, employees, table
-from tablewarden.sources.files import preview, read_csv, write_csv
+from tablewarden.sources import tables
+from tablewarden.sources.files import preview, read_csv, read_parquet, write_csv, write_parquet
 from tablewarden.streaming.ingest import ingest_new_files
 
 EMPLOYEE_MAPPING = [
@@ -193,6 +196,24 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema)
 
 
+def load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filtered records to Parquet, then to a table, then read from the table."""
+    files = scratch_path(spark, "adults")
+    write_parquet(transforms.filter_adults(employees(spark, sf_dir)), files)
+    name = f"default.adults_{uuid.uuid4().hex}"
+    return tables.load_table(read_parquet(spark, files), name, scratch_path(spark, "table"))
+
+
+def text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in a comma-delimited text table."""
+    name = f"default.text_{uuid.uuid4().hex}"
+    ddl = "id BIGINT, line INT, department STRING, salary DOUBLE"
+    tables.create_text_table(spark, name, ddl, location=scratch_path(spark, "text"))
+    rows = employees(spark, sf_dir).select("id", "line", "department", "salary")
+    rows.write.insertInto(name)
+    return spark.table(name)
+
+
 def daily_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transform as an incremental file stream over the line items."""
     schema = table(spark, sf_dir, "lineitem").schema
@@ -239,6 +260,8 @@ QUERIES = {
     "reconcile": reconcile,
     "epoch_times": epoch_times,
     "csv_round_trip": csv_round_trip,
+    "load_table": load_table,
+    "text_table": text_table,
     "daily_ingest": daily_ingest,
 }
 
@@ -344,5 +367,7 @@ SELECT *, missing_keys = 0 AND unexpected_keys = 0 AND uneven_keys = 0 AS reconc
   date_trunc('millisecond', ts) AS ts_millis, date_trunc('second', ts) AS ts_seconds,
   strftime(ts, '%Y%m%d%H%M%S') AS stamp FROM events""",
     "csv_round_trip": f"WITH {EMP_SQL} SELECT * FROM emp",
+    "load_table": f"WITH {EMP_SQL} SELECT * FROM emp WHERE age > 18",
+    "text_table": f"WITH {EMP_SQL} SELECT id, line, department, salary FROM emp",
     "daily_ingest": f"WITH {EMP_SQL} {TRANSFORM_SQL}",
 }

@@ -13,12 +13,18 @@ def ensure_database(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(db)}")
 
 
-def load_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as the managed table ``db.table``, replacing it, and return the table."""
+def load_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as the table ``db.table``, replacing it, and return the table.
+
+    The table is managed unless a path for its files is given.
+    """
     spark = df.sparkSession
-    db, _, table = name.rpartition(".")
+    db, _, _ = name.rpartition(".")
     ensure_database(spark, db or "default")
-    df.write.mode("overwrite").saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
     return spark.table(name)
 
 

@@ -92,6 +92,7 @@ def test_counts_and_presence(spark):
     got = {r.guid: (r.n_inputs, r.n_outputs) for r in lin.lineage_counts(edges).collect()}
     assert got == {"a": (0, 2), "b": (1, 1), "c": (2, 0)}
     have = spark.createDataFrame([("a",), ("x",)], "guid STRING")
+    assert [tuple(r) for r in lin.lineage_counts(edges, have).collect()] == [("a", 0, 2)]
     assert [r.guid for r in lin.has_lineage(edges, have).collect()] == ["a"]
 
 
