@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewarden.functions import naming, times
+from tablewarden.operators.entities import SERVICE_OWNER, entity_rows
+
+# Fixed value: type of the process between the columns of two tables.
+COLUMN_PROCESS_TYPE = "ColumnLineageProcess"
+
 
 def column_lineage(columns: DataFrame, mapping: DataFrame) -> DataFrame:
     """Edges from source to target columns.
@@ -29,15 +37,38 @@ def column_lineage(columns: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def column_process_io(columns: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Inputs and outputs of one column process per pair of tables.
+def _process_key(run_ts: datetime) -> Column:
+    """Qualified name of the process that maps one table to another in one run."""
+    seconds = times.to_epoch_seconds(F.lit(run_ts).cast("timestamp_ntz")).cast("string")
+    tables = [F.col("src_table"), F.lit("_to_"), F.col("dst_table"), F.lit("_")]
+    return F.concat(F.lit("column_lineage_"), *tables, seconds)
+
+
+def column_processes(mapping: DataFrame, run_ts: datetime) -> DataFrame:
+    """Process entities, one per pair of mapped tables."""
+    pairs = mapping.select("src_table", "dst_table").distinct()
+    name = F.concat(
+        F.lit("column_mapping_"), F.col("src_table"), F.lit("_to_"), F.col("dst_table")
+    )
+    return entity_rows(
+        pairs,
+        F.lit(COLUMN_PROCESS_TYPE),
+        _process_key(run_ts),
+        name,
+        F.lit(SERVICE_OWNER),
+        None,
+        F.lit(run_ts),
+        F.create_map(F.lit("dependencyType"), F.lit("EXPRESSION")),
+    )
+
+
+def column_process_io(columns: DataFrame, mapping: DataFrame, run_ts: datetime) -> DataFrame:
+    """Inputs and outputs of the column processes.
 
     Source and target names are looked up independently: a known source stays an input
     even when its target is unknown, and the other way round.
     """
-    process = F.concat(
-        F.lit("column_mapping_"), F.col("src_table"), F.lit("_to_"), F.col("dst_table")
-    )
+    guid = naming.entity_guid(F.lit(COLUMN_PROCESS_TYPE), _process_key(run_ts))
     sides = F.array(
         F.struct(
             F.lit("input").alias("direction"),
@@ -50,9 +81,10 @@ def column_process_io(columns: DataFrame, mapping: DataFrame) -> DataFrame:
             F.col("dst_column").alias("name"),
         ),
     )
-    named = mapping.select(process.alias("process_guid"), F.inline(sides)).distinct()
-    return named.join(columns.select("table_name", "name", "guid"), ["table_name", "name"]).select(
-        "process_guid", "direction", F.col("guid").alias("dataset_guid")
+    named = mapping.select("src_table", "dst_table", F.inline(sides)).distinct()
+    known = columns.select("table_name", "name", "guid")
+    return named.join(known, ["table_name", "name"]).select(
+        guid.alias("process_guid"), "direction", F.col("guid").alias("dataset_guid")
     )
 
 

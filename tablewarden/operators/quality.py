@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.casts import lenient_cast
+from tablewarden.functions.naming import as_column
+
+# The attribute group of metrics and the tag of an issue.
+METRICS_GROUP = "DataQualityMetrics"
+ISSUE_TAG = "DataQualityIssue"
 
 
 class DataQualityError(ValueError):
@@ -119,6 +124,42 @@ def quality_metrics(df: DataFrame, rules: MetricRules, run_date: date | str) ->
     )
 
 
+def metrics_metadata(metrics: DataFrame, guid: Column | str) -> DataFrame:
+    """Metrics as a business metadata row of the measured entity."""
+    shares = {
+        "completeness": "completeness",
+        "accuracy": "accuracy",
+        "validity": "validity",
+        "lastChecked": "last_checked",
+        "overallScore": "overall_score",
+    }
+    pairs = [p for key, c in shares.items() for p in (F.lit(key), F.col(c).cast("string"))]
+    return metrics.select(
+        as_column(guid).alias("guid"),
+        F.lit(METRICS_GROUP).alias("bm_name"),
+        F.create_map(*pairs).alias("attributes"),
+        F.col("last_checked").cast("timestamp_ntz").alias("written_at"),
+        F.lit(0).cast("long").alias("seq"),
+    )
+
+
+def issue_tags(issues: DataFrame, guid: Column | str) -> DataFrame:
+    """Issue records as tag rows of the checked entity, one per failed check."""
+    return issues.select(
+        as_column(guid).alias("guid"),
+        F.lit(ISSUE_TAG).alias("classification"),
+        F.create_map(
+            F.lit("issueType"),
+            F.col("issue_type"),
+            F.lit("severity"),
+            F.col("severity"),
+            F.lit("affectedRecords"),
+            F.col("affected_records").cast("string"),
+        ).alias("attributes"),
+        F.lit(False).alias("propagated"),
+    )
+
+
 def evaluate_kpi(
     df: DataFrame, kpi_id: str, key: str, formula: str, target: float
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ from tablewarden.plans.views import (
     tags,
 )
 
+RUN_TIME = datetime(2024, 1, 31, 12, 0, 0)
+RUN_SECONDS = 1_706_702_400
+
 HARVESTED = ["customer", "orders", "lineitem", "documents"]
 
 PII_RULES = [
@@ -414,8 +419,15 @@ def column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.column_lineage(*_mapping_tables(spark, sf_dir))
 
 
+def column_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, mapping = _mapping_tables(spark, sf_dir)
+    return columns.column_processes(mapping, RUN_TIME).select(
+        "guid", "type_name", "qualified_name", "name", "create_time"
+    )
+
+
 def column_process_io(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return columns.column_process_io(*_mapping_tables(spark, sf_dir))
+    return columns.column_process_io(*_mapping_tables(spark, sf_dir), RUN_TIME)
 
 
 QUERIES = {
@@ -444,6 +456,7 @@ QUERIES = {
     "metadata_audit": metadata_audit,
     "schema_diff": schema_diff,
     "column_lineage": column_lineage,
+    "column_processes": column_processes,
     "column_process_io": column_process_io,
 }
 
@@ -625,11 +638,18 @@ WHERE a.data_type IS DISTINCT FROM b.data_type""",
 SELECT src_table, dst_table, s.guid AS src_guid, d.guid AS dst_guid FROM mapping
 JOIN cols s ON s.table_name = src_table AND s.name = src_column
 JOIN cols d ON d.table_name = dst_table AND d.name = dst_column""",
-    "column_process_io": f"""WITH {_MAPPING}
-SELECT DISTINCT 'column_mapping_' || src_table || '_to_' || dst_table AS process_guid,
-  'input' AS direction, guid AS dataset_guid
-FROM mapping JOIN cols ON table_name = src_table AND name = src_column
-UNION ALL
-SELECT DISTINCT 'column_mapping_' || src_table || '_to_' || dst_table, 'output', guid
-FROM mapping JOIN cols ON table_name = dst_table AND name = dst_column""",
+    "column_processes": f"""WITH {_MAPPING},
+p AS (SELECT DISTINCT src_table || '_to_' || dst_table AS pair FROM mapping)
+SELECT sha256('ColumnLineageProcess|column_lineage_' || pair || '_{RUN_SECONDS}') AS guid,
+  'ColumnLineageProcess' AS type_name,
+  'column_lineage_' || pair || '_{RUN_SECONDS}' AS qualified_name,
+  'column_mapping_' || pair AS name, TIMESTAMP '{RUN_TIME}' AS create_time FROM p""",
+    "column_process_io": f"""WITH {_MAPPING}, io AS (
+  SELECT DISTINCT src_table || '_to_' || dst_table AS pair, 'input' AS direction, guid
+  FROM mapping JOIN cols ON table_name = src_table AND name = src_column
+  UNION ALL
+  SELECT DISTINCT src_table || '_to_' || dst_table, 'output', guid
+  FROM mapping JOIN cols ON table_name = dst_table AND name = dst_column)
+SELECT sha256('ColumnLineageProcess|column_lineage_' || pair || '_{RUN_SECONDS}')
+    AS process_guid, direction, guid AS dataset_guid FROM io""",
 }

@@ -145,6 +145,35 @@ def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.withColumns({name: F.round(name, 6) for name in shares})
 
 
+def metrics_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = quality.quality_metrics(_labelled(spark, sf_dir), LABEL_RULES, RUN_DATE)
+    rows = quality.metrics_metadata(metrics, F.lit("documents"))
+    return rows.select(
+        "guid",
+        "bm_name",
+        F.explode("attributes").alias("attribute", "text"),
+        "written_at",
+    ).select(
+        "guid",
+        "bm_name",
+        "attribute",
+        F.round(F.col("text").try_cast("double"), 6).alias("value"),
+        F.col("text").try_cast("date").alias("day"),
+        "written_at",
+    )
+
+
+def issue_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.issue_tags(quality_issues(spark, sf_dir), F.lit("employees"))
+    names = ["issueType", "severity", "affectedRecords"]
+    return rows.select(
+        "guid",
+        "classification",
+        *[F.col("attributes")[name].alias(name) for name in names],
+        "propagated",
+    )
+
+
 def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.column_stats(table(spark, sf_dir, "orders"), distinct=False)
 
@@ -254,6 +283,8 @@ QUERIES = {
     "quality_checks": quality_checks,
     "quality_issues": quality_issues,
     "quality_metrics": quality_metrics,
+    "metrics_metadata": metrics_metadata,
+    "issue_tags": issue_tags,
     "column_stats": column_stats,
     "column_distinct": column_distinct,
     "structure_report": structure_report,
@@ -342,6 +373,19 @@ HAVING quality IS NULL OR COUNT(*) > 1""",
 SELECT check_id, dataset, check_type AS issue_type, severity,
   n_rows - n_pass AS affected_records FROM r WHERE NOT passed""",
     "quality_metrics": _METRICS_SQL,
+    "metrics_metadata": f"""WITH q AS ({_METRICS_SQL}),
+u AS (
+  SELECT 'completeness' AS attribute, completeness AS value, NULL::DATE AS day FROM q
+  UNION ALL SELECT 'accuracy', accuracy, NULL FROM q
+  UNION ALL SELECT 'validity', validity, NULL FROM q
+  UNION ALL SELECT 'overallScore', overall_score, NULL FROM q
+  UNION ALL SELECT 'lastChecked', NULL, last_checked FROM q)
+SELECT 'documents' AS guid, 'DataQualityMetrics' AS bm_name, attribute, value, day,
+  TIMESTAMP '{RUN_DATE} 00:00:00' AS written_at FROM u""",
+    "issue_tags": f"""WITH {EMP_SQL}, r AS ({_CHECKS_SQL})
+SELECT 'employees' AS guid, 'DataQualityIssue' AS classification, check_type AS "issueType",
+  severity, (n_rows - n_pass)::VARCHAR AS "affectedRecords", FALSE AS propagated
+FROM r WHERE NOT passed""",
     "column_stats": "\nUNION ALL\n".join(_stats_sql(*column) for column in _ORDER_COLUMNS),
     "column_distinct": "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_distinct FROM orders"

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablewarden.operators.model import ENTITIES, ENTITY_COLUMNS
 
 
 def _quoted(name: str) -> str:
@@ -63,3 +66,17 @@ def publish_version(df: DataFrame, name: str, version: str) -> DataFrame:
     df.write.mode("errorifexists").saveAsTable(versioned)
     spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {_quoted(versioned)}")
     return spark.table(name)
+
+
+def write_catalog(entities: DataFrame, path: str) -> None:
+    """Entity table with one folder per type, so that a search by type skips the others.
+
+    Rows are rebalanced by type: a small type becomes one file, and adaptive execution
+    splits a type that holds most of the rows over many tasks.
+    """
+    spread = entities.hint("rebalance", F.col("type_name"))
+    spread.write.mode("overwrite").partitionBy("type_name").parquet(path)
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ENTITIES).parquet(path).select(*ENTITY_COLUMNS)

@@ -1,6 +1,7 @@
 """Traversal, impact, propagation and export on small graphs, against brute force."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,13 +218,18 @@ def test_column_lineage_skips_unknown_names(table_columns, mapping):
 
 
 def test_column_process_keeps_each_known_side(table_columns, mapping):
-    got = {tuple(r) for r in columns.column_process_io(table_columns, mapping).collect()}
-    name = "column_mapping_s_to_t"
-    assert got == {
-        (name, "input", "s.a"),
-        (name, "input", "s.b"),
-        (name, "output", "t.x"),
-        (name, "output", "t.y"),
+    run_ts = datetime(2024, 1, 1)
+    process = columns.column_processes(mapping, run_ts).collect()
+    assert [(p.name, p.qualified_name) for p in process] == [
+        ("column_mapping_s_to_t", "column_lineage_s_to_t_1704067200")
+    ]
+    io = columns.column_process_io(table_columns, mapping, run_ts)
+    guid = process[0].guid
+    assert {tuple(r) for r in io.collect()} == {
+        (guid, "input", "s.a"),
+        (guid, "input", "s.b"),
+        (guid, "output", "t.x"),
+        (guid, "output", "t.y"),
     }
 
 

@@ -151,3 +151,15 @@ def test_reconcile(spark):
 def test_reconcile_of_empty_tables(spark):
     none = spark.createDataFrame([], "id INT")
     assert tuple(q.reconcile(none, none, ["id"]).first()) == (0, 0, 0, 0, 0, True)
+
+
+def test_results_become_metadata(spark):
+    df = spark.createDataFrame([(1,), (None,)], "amount INT")
+    metrics = q.quality_metrics(df, q.MetricRules(["amount"], "amount > 0"), "2025-05-20")
+    row = q.metrics_metadata(metrics, F.lit("g")).first()
+    assert (row.guid, row.bm_name) == ("g", "DataQualityMetrics")
+    assert row.attributes["completeness"] == "0.5" and row.attributes["lastChecked"] == "2025-05-20"
+    results = q.run_checks(df, [q.Check("c", "Range", "amount > 0", 0.9)], "d", "2025-05-20")
+    tag = q.issue_tags(q.quality_issues(results), F.lit("g")).first()
+    assert tag.classification == "DataQualityIssue"
+    assert tag.attributes == {"issueType": "Range", "severity": "High", "affectedRecords": "1"}

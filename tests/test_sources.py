@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from test_records import SAMPLE, SAMPLE_DDL
 from tablewarden.materialize import materialize
+from tablewarden.operators.model import ENTITIES
 from tablewarden.operators.quality import DataQualityError
+from tablewarden.operators.search import search
 from tablewarden.session import scratch_root
 from tablewarden.sources import files, jdbc, tables
 from tablewarden.sources.schemas import EMPLOYEE_SCHEMA, SAMPLE_SCHEMA
@@ -115,6 +117,18 @@ def test_published_version_may_read_the_old_one(spark, sample):
     assert newer.count() == 20 and spark.table("ver.entities__1").count() == 10
 
 
+def test_catalog_is_split_by_type(spark, tmp_path):
+    items = [(str(i), f"t{i % 3}", f"q{i}", "n", None, None, "ACTIVE", None, {}) for i in range(30)]
+    catalog = spark.createDataFrame(items, ENTITIES)
+    tables.write_catalog(catalog, str(tmp_path / "c"))
+    back = tables.read_catalog(spark, str(tmp_path / "c"))
+    assert back.columns == catalog.columns and back.count() == 30
+    found = search(back, type_name="t1")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "type_name" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert found.count() == 10
+
+
 def test_jdbc_options_and_key_check(spark, sample):
     options = jdbc.jdbc_options("jdbc:x:y", "employees", "a.b.Driver", "name VARCHAR(255)")
     assert options["truncate"] == "true" and options["dbtable"] == "employees"
