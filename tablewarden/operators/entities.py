@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.functions import naming, times
 from tablewarden.functions.documents import default_description
@@ -17,6 +18,7 @@ SERVICE_OWNER = "ETL_SERVICE"
 # Type names of the registered objects, by kind of store.
 FILE_TYPE = "fs_path"
 PROCESS_TYPE = "etl_process"
+PROCESS_KIND = "SPARK_TRANSFORMATION"
 STORE_TYPES = {
     "hive": ("hive_db", "hive_table", "hive_column"),
     "rdbms": ("rdbms_db", "rdbms_table", "rdbms_column"),
@@ -126,59 +128,48 @@ def resolve_refs(
     return joined.drop("_ref", "ref_guid", "ref_qualified_name")
 
 
-def schema_columns(df: DataFrame, db: str, table: str, cluster: str = naming.DEFAULT_CLUSTER) -> DataFrame:
-    """One row per column of ``df``: name, type, comment and position, from its schema."""
-    rows = [
-        (
-            f"{db}.{table}@{cluster}",
-            f"{db}.{table}.{c.name}@{cluster}",
-            c.name,
-            c.dataType.simpleString(),
-            (c.metadata or {}).get("comment", ""),
-            position,
-        )
-        for position, c in enumerate(df.schema)
-    ]
-    ddl = (
-        "table_qualified_name STRING, qualified_name STRING, name STRING, "
-        "data_type STRING, comment STRING, position INT"
-    )
-    return df.sparkSession.createDataFrame(rows, ddl)
-
-
-def harvest_schema(
-    df: DataFrame,
+def harvest_tables(
+    spark: SparkSession,
     db: str,
-    table: str,
+    tables: list[tuple[str, T.StructType, str | None]],
     cluster: str = naming.DEFAULT_CLUSTER,
     store: str = "hive",
     owner: str = SERVICE_OWNER,
-    description: str | None = None,
     create_time: datetime | None = None,
 ) -> DataFrame:
-    """Entities of a table's database, the table itself and each of its columns."""
+    """Entities of a database, its tables (name, schema, description) and their columns.
+
+    Only schemas are read. All tables go into one plan, however many there are.
+    """
     db_type, table_type, column_type = STORE_TYPES[store]
-    columns = schema_columns(df, db, table, cluster)
-    spark = df.sparkSession
-    one = spark.createDataFrame(
-        [(db, table, owner, description)], "db STRING, tab STRING, owner STRING, description STRING"
-    )
     created = F.lit(create_time).cast("timestamp_ntz")
+    listed = spark.createDataFrame(
+        [(db, name, description) for name, _, description in tables],
+        "db STRING, tab STRING, description STRING",
+    )
+    columns = spark.createDataFrame(
+        [
+            (db, name, c.name, c.dataType.simpleString(), c.metadata.get("comment", ""), str(i))
+            for name, schema, _ in tables
+            for i, c in enumerate(schema)
+        ],
+        "db STRING, tab STRING, col STRING, data_type STRING, comment STRING, position STRING",
+    )
     database = entity_rows(
-        one,
+        listed.select("db").distinct(),
         F.lit(db_type),
         naming.database_name("db", cluster),
         "db",
-        "owner",
+        F.lit(owner),
         default_description(F.lit(None).cast("string"), "db", "database"),
         created,
     )
-    table_entity = entity_rows(
-        one,
+    table_entities = entity_rows(
+        listed,
         F.lit(table_type),
         naming.table_name("db", "tab", cluster),
         "tab",
-        "owner",
+        F.lit(owner),
         default_description("description", "tab", "table"),
         created,
         F.create_map(F.lit("db"), naming.database_name("db", cluster)),
@@ -186,8 +177,8 @@ def harvest_schema(
     column_entities = entity_rows(
         columns,
         F.lit(column_type),
-        "qualified_name",
-        "name",
+        naming.column_name("db", "tab", "col", cluster),
+        "col",
         F.lit(owner),
         "comment",
         created,
@@ -195,28 +186,49 @@ def harvest_schema(
             F.lit("type"),
             F.col("data_type"),
             F.lit("position"),
-            F.col("position").cast("string"),
+            F.col("position"),
             F.lit("table"),
-            F.col("table_qualified_name"),
+            naming.table_name("db", "tab", cluster),
         ),
     )
-    return bulk_batch(database, table_entity, column_entities)
+    return bulk_batch(database, table_entities, column_entities)
 
 
-def harvest_database(spark: SparkSession, db: str, cluster: str = naming.DEFAULT_CLUSTER) -> DataFrame:
+def harvest_schema(
+    df: DataFrame,
+    db: str,
+    table: str,
+    cluster: str = naming.DEFAULT_CLUSTER,
+    store: str = "hive",
+    owner: str = SERVICE_OWNER,
+    description: str | None = None,
+    create_time: datetime | None = None,
+) -> DataFrame:
+    """Entities of one table, its database and its columns."""
+    tables = [(table, df.schema, description)]
+    return harvest_tables(df.sparkSession, db, tables, cluster, store, owner, create_time)
+
+
+def harvest_database(
+    spark: SparkSession, db: str, cluster: str = naming.DEFAULT_CLUSTER
+) -> DataFrame:
     """Entities of every table of a database, read from the session catalog."""
-    batches = [
-        harvest_schema(spark.table(f"{db}.{table.name}"), db, table.name, cluster)
-        for table in spark.catalog.listTables(db)
-        if not table.isTemporary
+    tables = [
+        (t.name, spark.table(f"{db}.{t.name}").schema, t.description)
+        for t in spark.catalog.listTables(db)
+        if not t.isTemporary
     ]
-    if not batches:
+    if not tables:
         return spark.createDataFrame([], ENTITIES)
-    return first_by_key(bulk_batch(*batches))
+    return harvest_tables(spark, db, tables, cluster)
 
 
 def dataset_entities(
-    files: DataFrame, path: str, file_format: str, subject: str = "Employee data", create_time: Column | str | None = None
+    files: DataFrame,
+    path: str,
+    file_format: str,
+    subject: str = "Employee data",
+    create_time: Column | str | None = None,
 ) -> DataFrame:
     """File entities, named by base name and keyed by full path."""
     return entity_rows(
@@ -232,7 +244,10 @@ def dataset_entities(
 
 
 def process_entities(
-    runs: DataFrame, epoch_mark: bool = False, cluster: str = naming.DEFAULT_CLUSTER, process_type: str = "SPARK_TRANSFORMATION"
+    runs: DataFrame,
+    epoch_mark: bool = False,
+    cluster: str = naming.DEFAULT_CLUSTER,
+    process_type: str = PROCESS_KIND,
 ) -> DataFrame:
     """Process entities of runs (name, description, run_ts).
 

@@ -46,17 +46,17 @@ def _walk(edges: DataFrame, seeds: DataFrame, depth: int | None, forward: bool)
     here, there = ("src_guid", "dst_guid") if forward else ("dst_guid", "src_guid")
     labels = [c for c in seeds.columns if c != "guid"]
     keys = [*labels, "guid"]
-    steps = edges.select(F.col(here).alias("guid"), F.col(there).alias("next_guid"))
-    start = seeds.select(*keys).distinct().withColumn("hop", F.lit(0))
+    steps = edges.selectExpr(f"{here} AS guid", f"{there} AS next_guid")
+    start = seeds.select(*keys).distinct().selectExpr("*", "0 AS hop")
     frontier = materialize(start, "frontier")
     paths, seen, hop = frontier.paths, frontier.frame, 0
     while frontier.rows and (depth is None or hop < depth):
         hop += 1
-        reached = frontier.frame.join(steps, "guid").select(
-            *labels, F.col("next_guid").alias("guid"), F.lit(hop).alias("hop")
+        reached = frontier.frame.join(steps, "guid").selectExpr(
+            *labels, "next_guid AS guid", f"{hop} AS hop"
         )
-        known = seen.unionByName(reached).groupBy(*keys).agg(F.min("hop").alias("hop"))
-        frontier = materialize(known.filter(F.col("hop") == hop), "frontier")
+        known = seen.unionAll(reached).groupBy(*keys).agg(F.min("hop").alias("hop"))
+        frontier = materialize(known.filter(f"hop = {hop}"), "frontier")
         if frontier.rows:
             paths += frontier.paths
             seen = read_written(edges.sparkSession, paths, seen)

@@ -66,23 +66,26 @@ RELATIONSHIP_ENDS = [
 
 def harvest_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column entities of the tables with the statistics captured from their rows."""
-    parts = []
-    for name in HARVESTED:
-        df = table(spark, sf_dir, name)
-        found = entities.harvest_schema(df, "bench", name).filter("type_name = 'hive_column'")
-        stats = column_stats(df, bounds=False, distinct=False)
-        parts.append(
-            found.join(stats, found["name"] == stats["column_name"]).select(
-                "guid",
-                "qualified_name",
-                found["name"],
-                F.col("attributes")["type"].alias("type"),
-                F.col("attributes")["table"].alias("table_name"),
-                "n_rows",
-                "n_nulls",
-            )
+    frames = {name: table(spark, sf_dir, name) for name in HARVESTED}
+    listed = [(name, df.schema, None) for name, df in frames.items()]
+    found = entities.harvest_tables(spark, "bench", listed).filter("type_name = 'hive_column'")
+    counts = [
+        column_stats(df, bounds=False, distinct=False).select(
+            naming.column_name(F.lit("bench"), F.lit(name), "column_name").alias("qualified_name"),
+            "n_rows",
+            "n_nulls",
         )
-    return entities.bulk_batch(*parts)
+        for name, df in frames.items()
+    ]
+    return found.join(entities.bulk_batch(*counts), "qualified_name").select(
+        "guid",
+        "qualified_name",
+        "name",
+        F.col("attributes")["type"].alias("type"),
+        F.col("attributes")["table"].alias("table_name"),
+        "n_rows",
+        "n_nulls",
+    )
 
 
 def _key_entities(df: DataFrame, type_name: str, key: str, owner: str, at: str) -> DataFrame:
@@ -176,11 +179,12 @@ def resolve_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customers = _existing(spark, sf_dir)
     found = entities.resolve_refs(orders, customers, "customer", "customer")
+    nation_name = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
     homes = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("customer_"), F.col("c_custkey").cast("string")).alias("customer_name"),
-        naming.entity_guid(
-            F.lit("nation"), naming.table_name(F.lit("bench"), F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")))
-        ).alias("ref_guid"),
+        naming.entity_guid(F.lit("nation"), naming.table_name(F.lit("bench"), nation_name)).alias(
+            "ref_guid"
+        ),
     )
     nations = _key_entities(
         table(spark, sf_dir, "nation").withColumn("created", F.lit(None).cast("timestamp_ntz")),

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.operators import entities as ent
 from tablewarden.operators.audit import verify_catalog
@@ -92,7 +93,10 @@ def load_adults(
 
 
 def register_runs(
-    spark: SparkSession, runs: list[tuple[str, str, list[str], list[str]]], run_ts: datetime, epoch_mark: bool = False
+    spark: SparkSession,
+    runs: list[tuple[str, str, list[str], list[str]]],
+    run_ts: datetime,
+    epoch_mark: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Process entities and their inputs and outputs, for runs listed by hand."""
     rows = [(*run, run_ts) for run in runs]
@@ -172,18 +176,18 @@ def load_employees(
 
 
 def sample_graph(
-    spark: SparkSession, db: str, pipeline: str, run_ts: datetime, existing: DataFrame | None = None
+    spark: SparkSession,
+    db: str,
+    pipeline: str,
+    run_ts: datetime,
+    existing: DataFrame | None = None,
 ) -> Catalog:
     """Database with three tables, two processes between them and a tag per table."""
-    tables = []
-    for name, (description, ddl, _) in SAMPLE_TABLES.items():
-        empty = spark.createDataFrame([], ddl)
-        tables.append(
-            ent.harvest_schema(
-                empty, db, name, owner="admin", description=description, create_time=run_ts
-            )
-        )
-    harvested = ent.bulk_batch(*tables)
+    tables = [
+        (name, T.StructType.fromDDL(ddl), description)
+        for name, (description, ddl, _) in SAMPLE_TABLES.items()
+    ]
+    harvested = ent.harvest_tables(spark, db, tables, owner="admin", create_time=run_ts)
     guid = _guids(harvested, "hive_table")
     runs = [
         (f"{pipeline}_{step}", text, [guid[source]], [guid[target]])
