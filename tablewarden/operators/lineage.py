@@ -41,7 +41,8 @@ def _walk(edges: DataFrame, seeds: DataFrame, depth: int | None, forward: bool)
     folder. So cycles end, paths do not multiply, plans stay short, a lost executor costs
     at most the current hop, and the size of a written frontier decides whether the next
     join broadcasts it. A node with very many edges is a hot join key; adaptive execution
-    splits its partition.
+    splits its partition, which it can because the frontier is a table and not the output
+    of an aggregate on the same key.
     """
     here, there = ("src_guid", "dst_guid") if forward else ("dst_guid", "src_guid")
     labels = [c for c in seeds.columns if c != "guid"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions import documents as docs
 from tablewarden.functions import naming
+from tablewarden.materialize import materialize
 from tablewarden.operators import audit, columns, entities, relationships, tagging, validation
 from tablewarden.operators import search as searching
 from tablewarden.operators.lineage import build_edges
@@ -395,43 +396,49 @@ def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _mapping_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Columns of supplier tables, and a mapping between them by line item.
+def _known_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as tables and parts of finished line items as their columns.
 
-    Each open line item maps its part from its supplier's table to the table of the
-    supplier whose key is its line number. Only finished line items make columns, so both
-    source and target names may be unknown.
+    Written once: the table is joined twice, and a join with a table, unlike one behind
+    an aggregate on the same key, lets adaptive execution split a hot key.
     """
-    known = _line_columns(spark, sf_dir, "F").withColumn(
-        "guid", F.concat_ws(".", "table_name", "name")
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F")
+    named = lines.select("l_suppkey", "l_partkey").distinct().select(
+        node("supply", "l_suppkey").alias("table_name"), node("part", "l_partkey").alias("name")
     )
-    mapping = (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_linestatus") == "O")
-        .select(
-            node("supply", "l_suppkey").alias("src_table"),
-            node("part", "l_partkey").alias("src_column"),
-            node("supply", "l_linenumber").alias("dst_table"),
-            node("part", "l_partkey").alias("dst_column"),
-        )
-        .distinct()
+    known = named.withColumn("guid", F.concat_ws(".", "table_name", "name"))
+    return materialize(known, "columns").frame
+
+
+def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapping between supplier tables by open line item.
+
+    Each maps its part from its supplier's table to the table of the supplier whose key
+    is its line number. Both source and target names may be unknown columns.
+    """
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "O")
+    return lines.select("l_suppkey", "l_partkey", "l_linenumber").distinct().select(
+        node("supply", "l_suppkey").alias("src_table"),
+        node("part", "l_partkey").alias("src_column"),
+        node("supply", "l_linenumber").alias("dst_table"),
+        node("part", "l_partkey").alias("dst_column"),
     )
-    return known, mapping
 
 
 def column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return columns.column_lineage(*_mapping_tables(spark, sf_dir))
+    return columns.column_lineage(_known_columns(spark, sf_dir), _mapping(spark, sf_dir))
 
 
 def column_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, mapping = _mapping_tables(spark, sf_dir)
-    return columns.column_processes(mapping, RUN_TIME).select(
+    return columns.column_processes(_mapping(spark, sf_dir), RUN_TIME).select(
         "guid", "type_name", "qualified_name", "name", "create_time"
     )
 
 
 def column_process_io(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return columns.column_process_io(*_mapping_tables(spark, sf_dir), RUN_TIME)
+    return columns.column_process_io(
+        _known_columns(spark, sf_dir), _mapping(spark, sf_dir), RUN_TIME
+    )
 
 
 QUERIES = {

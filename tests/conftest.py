@@ -28,3 +28,26 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
+
+
+# No broadcasts, and partitions count as skewed at test size.
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+}
+
+
+@pytest.fixture
+def skew_settings(spark):
+    kept = {key: spark.conf.get(key, None) for key in SKEW}
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in kept.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)

@@ -6,7 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tablewarden.materialize import materialize
 from tablewarden.operators import columns, lineage as lin
+from tablewarden.operators.entities import entity_rows, resolve_refs
 from tablewarden.operators.model import CLASSIFICATIONS, EDGES, ENTITIES, PROCESS_IO
 
 
@@ -152,46 +154,60 @@ def test_export(spark, entities):
     ]
 
 
-def test_hub_with_a_third_of_all_edges(spark):
-    """A hot node: nothing is lost, and the sort-merge join splits its partition."""
-    n = 30_000
-    edges = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("n"), "id")).alias("src_guid"),
-        F.concat(F.lit("m"), "id").alias("dst_guid"),
+N = 30_000
+
+
+def hub_edges(spark):
+    """A third of all edges leave one node."""
+    source = F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("n"), "id"))
+    return spark.range(0, N, 1, 8).select(
+        source.alias("src_guid"), F.sha2(F.col("id").cast("string"), 256).alias("dst_guid")
     )
-    found = lin.lineage(edges, roots_of(spark, ["hub", "n1"]), None, lin.OUTPUT)
-    assert found.count() == 2 + n // 3 + 1
 
 
-def test_hot_join_key_is_split(spark):
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-    }
-    kept = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        edges = spark.range(0, 60_000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, "hub")
-            .otherwise(F.concat(F.lit("n"), "id"))
-            .alias("guid"),
-            F.sha2(F.col("id").cast("string"), 256).alias("next_guid"),
-        )
-        frontier = spark.range(0, 60_000, 1, 8).select(
-            F.concat(F.lit("n"), "id").alias("guid")
-        ).unionByName(spark.createDataFrame([("hub",)], "guid STRING"))
-        joined = frontier.join(edges, "guid")
-        assert joined.count() == 60_000
-        joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in kept.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    assert "skew=true" in plan
+def test_hub_is_walked_whole(spark):
+    found = lin.lineage(hub_edges(spark), roots_of(spark, ["hub", "n1"]), None, lin.OUTPUT)
+    assert found.count() == 2 + N // 3 + 1
+
+
+def test_hub_is_walked_whole_without_broadcasts(spark, skew_settings):
+    everything = hub_edges(spark).select(F.col("src_guid").alias("guid")).distinct()
+    found = lin.lineage(hub_edges(spark), everything, 1, lin.OUTPUT)
+    assert found.filter("hop = 1").count() == N
+    tags = everything.selectExpr("guid", "'T' AS classification", "map() AS attributes")
+    reached = lin.propagate_tags(hub_edges(spark), tags)
+    assert reached.filter("propagated").count() == N
+
+
+def test_partition_of_a_hot_node_is_split(spark, skew_settings):
+    """The join of a hop, with a frontier too large to broadcast.
+
+    The frontier has to be a written table: behind an aggregate on the join key it would
+    share a stage with the join, and adaptive execution could not split the partition.
+    """
+    steps = hub_edges(spark).selectExpr("src_guid AS guid", "dst_guid AS next_guid")
+    frontier = materialize(steps.select("guid").distinct(), "frontier").frame
+    joined = frontier.join(steps, "guid")
+    assert len(joined.collect()) == N
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_children_of_a_hot_parent_are_split(spark, skew_settings):
+    child = spark.range(0, N, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hub@p")
+        .otherwise(F.concat(F.lit("p"), "id"))
+        .alias("ref_qualified_name"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    parents = spark.range(0, N, 1, 8).select(
+        F.when(F.col("id") == 0, "hub@p").otherwise(F.concat(F.lit("p"), "id")).alias("q")
+    )
+    parents = entity_rows(parents, F.lit("table"), "q", "q")
+    found = resolve_refs(child, parents, "table")
+    rows = found.collect()
+    assert len(rows) == N and all(r.parent_guid for r in rows)
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
 
 
 # ---- columns ---------------------------------------------------------------------------
