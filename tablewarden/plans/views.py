@@ -91,23 +91,25 @@ def _entities(
     df: DataFrame,
     kind: str,
     key: str,
-    name: Column,
-    owner: Column,
-    description: Column,
+    name: str,
+    owner: str,
+    description: str,
     attributes: dict[str, str],
-    status: Column | None = None,
+    status: str = "'ACTIVE'",
 ) -> DataFrame:
-    pairs = [p for k, c in attributes.items() for p in (F.lit(k), F.col(c).cast("string"))]
-    return df.select(
-        node(kind, key).alias("guid"),
-        F.lit(kind).alias("type_name"),
-        F.concat(node(kind, key), F.lit("@primary")).alias("qualified_name"),
-        name.alias("name"),
-        owner.alias("owner"),
-        description.alias("description"),
-        (F.lit("ACTIVE") if status is None else status).alias("status"),
-        F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("create_time"),
-        F.create_map(*pairs).alias("attributes"),
+    """Entity rows of one kind; every argument after the kind is a SQL expression."""
+    guid = f"concat('{kind}:', CAST({key} AS STRING))"
+    pairs = ", ".join(f"'{k}', CAST({column} AS STRING)" for k, column in attributes.items())
+    return df.selectExpr(
+        f"{guid} AS guid",
+        f"'{kind}' AS type_name",
+        f"concat({guid}, '@primary') AS qualified_name",
+        f"{name} AS name",
+        f"{owner} AS owner",
+        f"{description} AS description",
+        f"{status} AS status",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS create_time",
+        f"map({pairs}) AS attributes",
     )
 
 
@@ -117,9 +119,9 @@ def part_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part"),
         "part",
         "p_partkey",
-        F.col("p_name"),
-        F.col("p_brand"),
-        F.col("p_type"),
+        "p_name",
+        "p_brand",
+        "p_type",
         {"brand": "p_brand", "type": "p_type", "size": "p_size"},
     )
 
@@ -130,16 +132,15 @@ def customer_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     Those of one segment have no description, those in debt no owner, and those deep in
     debt are deleted.
     """
-    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
     return _entities(
         table(spark, sf_dir, "customer"),
         "customer",
         "c_custkey",
-        F.col("c_name"),
-        F.when(balance >= 0, segment),
-        F.when(segment != "BUILDING", F.concat(F.lit("Customer in "), segment)),
+        "c_name",
+        "CASE WHEN c_acctbal >= 0 THEN c_mktsegment END",
+        "CASE WHEN c_mktsegment <> 'BUILDING' THEN concat('Customer in ', c_mktsegment) END",
         {"segment": "c_mktsegment", "nation": "c_nationkey"},
-        F.when(balance < -900, "DELETED").otherwise("ACTIVE"),
+        "CASE WHEN c_acctbal < -900 THEN 'DELETED' ELSE 'ACTIVE' END",
     )
 
 
@@ -148,9 +149,9 @@ def nation_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "nation"),
         "nation",
         "n_nationkey",
-        F.col("n_name"),
-        F.lit(None).cast("string"),
-        F.lit("Nation"),
+        "n_name",
+        "CAST(NULL AS STRING)",
+        "'Nation'",
         {"region": "n_regionkey"},
     )
 
@@ -161,9 +162,9 @@ def supply_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "supplier"),
         "supply",
         "s_suppkey",
-        F.col("s_name"),
-        F.lit("ETL_SERVICE"),
-        F.lit(None).cast("string"),
+        "s_name",
+        "'ETL_SERVICE'",
+        "CAST(NULL AS STRING)",
         {"nation": "s_nationkey"},
     )
 
@@ -174,9 +175,9 @@ def order_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders"),
         "order",
         "o_orderkey",
-        F.concat(F.lit("order_"), F.col("o_orderkey").cast("string")),
-        F.lit("ETL_SERVICE"),
-        F.col("o_orderpriority"),
+        "concat('order_', CAST(o_orderkey AS STRING))",
+        "'ETL_SERVICE'",
+        "o_orderpriority",
         {
             "status": "o_orderstatus",
             "price": "o_totalprice",
