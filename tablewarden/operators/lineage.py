@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.materialize import materialize, read_written
+from tablewarden.operators.model import EDGES
 
 # Hops followed when none are given, for traversal and for export.
 DEFAULT_DEPTH = 5
@@ -32,7 +34,56 @@ def build_edges(process_io: DataFrame, unique: bool = False) -> DataFrame:
     return edges if unique else edges.distinct()
 
 
-def _walk(edges: DataFrame, seeds: DataFrame, depth: int | None, forward: bool) -> DataFrame:
+@dataclass(frozen=True)
+class EdgeTable:
+    """Edges written twice, in folders by hash bucket of their source and of their target.
+
+    A walk joins on the bucket too. When its frontier is small enough to broadcast, Spark
+    prunes the folders at run time, so that a hop reads only the buckets of its nodes and
+    not the whole table. The files of a bucket with a hot node are split among tasks like
+    any others.
+    """
+
+    by_source: DataFrame
+    by_target: DataFrame
+    buckets: int
+
+
+def _bucket(column: str, buckets: int) -> str:
+    return f"CAST(pmod(xxhash64({column}), {buckets}) AS INT)"
+
+
+def write_edges(edges: DataFrame, path: str, buckets: int) -> EdgeTable:
+    """Write an edge table below ``path``; choose buckets of some hundred megabytes."""
+    for folder, key in (("by_source", "src_guid"), ("by_target", "dst_guid")):
+        keyed = edges.selectExpr("src_guid", "dst_guid", f"{_bucket(key, buckets)} AS bucket")
+        keyed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(f"{path}/{folder}")
+    return read_edges(edges.sparkSession, path, buckets)
+
+
+def read_edges(spark: SparkSession, path: str, buckets: int) -> EdgeTable:
+    """The edge table below ``path``; ``buckets`` as it was written."""
+    reader = spark.read.schema(EDGES + ", bucket INT")
+    return EdgeTable(
+        reader.parquet(f"{path}/by_source"), reader.parquet(f"{path}/by_target"), buckets
+    )
+
+
+def _steps(edges: DataFrame | EdgeTable, forward: bool) -> tuple[DataFrame, list[str]]:
+    """Edges as (guid, next_guid) in walking direction, and the columns to join on."""
+    here, there = ("src_guid", "dst_guid") if forward else ("dst_guid", "src_guid")
+    ends = [f"{here} AS guid", f"{there} AS next_guid"]
+    if isinstance(edges, DataFrame):
+        return edges.selectExpr(*ends), ["guid"]
+    side = edges.by_source if forward else edges.by_target
+    return side.selectExpr("bucket", *ends), ["bucket", "guid"]
+
+
+def _walk(
+    edges: DataFrame | EdgeTable, seeds: DataFrame, depth: int | None, forward: bool
+) -> DataFrame:
     """Breadth-first walk from all seeds at once, the least hop per (labels, guid).
 
     ``seeds`` has a ``guid`` and label columns that travel along. Each hop joins only the
@@ -44,28 +95,31 @@ def _walk(edges: DataFrame, seeds: DataFrame, depth: int | None, forward: bool)
     splits its partition, which it can because the frontier is a table and not the output
     of an aggregate on the same key.
     """
-    here, there = ("src_guid", "dst_guid") if forward else ("dst_guid", "src_guid")
     labels = [c for c in seeds.columns if c != "guid"]
     keys = [*labels, "guid"]
-    steps = edges.selectExpr(f"{here} AS guid", f"{there} AS next_guid")
+    steps, on = _steps(edges, forward)
     start = seeds.select(*keys).distinct().selectExpr("*", "0 AS hop")
     frontier = materialize(start, "frontier")
     paths, seen, hop = frontier.paths, frontier.frame, 0
     while frontier.rows and (depth is None or hop < depth):
+        # The filter keeps every row; it is what makes Spark prune the buckets at run time.
+        newest = frontier.frame.filter(f"hop = {hop}")
+        if "bucket" in on:
+            newest = newest.selectExpr("*", f"{_bucket('guid', edges.buckets)} AS bucket")
         hop += 1
-        reached = frontier.frame.join(steps, "guid").selectExpr(
+        reached = newest.join(steps, on).selectExpr(
             *labels, "next_guid AS guid", f"{hop} AS hop"
         )
         known = seen.unionAll(reached).groupBy(*keys).agg(F.min("hop").alias("hop"))
         frontier = materialize(known.filter(f"hop = {hop}"), "frontier")
         if frontier.rows:
             paths += frontier.paths
-            seen = read_written(edges.sparkSession, paths, seen)
+            seen = read_written(seeds.sparkSession, paths, seen)
     return seen
 
 
 def lineage(
-    edges: DataFrame,
+    edges: DataFrame | EdgeTable,
     roots: DataFrame,
     depth: int | None = DEFAULT_DEPTH,
     direction: str = BOTH,
@@ -113,7 +167,7 @@ def has_lineage(edges: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def impact(
-    edges: DataFrame,
+    edges: DataFrame | EdgeTable,
     entities: DataFrame,
     classifications: DataFrame,
     roots: DataFrame,
@@ -146,7 +200,7 @@ def _described(nodes: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def propagate_tags(
-    edges: DataFrame, classifications: DataFrame, tags: list[str] | None = None
+    edges: DataFrame | EdgeTable, classifications: DataFrame, tags: list[str] | None = None
 ) -> DataFrame:
     """Tags of each entity, its own and those of everything upstream of it.
 

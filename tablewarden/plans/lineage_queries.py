@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewarden.materialize import scratch_path
 from tablewarden.operators import lineage as graph
 from tablewarden.plans.views import (
     CATALOG_SQL,
@@ -35,6 +36,13 @@ def lineage_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineage_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same walks over an edge table in folders by bucket."""
+    edges = graph.build_edges(graph_io(spark, sf_dir), unique=True)
+    table = graph.write_edges(edges, scratch_path(spark, "edges-by-bucket"), 16)
+    return graph.lineage(table, roots(spark, *MIXED_ROOTS), 2, graph.BOTH)
+
+
 def lineage_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.lineage(graph_edges(spark, sf_dir), roots(spark, *UP_ROOTS), 4, graph.INPUT)
 
@@ -91,6 +99,7 @@ QUERIES = {
     "lineage_down": lineage_down,
     "lineage_up": lineage_up,
     "lineage_both": lineage_both,
+    "lineage_by_bucket": lineage_by_bucket,
     "lineage_counts": lineage_counts,
     "has_lineage": has_lineage,
     "impact": impact,
@@ -114,11 +123,14 @@ def _walks(root_guids: tuple[str, ...], depth: int, *directions: str) -> str:
 _DOWN = "SELECT root, guid, hop, 'OUTPUT' AS direction FROM down"
 _UP = "SELECT root, guid, hop, 'INPUT' AS direction FROM up"
 
+_BOTH = f"{_walks(MIXED_ROOTS, 2, graph.OUTPUT, graph.INPUT)} {_DOWN} UNION ALL {_UP}"
+
 ORACLES = {
     "build_edges": f"WITH {EDGES_SQL} SELECT * FROM edges",
     "lineage_down": f"{_walks(DOWN_ROOTS, 4, graph.OUTPUT)} {_DOWN}",
     "lineage_up": f"{_walks(UP_ROOTS, 4, graph.INPUT)} {_UP}",
-    "lineage_both": f"{_walks(MIXED_ROOTS, 2, graph.OUTPUT, graph.INPUT)} {_DOWN} UNION ALL {_UP}",
+    "lineage_both": _BOTH,
+    "lineage_by_bucket": _BOTH,
     "lineage_counts": f"""WITH {EDGES_SQL}, e AS (
   SELECT src_guid AS guid, 0 AS i, 1 AS o FROM edges
   UNION ALL SELECT dst_guid, 1, 0 FROM edges)

@@ -76,6 +76,25 @@ def test_random_graph(spark):
     assert down == brute(pairs, names, 3, True)
 
 
+@pytest.mark.parametrize("text", GRAPHS.values(), ids=GRAPHS.keys())
+def test_walks_over_buckets(spark, tmp_path, text):
+    names = ["a", "d", "z"]
+    pairs = [tuple(p) for p in text.split()]
+    table = lin.write_edges(edges_of(spark, text), str(tmp_path / "e"), 4)
+    got = hops(lin.lineage(table, roots_of(spark, names), None))
+    assert got == brute(pairs, names, None, True) | brute(pairs, names, None, False)
+
+
+def test_a_hop_reads_only_the_buckets_of_its_nodes(spark, tmp_path):
+    table = lin.write_edges(hub_edges(spark), str(tmp_path / "e"), 50)
+    steps, on = lin._steps(table, True)
+    start = materialize(roots_of(spark, ["n1"]).selectExpr("guid", "0 AS hop"), "f").frame
+    newest = start.filter("hop = 0").selectExpr("*", f"{lin._bucket('guid', 50)} AS bucket")
+    joined = newest.join(steps, on)
+    assert joined.count() == 1
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_down_and_up_mirror(spark):
     text = GRAPHS["diamond"]
     nodes = sorted(set(text) - {" "})
