@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,6 +39,12 @@ def run_stamp(ts: Column | str) -> Column:
     return F.date_format(as_column(ts), "yyyyMMddHHmmss")
 
 
+def time_literal(moment: datetime | None) -> Column:
+    """A moment as a timestamp without zone; through text, so no session zone shifts it."""
+    text = None if moment is None else moment.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def processing_date(run_date: date | str) -> Column:
     """The run date as a DATE literal; always injected, never taken from the clock."""
     return F.lit(str(run_date)).cast("date")

@@ -39,7 +39,7 @@ def column_lineage(columns: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def _process_key(run_ts: datetime) -> Column:
     """Qualified name of the process that maps one table to another in one run."""
-    seconds = times.to_epoch_seconds(F.lit(run_ts).cast("timestamp_ntz")).cast("string")
+    seconds = times.to_epoch_seconds(times.time_literal(run_ts)).cast("string")
     tables = [F.col("src_table"), F.lit("_to_"), F.col("dst_table"), F.lit("_")]
     return F.concat(F.lit("column_lineage_"), *tables, seconds)
 
@@ -57,7 +57,7 @@ def column_processes(mapping: DataFrame, run_ts: datetime) -> DataFrame:
         name,
         F.lit(SERVICE_OWNER),
         None,
-        F.lit(run_ts),
+        times.time_literal(run_ts),
         F.create_map(F.lit("dependencyType"), F.lit("EXPRESSION")),
     )
 

@@ -142,7 +142,7 @@ def harvest_tables(
     Only schemas are read. All tables go into one plan, however many there are.
     """
     db_type, table_type, column_type = STORE_TYPES[store]
-    created = F.lit(create_time).cast("timestamp_ntz")
+    created = times.time_literal(create_time)
     listed = spark.createDataFrame(
         [(db, name, description) for name, _, description in tables],
         "db STRING, tab STRING, description STRING",

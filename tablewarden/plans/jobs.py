@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.functions.times import time_literal
 from tablewarden.operators import entities as ent
 from tablewarden.operators.audit import verify_catalog
 from tablewarden.operators.lineage import build_edges
@@ -137,7 +138,7 @@ def load_employees(
     require_reconciled(source, loaded, ["id"])
 
     files = spark.createDataFrame([(csv_path,), (out_csv_path,)], "path STRING")
-    datasets = ent.dataset_entities(files, "path", "CSV", create_time=F.lit(run_ts))
+    datasets = ent.dataset_entities(files, "path", "CSV", create_time=time_literal(run_ts))
     db, _, name = table.rpartition(".")
     harvested = ent.harvest_schema(
         loaded,

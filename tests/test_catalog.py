@@ -67,10 +67,12 @@ def test_epochs_ignore_the_session_zone(spark, zone):
             times.from_epoch_seconds(F.expr("ms div 1000")).cast("string").alias("b"),
             times.to_epoch_millis(times.from_epoch_millis("ms")).alias("back"),
             times.run_stamp(times.from_epoch_millis("ms")).alias("stamp"),
+            times.time_literal(T0).cast("string").alias("literal"),
         ).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", kept)
     assert (row.a, row.b) == ("2023-11-14 22:13:20.123", "2023-11-14 22:13:20")
+    assert row.literal == "2024-01-01 00:00:00"
     assert (row.back, row.stamp) == (1_700_000_000_123, "20231114221320")
 
 
