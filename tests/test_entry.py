@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
-
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from tablewarden.plans.registry import ORACLES as SQL
+from tablewarden.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +30,8 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
