@@ -16,6 +16,8 @@ import numpy as np
 
 # Letters packed into the first ranks, nine bits each: a byte or the end of a string.
 PACKED = 7
+# Rows between two entries of the directory of runs.
+STEP = 4
 
 
 @dataclass(frozen=True)
@@ -23,12 +25,14 @@ class RunIndex:
     """The index and what is known of each interval of rows.
 
     ``run_start``, ``run_to`` and ``run_end`` hold per run its first row, the row that one
-    leads to, and the sampled suffix of its last row. ``interval`` gives the interval of a
+    leads to, and the sampled suffix of its last row; ``run_at`` has the run of every
+    ``STEP``-th row. ``interval`` gives the interval of a
     row, -1 where fewer than ``depth`` letters are left; ``best`` the least weight in it and
     ``members`` how many suffixes it has.
     """
 
     run_start: np.ndarray
+    run_at: np.ndarray
     run_to: np.ndarray
     run_end: np.ndarray
     interval: np.ndarray
@@ -46,6 +50,16 @@ def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, rank
 
 
+def _split_ends(rank: np.ndarray, owner: np.ndarray, short: np.ndarray) -> None:
+    """Each end of a string is a letter of its own, smaller than all others, in the order of
+    the strings: suffixes that end within the letters compared so far get ranks of their own."""
+    order = short[np.argsort(rank[short] << 32 | owner[short])]
+    ranks = rank[order]
+    new = np.r_[True, ranks[1:] != ranks[:-1]]
+    at = np.arange(len(order))
+    rank[order] = ranks + at - np.maximum.accumulate(np.where(new, at, 0))
+
+
 def build(body: np.ndarray, lengths: np.ndarray, weights: np.ndarray, depth: int) -> RunIndex:
     """Index of strings that lie one behind the other in ``body``, with a weight each."""
     if depth < PACKED:
@@ -59,24 +73,25 @@ def build(body: np.ndarray, lengths: np.ndarray, weights: np.ndarray, depth: int
     inner[last] = False
     letters[inner] = body.astype(np.int64) + 1
     rest = last[owner] - np.arange(size)
-    # Each end is a letter of its own, smaller than all others, in the order of the strings.
-    key = np.zeros(size, np.int64)
     padded = np.r_[letters, np.zeros(PACKED, np.int64)]
+    key = np.zeros(size, np.int64)
     for n in range(PACKED):
-        key = key << 9 | np.where(rest >= n, padded[n : n + size], 0)
-    order, rank = _ranks(key)
-    covered, before_last = PACKED, 0
+        key = key << 9 | padded[n : n + size]
+    # What lies behind the end of a string does not count.
+    beyond = 9 * np.maximum(PACKED - 1 - rest, 0)
+    order, rank = _ranks(key >> beyond << beyond)
+    _split_ends(rank, owner, np.flatnonzero(rest < PACKED))
+    covered = PACKED
     longest = int(rest.max())
     at_depth = None
-    # The last round compares suffixes that end alike, which differ in their ends alone.
-    while before_last <= longest:
+    while covered <= longest:
         if at_depth is None and covered * 2 > depth:
             ahead = np.minimum(np.arange(size) + depth - covered, size - 1)
             at_depth = rank, rank[ahead]
         ahead = np.minimum(np.arange(size) + covered, size - 1)
         second = np.where(rest < covered, owner, rank[ahead])
         order, rank = _ranks(rank << 32 | second)
-        before_last, covered = covered, covered * 2
+        covered *= 2
     if at_depth is None:
         raise ValueError(f"strings are too short for a depth of {depth}")
     before = np.where(np.r_[True, ~inner[:-1]], 0, np.r_[0, letters[:-1]])
@@ -96,7 +111,8 @@ def build(body: np.ndarray, lengths: np.ndarray, weights: np.ndarray, depth: int
     begins = np.flatnonzero(new)
     best = np.minimum.reduceat(weights[owner[order]], begins)
     members = np.diff(np.r_[begins, size])
-    return RunIndex(start, to, sampled, np.where(enough, interval, -1), best, members)
+    run_at = np.searchsorted(start, np.arange(0, size, STEP), side="right") - 1
+    return RunIndex(np.r_[start, size], run_at, to, sampled, np.where(enough, interval, -1), best, members)
 
 
 def stream(index: RunIndex, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,11 +131,12 @@ def stream(index: RunIndex, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for back in range(1, int(lengths.max(initial=0)) + 1):
         walking = int(np.searchsorted(-ordered, -back, side="right"))
         rows = rows[:walking]
-        run = np.searchsorted(index.run_start, rows, side="right") - 1
-        rows = index.run_to[run] + rows - index.run_start[run]
+        run = np.take(index.run_at, rows // STEP)
+        while (behind := np.take(index.run_start, run + 1) <= rows).any():
+            run += behind
+        rows = np.take(index.run_to, run) + rows - np.take(index.run_start, run)
         place = begin[by_length[:walking]] + ordered[:walking] - back
-        interval = index.interval[rows]
-        known = interval >= 0
-        best[place[known]] = index.best[interval[known]]
-        count[place[known]] = index.members[interval[known]]
+        interval = np.take(index.interval, rows)
+        best[place] = np.take(index.best, interval)
+        count[place] = np.where(interval >= 0, np.take(index.members, interval), 0)
     return best, count

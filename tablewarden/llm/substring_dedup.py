@@ -39,7 +39,9 @@ ANCHOR = 16
 SIDE = -(-(WINDOW - ANCHOR) // 2)
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
-INDEX_BYTES = 1 << 19
+INDEX_BYTES = 1 << 18
+# Windows whose anchors are found at a time; the arrays fit the cache of a core.
+PART = 1 << 15
 ONE, TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -55,12 +57,9 @@ def unpack(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
 
 
-def _eight(data: np.ndarray) -> np.ndarray:
-    """Eight bytes from each place on, as one number."""
-    one = data.astype(np.uint64)
-    two = one[:-1] | (one[1:] << np.uint64(8))
-    four = two[:-2] | (two[2:] << np.uint64(16))
-    return four[:-4] | (four[4:] << np.uint64(32))
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on, as one number, without a copy."""
+    return np.ndarray((max(0, len(data) - 7),), "<u8", data, 0, (1,))
 
 
 def _mix(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -79,58 +78,81 @@ class Segments:
     bucket: np.ndarray
 
 
-def segments(data: np.ndarray, begins: np.ndarray, buckets: int) -> Segments:
-    """Segments of the documents that lie one behind the other in ``data``."""
-    none = np.zeros(0, np.int64)
-    if len(data) < WINDOW:
-        return Segments(none, none, none, none)
-    eight = _eight(data)
+def _anchors(lanes: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of the anchor of the windows that start from ``begin`` to ``end``."""
+    wide = WINDOW - ANCHOR + 1
+    eight = np.array(lanes[begin : end + wide - 1 + 8])
     hashes = _mix(eight[:-8], eight[8:])
     bits = np.uint64(int(len(hashes)).bit_length())
-    key = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
-    # Least key in each stretch of as many anchors as a window has.
-    wide = WINDOW - ANCHOR + 1
-    least, have = key, 1
+    least, have = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64), 1
     while have < wide:
         step = min(have, wide - have)
         least = np.minimum(least[:-step], least[step:])
         have += step
     place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return place + begin, np.take(hashes, place)
+
+
+def segments(data: np.ndarray, begins: np.ndarray, buckets: int) -> Segments:
+    """Segments of the documents that lie one behind the other in ``data``."""
+    none = np.zeros(0, np.int64)
+    windows = len(data) - WINDOW + 1
+    if windows < 1:
+        return Segments(none, none, none, none)
+    lanes = _lanes(data)
     # Windows that reach into the next document do not count.
-    inside = np.ones(len(place), bool)
-    for stop in begins[1:]:
-        inside[max(0, stop - WINDOW + 1) : stop] = False
-    new = np.r_[True, (place[1:] != place[:-1]) | (inside[1:] != inside[:-1])]
-    first = np.flatnonzero(new)
-    after = np.r_[first[1:], len(place)]
+    edge = np.zeros(windows + 1, np.int32)
+    stops = begins[1:]
+    np.add.at(edge, np.clip(stops - WINDOW + 1, 0, windows), 1)
+    np.add.at(edge, np.clip(stops, 0, windows), -1)
+    inside = np.cumsum(edge[:-1]) == 0
+    firsts, places, hashed = [], [], []
+    last = (-1, False)
+    for begin in range(0, windows, PART):
+        end = min(windows, begin + PART)
+        place, value = _anchors(lanes, begin, end)
+        here = inside[begin:end]
+        new = np.empty(end - begin, bool)
+        new[0] = last != (place[0], here[0])
+        np.not_equal(place[1:], place[:-1], out=new[1:])
+        new[1:] |= here[1:] != here[:-1]
+        at = np.flatnonzero(new)
+        firsts.append(at + begin)
+        places.append(np.take(place, at))
+        hashed.append(np.take(value, at))
+        last = (place[-1], here[-1])
+    first, place, value = (np.concatenate(x) for x in (firsts, places, hashed))
+    after = np.r_[first[1:], windows]
     use = inside[first]
-    first, after = first[use], after[use]
-    anchor = place[first]
-    bucket = ((hashes[anchor] * ONE) >> np.uint64(33)) % np.uint64(buckets)
-    return Segments(first, after + WINDOW - 1, anchor - first, bucket.astype(np.int64))
+    first, after, place, value = first[use], after[use], place[use], value[use]
+    bucket = ((value * ONE) >> np.uint64(33)) % np.uint64(buckets)
+    return Segments(first, after + WINDOW - 1, place - first, bucket.astype(np.int64))
 
 
-def _numbered(data: np.ndarray, found: Segments) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+def _numbered(data: np.ndarray, found: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segments in the order of their buckets, the number of each one's text within its
-    bucket, and the distinct texts of each bucket that has any."""
-    order = np.argsort(found.bucket, kind="stable")
-    raw = data.tobytes()
-    number = np.empty(len(order), np.int64)
-    texts: list[list[bytes]] = []
-    known: dict[bytes, int] = {}
-    last = -1
-    starts, ends, buckets = (x[order].tolist() for x in (found.start, found.end, found.bucket))
-    for n, (start, end, bucket) in enumerate(zip(starts, ends, buckets)):
-        if bucket != last:
-            known, last = {}, bucket
-            texts.append([])
-        text = raw[start:end]
-        at = known.get(text)
-        if at is None:
-            at = known[text] = len(known)
-            texts[-1].append(text)
-        number[n] = at
-    return order, number, texts
+    bucket, and which of them are the first of their text.
+
+    Equal texts are told by 128 bits of hash and by bucket.
+    """
+    lanes = _lanes(data)
+    low, high = np.zeros((2, len(found.start)), np.uint64)
+    last = found.end - 8
+    for step in range(0, 2 * WINDOW - ANCHOR, 8):
+        lane = lanes[np.minimum(found.start + step, last)]
+        low = (low ^ lane) * ONE
+        low ^= low >> np.uint64(29)
+        high = (high + lane) * TWO
+        high ^= high >> np.uint64(31)
+    low ^= (found.end - found.start).astype(np.uint64)
+    key = (found.bucket.astype(np.uint64) << np.uint64(44)) | (low >> np.uint64(20))
+    order = np.argsort(key, kind="stable")
+    key, low, high, bucket = key[order], low[order], high[order], found.bucket[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    number = np.cumsum(new)
+    begins = np.searchsorted(bucket, bucket, side="left")
+    return order, number - number[begins], new
 
 
 BLOCK_FIELDS = [("__block", pa.int64()), ("__ids", pa.binary()), ("__sizes", pa.binary()), ("__data", pa.binary())]
@@ -196,24 +218,23 @@ def _sent(packed: DataFrame, buckets: int) -> DataFrame:
                 found = segments(block.data, block.begins, buckets)
                 if not len(found.start):
                     continue
-                order, text_of, texts = _numbered(block.data, found)
-                doc = np.searchsorted(block.begins, found.start[order], side="right") - 1
+                order, text_of, first = _numbered(block.data, found)
+                starts, ends, anchors, bucket = (
+                    x[order] for x in (found.start, found.end, found.anchor, found.bucket)
+                )
+                doc = np.searchsorted(block.begins, starts, side="right") - 1
                 ids = block.ids[doc]
-                anchors, bucket = found.anchor[order], found.bucket[order]
+                raw = block.data.tobytes()
                 cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-                stops = np.r_[cut[1:], len(bucket)]
-                for start, stop, own in zip(cut, stops, texts):
-                    least = np.full(len(own), np.iinfo(np.int64).max)
-                    most = np.full(len(own), -1, np.int64)
-                    anchor = np.zeros(len(own), np.uint8)
-                    at = text_of[start:stop]
-                    np.minimum.at(least, at, ids[start:stop])
-                    np.maximum.at(most, at, ids[start:stop])
-                    anchor[at] = anchors[start:stop]
-                    lengths = np.array([len(t) for t in own], np.uint8)
+                for start, stop in zip(cut, np.r_[cut[1:], len(bucket)]):
+                    own = start + np.flatnonzero(first[start:stop])
+                    least = np.minimum.reduceat(ids[start:stop], own - start)
+                    most = np.maximum.reduceat(ids[start:stop], own - start)
+                    spans = zip(starts[own].tolist(), ends[own].tolist())
                     row = [
                         int(bucket[start]), number, pack(least), pack((most > least).astype(np.uint8)),
-                        pack(lengths), pack(anchor), zstandard.compress(b"".join(own), 3),
+                        pack((ends - starts)[own].astype(np.uint8)), pack(anchors[own].astype(np.uint8)),
+                        zstandard.compress(b"".join([raw[a:b] for a, b in spans]), 3),
                     ]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema
@@ -240,11 +261,11 @@ def _shared(key: np.ndarray, ids: np.ndarray, more: np.ndarray, able: np.ndarray
     return shared
 
 
-def _fold(body: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
-    """Hash of ``size`` bytes from each start on."""
+def _fold(lanes: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Hash of ``size`` bytes, eight or more, from each start on."""
     value = np.zeros(len(start), np.uint64)
-    for n in range(size):
-        value = (value ^ body[np.minimum(start + n, len(body) - 1)]) * ONE
+    for n in sorted({*range(0, size - 7, 8), size - 8}):
+        value = (value ^ lanes[np.clip(start + n, 0, len(lanes) - 1)]) * ONE
         value ^= value >> np.uint64(31)
     return value
 
@@ -265,11 +286,11 @@ def _answers(bucket: int, rows: list[dict]) -> Iterator[tuple]:
     more = np.concatenate([unpack(r["__more"], "u1") for r in rows])
     anchor = np.concatenate([unpack(r["__anchor"], "u1") for r in rows]).astype(np.int64)
     raw = b"".join(zstandard.decompress(r["__body"]) for r in rows)
-    body = np.frombuffer(raw, np.uint8)
+    lanes = _lanes(np.frombuffer(raw, np.uint8))
     start = np.cumsum(length) - length
-    core = _fold(body, start + anchor, ANCHOR)
-    left = core ^ _fold(body, np.maximum(start + anchor - SIDE, 0), SIDE)
-    right = core + _fold(body, start + anchor + ANCHOR, SIDE) * TWO
+    core = _fold(lanes, start + anchor, ANCHOR)
+    left = core ^ _fold(lanes, np.maximum(start + anchor - SIDE, 0), SIDE)
+    right = core + _fold(lanes, start + anchor + ANCHOR, SIDE) * TWO
     use = _shared(left, ids, more, anchor >= SIDE) | _shared(
         right, ids, more, length - anchor - ANCHOR >= SIDE
     )
