@@ -162,7 +162,8 @@ def dedup_lines(
     delete keeps its text as it is, NULL included; one whose lines all go has an empty text.
     """
     gone = materialize(repeated_lines(docs, min_lines, id_col, text_col), "gone").frame
-    joined = keyed(docs, id_col, text_col).join(gone, ["__id", "__hash"], "left")
+    # One plan at every size: the texts are dealt by document, however few of them change.
+    joined = keyed(docs, id_col, text_col).join(gone.hint("merge"), ["__id", "__hash"], "left")
     text = F.col(text_col)
     kept = bind(F.col("__gone"), lambda g: _kept(text, g))
     return joined.withColumn("__kept", F.when(F.col("__gone").isNull(), text).otherwise(kept))
