@@ -259,4 +259,4 @@ def passage_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a benchmark passage."""
     bad = materialize(find_passages(docs, benchmark).select("__id", "__hash").distinct(), "bad").frame
-    return keyed(docs).join(bad, ["__id", "__hash"], "left_anti").select(*docs.columns)
+    return keyed(docs).join(bad.hint("merge"), ["__id", "__hash"], "left_anti").select(*docs.columns)

@@ -217,5 +217,5 @@ def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFram
     groups = near_duplicates(docs, shingle, max_bits)
     first = groups.where("__id = __first_id and __hash = __first_hash")
     chosen = first.select("__id", "__hash").distinct()
-    kept = keyed(docs).join(chosen, ["__id", "__hash"], "left_semi")
+    kept = keyed(docs).join(chosen.hint("merge"), ["__id", "__hash"], "left_semi")
     return kept.dropDuplicates(["__id", "__hash"]).select(*docs.columns)

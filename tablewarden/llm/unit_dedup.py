@@ -103,7 +103,7 @@ def dedup_units(
     rows = docs.select(
         id_rank(id_col).alias("__id"), text_hash(text_col).alias("__hash"), F.col(text_col).alias("__text")
     )
-    joined = rows.join(spans, ["__id", "__hash"], "left").select("__id", "__text", "__spans")
+    joined = rows.join(spans.hint("merge"), ["__id", "__hash"], "left").select("__id", "__text", "__spans")
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     schema = pa.schema(
         [("__id", pa.int64()), ("text", pa.string()), ("removed", span), ("removed_chars", pa.int64()), ("kept", span)]
