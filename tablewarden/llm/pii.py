@@ -270,9 +270,10 @@ def pii_report(docs: DataFrame) -> DataFrame:
             F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
         )
 
-    counts = [
-        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS
-    ]
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in KINDS]
     return find_pii(docs).select(
         "doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans")
     )
