@@ -131,7 +131,8 @@ def fit(
 ) -> Linear:
     """Ratios from all labelled training rows, weights from at most ``train_rows`` of them."""
     known = training_rows(labels, label, id_col)
-    rows = docs.select(id_col, text_col).join(known, id_col).select("__label", text_col)
+    # One plan at every size, although few labels could be sent to all tasks.
+    rows = docs.select(id_col, text_col).join(known.hint("merge"), id_col).select("__label", text_col)
     ratio = ratios(count_features(rows))
     sample = F.broadcast(bounded_sample(known, train_rows, id_col))
     chosen = docs.select(id_col, text_col).join(sample, id_col).select(id_col, "__label", text_col)
