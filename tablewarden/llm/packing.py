@@ -125,12 +125,25 @@ class Slots:
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slots]:
-    """Best fit, longest first, on the number of pieces of each length."""
+    """Best fit, longest first, on the number of pieces of each length.
+
+    A piece goes where the least room is left that takes it. After a piece, the same sequence
+    has the least room for the next one of its length; so sequences of equal room are filled
+    one after the other with as many as they take, all of them in one step.
+    """
     # Runs of sequences with the same room, by room: (first sequence, number).
     room: dict[int, list[tuple[int, int]]] = {}
     rooms: list[int] = []
     made: list[Slots] = []
     sequences = 0
+
+    def put(free: int, first: int, number: int) -> None:
+        if free and number:
+            if not room.get(free):
+                bisect.insort(rooms, free)
+                room[free] = []
+            room[free].append((first, number))
+
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
         while left:
@@ -138,23 +151,24 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slots]:
             if at < len(rooms):
                 free = rooms[at]
                 first, number = room[free].pop()
+                if not room[free]:
+                    rooms.remove(free)
             else:
-                free, first, number = capacity, sequences, left * length // capacity + 1
-                number = min(left, number)
+                # As many new sequences as the pieces that are left can use.
+                free, first, number = capacity, sequences, -(-left // (capacity // length))
                 sequences += number
-                bisect.insort(rooms, free)
-                room[free] = []
-            used = min(left, number)
-            if used < number:
-                room[free].append((first + used, number - used))
-            if not room[free]:
-                rooms.remove(free)
-            made.append(Slots(length, rank, used, first, capacity - free))
-            if free > length:
-                if free - length not in room or not room[free - length]:
-                    bisect.insort(rooms, free - length)
-                room.setdefault(free - length, []).append((first, used))
-            rank, left = rank + used, left - used
+            stack = free // length
+            full = min(number, left // stack)
+            rest = left - full * stack if full < number else 0
+            for count, begin, pieces_each in ((full, first, stack), (1, first + full, rest)):
+                for n in range(pieces_each if count else 0):
+                    made.append(Slots(length, rank, count, begin, capacity - free + n * length))
+                    rank += count
+                    left -= count
+                if pieces_each:
+                    put(free - pieces_each * length, begin, count)
+            used = full + (rest > 0)
+            put(free, first + used, number - used)
     return made
 
 

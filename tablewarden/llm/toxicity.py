@@ -28,7 +28,8 @@ from tablewarden.llm.common import (
 )
 from tablewarden.llm.quality_model import sigmoid
 
-N = 5
+# Bytes of an n-gram: short ones for stems, longer ones for words built from common syllables.
+SIZES = (5, 7)
 BITS = 18
 FEATURES = 1 << BITS
 CHUNK = 1 << 12
@@ -44,14 +45,18 @@ FOLD[9:14] = 32
 
 def features(text: str | None) -> np.ndarray:
     """Sorted numbers of the n-grams in a text, each once."""
-    data = FOLD[np.frombuffer(f" {text or ''} ".encode(), np.uint8)].astype(np.uint64)
-    if len(data) < N:
+    if not text:
         return np.zeros(0, np.int64)
+    data = FOLD[np.frombuffer(f" {text}{' ' * 7}".encode(), np.uint8)].astype(np.uint64)
     two = data[:-1] | (data[1:] << np.uint64(8))
     four = two[:-2] | (two[2:] << np.uint64(16))
-    five = four[:-1] | (data[4:] << np.uint64(32))
-    hashed = (five * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
-    return np.unique(hashed.astype(np.int64))
+    eight = four[:-4] | (four[4:] << np.uint64(32))
+    found = []
+    for n in SIZES:
+        grams = eight & np.uint64((1 << 8 * n) - 1)
+        hashed = (grams * np.uint64(0x9E3779B97F4A7C15 + 2 * n)) >> np.uint64(64 - BITS)
+        found.append(hashed.astype(np.int64))
+    return np.unique(np.concatenate(found))
 
 
 @dataclass(frozen=True)
