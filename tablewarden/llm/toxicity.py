@@ -151,7 +151,7 @@ def fit(
     got = chosen.mapInArrow(run, "id long, label int, found binary").collect()
     got.sort(key=lambda r: (r["id"], bytes(r["found"])))
     order = np.random.default_rng(3).permutation(len(got))
-    found = [np.frombuffer(bytes(got[i]["found"]), "<u4").astype(np.int64) for i in order]
+    found = [np.frombuffer(got[i]["found"], "<u4") for i in order]
     return train(found, np.array([got[i]["label"] for i in order], np.float64), ratio)
 
 
