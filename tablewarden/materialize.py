@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.session import scratch_root
@@ -18,6 +18,7 @@ class WrittenTable:
     paths: tuple[str, ...]
     frame: DataFrame
     rows: int
+    metrics: dict
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -31,8 +32,8 @@ def read_written(spark: SparkSession, paths: tuple[str, ...], like: DataFrame) -
     return spark.read.schema(like.schema).parquet(*paths)
 
 
-def materialize(df: DataFrame, label: str) -> WrittenTable:
-    """Write ``df`` and read it back; the row count rides on the write.
+def materialize(df: DataFrame, label: str, **metrics: Column) -> WrittenTable:
+    """Write ``df`` and read it back; the row count and other aggregates ride on the write.
 
     Unlike cached or locally checkpointed data the files outlive any executor, and their
     size on disk tells the optimizer whether a later join may broadcast them.
@@ -40,5 +41,15 @@ def materialize(df: DataFrame, label: str) -> WrittenTable:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     observed = Observation()
-    df.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return WrittenTable((path,), read_written(spark, (path,), df), observed.get["rows"])
+    counted = [F.count(F.lit(1)).alias("rows"), *(m.alias(name) for name, m in metrics.items())]
+    df.observe(observed, *counted).write.parquet(path)
+    found = dict(observed.get)
+    return WrittenTable((path,), read_written(spark, (path,), df), found.pop("rows"), found)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; nothing that reads them may follow."""
+    folder = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

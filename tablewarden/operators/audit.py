@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.operators.entities import missing_entities
-from tablewarden.operators.lineage import has_lineage, linked_nodes
+from tablewarden.operators.entities import expected_key, missing_entities
+from tablewarden.operators.lineage import has_lineage
 
 
 class CatalogVerificationError(AssertionError):
@@ -33,17 +33,40 @@ def metadata_audit(
     entities: DataFrame, classifications: DataFrame, edges: DataFrame
 ) -> DataFrame:
     """Share of entities per type that are described, owned, tagged and in lineage."""
-    tagged = classifications.select("guid").distinct().withColumn("tagged", F.lit(1))
-    linked = linked_nodes(edges).withColumn("linked", F.lit(1))
-    flags = (
-        entities.select(
+    # Marks and entities meet in one aggregate; a hub's edges are cut to one row per task.
+    none = F.lit(None).cast("string")
+    described = entities.select(
+        "guid",
+        "type_name",
+        (F.coalesce("description", F.lit("")) != "").alias("described"),
+        (F.coalesce("owner", F.lit("")) != "").alias("owned"),
+        F.lit(False).alias("is_tagged"),
+        F.lit(False).alias("is_linked"),
+    )
+
+    def marks(guids: DataFrame, tagged: bool) -> DataFrame:
+        return guids.select(
             "guid",
-            "type_name",
-            (F.coalesce("description", F.lit("")) != "").alias("described"),
-            (F.coalesce("owner", F.lit("")) != "").alias("owned"),
+            none.alias("type_name"),
+            F.lit(None).cast("boolean").alias("described"),
+            F.lit(None).cast("boolean").alias("owned"),
+            F.lit(tagged).alias("is_tagged"),
+            F.lit(not tagged).alias("is_linked"),
         )
-        .join(tagged, "guid", "left")
-        .join(linked, "guid", "left")
+
+    ends = edges.select(F.explode(F.array("src_guid", "dst_guid")).alias("guid"))
+    flags = (
+        described.unionByName(marks(classifications, True))
+        .unionByName(marks(ends, False))
+        .groupBy("guid")
+        .agg(
+            F.max("type_name").alias("type_name"),
+            F.max("described").alias("described"),
+            F.max("owned").alias("owned"),
+            F.max("is_tagged").alias("tagged"),
+            F.max("is_linked").alias("linked"),
+        )
+        .filter("described IS NOT NULL")
     )
 
     def share(condition):
@@ -53,21 +76,35 @@ def metadata_audit(
         F.count(F.lit(1)).alias("n_entities"),
         share(F.col("described")).alias("described"),
         share(F.col("owned")).alias("owned"),
-        share(F.col("tagged").isNotNull()).alias("tagged"),
-        share(F.col("linked").isNotNull()).alias("with_lineage"),
+        share(F.col("tagged")).alias("tagged"),
+        share(F.col("linked")).alias("with_lineage"),
     )
 
 
 def verify_catalog(
-    entities: DataFrame, edges: DataFrame, expected: DataFrame, lineage_of: list[str]
+    entities: DataFrame,
+    edges: DataFrame,
+    expected: DataFrame,
+    lineage_of: list[str | tuple[str, str]],
 ) -> None:
-    """Raise unless all expected entities exist and the named ones have lineage."""
-    missing = missing_entities(entities, expected).orderBy("type_name", "name").limit(20).collect()
+    """Raise unless all expected entities exist and the listed ones have lineage.
+
+    ``expected`` is keyed as in ``missing_entities``. ``lineage_of`` lists (type name,
+    qualified name) pairs; a plain name stands for any entity of that name. All that is
+    missing is named: both lists are written by people.
+    """
+    key = expected_key(expected)
+    missing = missing_entities(entities, expected).orderBy("type_name", key).collect()
     if missing:
-        names = ", ".join(f"{row['type_name']}:{row['name']}" for row in missing)
-        raise CatalogVerificationError(f"missing entities, among them: {names}")
-    wanted = entities.filter(F.col("name").isin(lineage_of))
-    linked = {row["name"] for row in has_lineage(edges, wanted).select("name").distinct().collect()}
-    unlinked = sorted(set(lineage_of) - linked)
+        names = ", ".join(f"{row['type_name']}:{row[key]}" for row in missing)
+        raise CatalogVerificationError(f"missing entities: {names}")
+    pairs = [item for item in lineage_of if not isinstance(item, str)]
+    names = [item for item in lineage_of if isinstance(item, str)]
+    wanted = F.col("name").isin(names)
+    for type_name, qualified_name in pairs:
+        wanted |= (F.col("type_name") == type_name) & (F.col("qualified_name") == qualified_name)
+    found = has_lineage(edges, entities.filter(wanted)).select("type_name", "qualified_name", "name")
+    linked = {key for r in found.distinct().collect() for key in (r["name"], (r[0], r[1]))}
+    unlinked = [item if isinstance(item, str) else ":".join(item) for item in lineage_of if item not in linked]
     if unlinked:
-        raise CatalogVerificationError(f"no lineage for: {', '.join(unlinked)}")
+        raise CatalogVerificationError(f"no lineage for: {', '.join(sorted(unlinked))}")

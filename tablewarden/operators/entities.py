@@ -69,10 +69,16 @@ def first_by_key(entities: DataFrame) -> DataFrame:
     """The earliest entity per (type_name, qualified_name).
 
     Rank 1 of a window is kept per task before the shuffle (a window group limit), so a
-    key that is repeated in a large share of the rows stays cheap.
+    key that is repeated in a large share of the rows stays cheap. Rows without a time come
+    last, and ties are broken by all other columns.
     """
     first = Window.partitionBy("type_name", "qualified_name").orderBy(
-        "create_time", "guid", "name", "owner", "description"
+        F.asc_nulls_last("create_time"),
+        "name",
+        "owner",
+        "description",
+        "status",
+        F.to_json(F.array_sort(F.map_entries("attributes"))),
     )
     return entities.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
@@ -91,15 +97,22 @@ def upsert_entities(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(new_entities(existing, incoming), allowMissingColumns=True)
 
 
+def expected_key(expected: DataFrame) -> str:
+    """What names an expected entity within its type: its qualified name where it is given."""
+    return "qualified_name" if "qualified_name" in expected.columns else "name"
+
+
 def missing_entities(entities: DataFrame, expected: DataFrame) -> DataFrame:
-    """Expected (type_name, name) pairs without a live entity, each once.
+    """Expected entities without a live one, each once.
 
-    Both sides are made distinct first: names repeat, and a repeated name would put all
-    its rows into one join partition.
+    ``expected`` has (type_name, qualified_name), or (type_name, name) where any database
+    will do. Both sides are made distinct first: names repeat, and a repeated name would put
+    all its rows into one join partition.
     """
-    live = entities.filter(F.col("status") == ACTIVE).select("type_name", "name").distinct()
-    wanted = expected.select("type_name", "name").distinct()
-    return wanted.join(live, ["type_name", "name"], "left_anti")
+    key = ["type_name", expected_key(expected)]
+    live = entities.filter(F.col("status") == ACTIVE).select(*key).distinct()
+    wanted = expected.select(*key).distinct()
+    return wanted.join(live, key, "left_anti")
 
 
 def resolve_refs(

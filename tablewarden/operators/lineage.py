@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.materialize import materialize, read_written
+from tablewarden.materialize import WrittenTable, materialize, read_written
 from tablewarden.operators.model import EDGES
 
 # Hops followed when none are given, for traversal and for export.
@@ -34,41 +36,76 @@ def build_edges(process_io: DataFrame, unique: bool = False) -> DataFrame:
     return edges if unique else edges.distinct()
 
 
+# Fixed value: what is recorded of each version of an edge table.
+PUBLISHED = "version STRING, buckets INT, published_at BIGINT"
+
+
 @dataclass(frozen=True)
 class EdgeTable:
-    """Edges written twice, in folders by hash bucket of their source and of their target.
+    """Edges in folders by hash bucket of their source, and again by that of their target.
 
-    A walk joins on the bucket too. When its frontier is small enough to broadcast, Spark
-    prunes the folders at run time, so that a hop reads only the buckets of its nodes and
-    not the whole table. The files of a bucket with a hot node are split among tasks like
-    any others.
+    A hop reads only the buckets of its nodes: their numbers, of which there are at most
+    ``buckets``, are known when the nodes have been written and become a plain filter on
+    folders. The files of a bucket with a hot node are split among tasks like any others.
+    A side that no walk needs may be left out.
     """
 
-    by_source: DataFrame
-    by_target: DataFrame
+    by_source: DataFrame | None
+    by_target: DataFrame | None
     buckets: int
 
+    def side(self, forward: bool) -> DataFrame:
+        found = self.by_source if forward else self.by_target
+        if found is None:
+            raise ValueError("the edge table was written without the side that this walk needs")
+        return found
+
+
+_SIDES = {True: ("by_source", "src_guid"), False: ("by_target", "dst_guid")}
+
 
 def _bucket(column: str, buckets: int) -> str:
     return f"CAST(pmod(xxhash64({column}), {buckets}) AS INT)"
 
 
-def write_edges(edges: DataFrame, path: str, buckets: int) -> EdgeTable:
-    """Write an edge table below ``path``; choose buckets of some hundred megabytes."""
-    for folder, key in (("by_source", "src_guid"), ("by_target", "dst_guid")):
-        keyed = edges.selectExpr("src_guid", "dst_guid", f"{_bucket(key, buckets)} AS bucket")
-        keyed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(f"{path}/{folder}")
-    return read_edges(edges.sparkSession, path, buckets)
+def write_edges(
+    edges: DataFrame, path: str, buckets: int, directions: str = BOTH
+) -> EdgeTable:
+    """Write a new version of the edge table below ``path`` and publish it.
+
+    Choose buckets of some hundred megabytes. The version and its number of buckets are
+    recorded in one row when both sides are whole, so readers see the version before or this
+    one and need no number. ``directions`` leaves out the side that walks will not need.
+    """
+    spark = edges.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    wanted = [d for d in (True, False) if directions in (BOTH, OUTPUT if d else INPUT)]
+    once = materialize(edges.select("src_guid", "dst_guid"), "edges").frame if len(wanted) > 1 else edges
+    for forward in wanted:
+        folder, key = _SIDES[forward]
+        keyed = once.selectExpr("src_guid", "dst_guid", f"{_bucket(key, buckets)} AS bucket")
+        keyed.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(
+            f"{path}/{version}/{folder}"
+        )
+    record = spark.createDataFrame([(version, buckets, time.time_ns())], PUBLISHED)
+    record.coalesce(1).write.mode("append").parquet(f"{path}/published")
+    return _open_edges(spark, f"{path}/{version}", buckets, wanted)
 
 
-def read_edges(spark: SparkSession, path: str, buckets: int) -> EdgeTable:
-    """The edge table below ``path``; ``buckets`` as it was written."""
+def _open_edges(spark: SparkSession, path: str, buckets: int, sides: list[bool]) -> EdgeTable:
     reader = spark.read.schema(EDGES + ", bucket INT")
-    return EdgeTable(
-        reader.parquet(f"{path}/by_source"), reader.parquet(f"{path}/by_target"), buckets
-    )
+    found = [reader.parquet(f"{path}/{_SIDES[s][0]}") if s in sides else None for s in (True, False)]
+    return EdgeTable(*found, buckets)
+
+
+def read_edges(spark: SparkSession, path: str, directions: str = BOTH) -> EdgeTable:
+    """The version of the edge table below ``path`` that was published last."""
+    known = spark.read.schema(PUBLISHED).parquet(f"{path}/published")
+    newest = known.orderBy(F.desc("published_at")).first()
+    if newest is None:
+        raise ValueError(f"no edge table is published below {path}")
+    sides = [d for d in (True, False) if directions in (BOTH, OUTPUT if d else INPUT)]
+    return _open_edges(spark, f"{path}/{newest['version']}", newest["buckets"], sides)
 
 
 def _steps(edges: DataFrame | EdgeTable, forward: bool) -> tuple[DataFrame, list[str]]:
@@ -77,12 +114,33 @@ def _steps(edges: DataFrame | EdgeTable, forward: bool) -> tuple[DataFrame, list
     ends = [f"{here} AS guid", f"{there} AS next_guid"]
     if isinstance(edges, DataFrame):
         return edges.selectExpr(*ends), ["guid"]
-    side = edges.by_source if forward else edges.by_target
-    return side.selectExpr("bucket", *ends), ["bucket", "guid"]
+    return edges.side(forward).selectExpr("bucket", *ends), ["bucket", "guid"]
+
+
+def _written(nodes: DataFrame, edges: DataFrame | EdgeTable, label: str) -> WrittenTable:
+    """Nodes written once, with the buckets that they fall into."""
+    if isinstance(edges, DataFrame):
+        return materialize(nodes, label)
+    bucket = F.expr(_bucket("guid", edges.buckets))
+    return materialize(nodes, label, buckets=F.collect_set(bucket))
+
+
+def _edges_of(edges: DataFrame | EdgeTable, nodes: WrittenTable, forward: bool) -> DataFrame:
+    """Rows of ``nodes`` with the ``next_guid`` of each of their edges."""
+    steps, on = _steps(edges, forward)
+    frame = nodes.frame
+    if "bucket" in on:
+        steps = steps.filter(F.col("bucket").isin(sorted(nodes.metrics["buckets"])))
+        frame = frame.selectExpr("*", f"{_bucket('guid', edges.buckets)} AS bucket")
+    return frame.join(steps, on)
 
 
 def _walk(
-    edges: DataFrame | EdgeTable, seeds: DataFrame, depth: int | None, forward: bool
+    edges: DataFrame | EdgeTable,
+    seeds: DataFrame,
+    depth: int | None,
+    forward: bool,
+    source: str | None = None,
 ) -> DataFrame:
     """Breadth-first walk from all seeds at once, the least hop per (labels, guid).
 
@@ -93,25 +151,26 @@ def _walk(
     at most the current hop, and the size of a written frontier decides whether the next
     join broadcasts it. A node with very many edges is a hot join key; adaptive execution
     splits its partition, which it can because the frontier is a table and not the output
-    of an aggregate on the same key.
+    of an aggregate on the same key. ``source`` names a column that is no label: of several
+    ways to a node with the least hop, the one with the least source counts.
     """
-    labels = [c for c in seeds.columns if c != "guid"]
+    labels = [c for c in seeds.columns if c not in ("guid", source)]
     keys = [*labels, "guid"]
-    steps, on = _steps(edges, forward)
-    start = seeds.select(*keys).distinct().selectExpr("*", "0 AS hop")
-    frontier = materialize(start, "frontier")
+    carried = [] if source is None else [source]
+
+    def nearest(rows: DataFrame) -> DataFrame:
+        least = F.min(F.struct("hop", *carried)).alias("_least")
+        return rows.groupBy(*keys).agg(least).select(*keys, "_least.*")
+
+    frontier = _written(nearest(seeds.selectExpr(*keys, *carried, "0 AS hop")), edges, "frontier")
     paths, seen, hop = frontier.paths, frontier.frame, 0
     while frontier.rows and (depth is None or hop < depth):
-        # The filter keeps every row; it is what makes Spark prune the buckets at run time.
-        newest = frontier.frame.filter(f"hop = {hop}")
-        if "bucket" in on:
-            newest = newest.selectExpr("*", f"{_bucket('guid', edges.buckets)} AS bucket")
         hop += 1
-        reached = newest.join(steps, on).selectExpr(
-            *labels, "next_guid AS guid", f"{hop} AS hop"
+        reached = _edges_of(edges, frontier, forward).selectExpr(
+            *labels, "next_guid AS guid", f"{hop} AS hop", *carried
         )
-        known = seen.unionAll(reached).groupBy(*keys).agg(F.min("hop").alias("hop"))
-        frontier = materialize(known.filter(f"hop = {hop}"), "frontier")
+        known = nearest(seen.unionByName(reached))
+        frontier = _written(known.filter(f"hop = {hop}"), edges, "frontier")
         if frontier.rows:
             paths += frontier.paths
             seen = read_written(seeds.sparkSession, paths, seen)
@@ -142,18 +201,27 @@ def lineage(
 
 
 def lineage_counts(edges: DataFrame, guids: DataFrame | None = None) -> DataFrame:
-    """Incoming and outgoing edges of every node, or of the given ones, in one aggregate."""
+    """Incoming and outgoing edges of every node, or of the given ones.
+
+    Edges are counted before anything is joined, so a hub moves as one row per task. A given
+    node without edges has 0 of both.
+    """
     ends = F.array(
         F.struct(F.col("src_guid").alias("guid"), F.lit(0).alias("i"), F.lit(1).alias("o")),
         F.struct(F.col("dst_guid").alias("guid"), F.lit(1).alias("i"), F.lit(0).alias("o")),
     )
-    touched = edges.select(F.inline(ends))
-    if guids is not None:
-        touched = touched.join(guids.select("guid").distinct(), "guid", "left_semi")
-    return (
-        touched.groupBy("guid")
+    counts = (
+        edges.select(F.inline(ends))
+        .groupBy("guid")
         .agg(F.sum("i").alias("n_inputs"), F.sum("o").alias("n_outputs"))
     )
+    if guids is None:
+        return counts
+    asked = guids.select("guid").distinct()
+    zero = F.lit(0).cast("long")
+    return asked.join(counts, "guid", "left").select(
+        "guid", *[F.coalesce(n, zero).alias(n) for n in ("n_inputs", "n_outputs")]
+    )
 
 
 def linked_nodes(edges: DataFrame) -> DataFrame:
@@ -171,12 +239,12 @@ def impact(
     entities: DataFrame,
     classifications: DataFrame,
     roots: DataFrame,
-    depth: int | None = DEFAULT_DEPTH,
+    depth: int | None = None,
     tags: list[str] = CRITICAL_TAGS,
 ) -> DataFrame:
     """Critical entities downstream of the roots, one row per entity and critical tag.
 
-    The roots themselves are included when they carry such a tag.
+    The whole graph is walked unless a depth is given. The roots themselves are included when they carry such a tag.
     """
     reached = lineage(edges, roots, depth, OUTPUT).select("root", "guid", "hop")
     hits = (
@@ -205,23 +273,33 @@ def propagate_tags(
     """Tags of each entity, its own and those of everything upstream of it.
 
     The walk carries the tag and not its source, so its state is bounded by tags times
-    nodes however many entities carry a tag. Own tags keep ``propagated`` false.
+    nodes however many entities carry a tag. Own tags keep ``propagated`` false. A tag
+    brings the attributes it has where it comes from: of several sources the nearest, then
+    the one with the least guid.
     """
-    chosen = classifications
+    chosen = classifications.select("guid", "classification", "attributes")
     if tags is not None:
         chosen = chosen.filter(F.col("classification").isin(tags))
-    reached = _walk(edges, chosen.select("classification", "guid"), None, True)
-    return reached.select("guid", "classification", (F.col("hop") > 0).alias("propagated"))
+    seeds = chosen.select("classification", "guid", F.col("guid").alias("source"))
+    reached = materialize(_walk(edges, seeds, None, True, "source"), "tagged").frame
+    # An entity that carries a tag twice gives the values that sort first.
+    values = chosen.groupBy(F.col("guid").alias("source"), "classification").agg(
+        F.min_by("attributes", F.to_json(F.array_sort(F.map_entries("attributes")))).alias("attributes")
+    )
+    own = materialize(values, "tag-values").frame
+    return reached.join(own, ["source", "classification"], "left").select(
+        "guid", "classification", "attributes", (F.col("hop") > 0).alias("propagated")
+    )
 
 
 def export_lineage(
-    edges: DataFrame, entities: DataFrame, root: str, depth: int = EXPORT_DEPTH
+    edges: DataFrame | EdgeTable, entities: DataFrame, root: str, depth: int = EXPORT_DEPTH
 ) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges of the lineage around one root, ready to be written as JSON lines.
 
     The edges are those that the walks up and down followed.
     """
-    start = edges.sparkSession.createDataFrame([(root,)], "guid STRING")
+    start = entities.sparkSession.createDataFrame([(root,)], "guid STRING")
     walked = lineage(edges, start, depth, BOTH)
     # Both walks hold the root, and a cycle may put a node into both.
     ids = walked.select("guid").distinct()
@@ -236,13 +314,15 @@ def export_lineage(
         ).alias("properties"),
     )
     inner = walked.filter(F.col("hop") < depth)
-    down = inner.filter(F.col("direction") == OUTPUT).select(F.col("guid").alias("src_guid"))
-    up = inner.filter(F.col("direction") == INPUT).select(F.col("guid").alias("dst_guid"))
-    followed = (
-        edges.join(down, "src_guid", "left_semi")
-        .unionByName(edges.join(up, "dst_guid", "left_semi"))
-        .distinct()
-    )
+
+    def followed_from(direction: str) -> DataFrame:
+        forward = direction == OUTPUT
+        nodes = inner.filter(F.col("direction") == direction).select("guid").distinct()
+        here, there = ("guid", "next_guid") if forward else ("next_guid", "guid")
+        taken = _edges_of(edges, _written(nodes, edges, "exported"), forward)
+        return taken.select(F.col(here).alias("src_guid"), F.col(there).alias("dst_guid"))
+
+    followed = followed_from(OUTPUT).unionByName(followed_from(INPUT)).distinct()
     links = followed.select(
         F.col("src_guid").alias("source"),
         F.col("dst_guid").alias("target"),

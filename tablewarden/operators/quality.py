@@ -53,8 +53,11 @@ def run_checks(
     """One row per check: rows, rows that pass, pass rate, passed or not.
 
     All checks share one scan and one aggregate. A predicate that is NULL fails. An
-    empty table has no pass rate and passes no check.
+    empty table has no pass rate and passes no check. Without checks there are no rows.
     """
+    if not checks:
+        # One check of any kind gives the columns.
+        return run_checks(df, [Check("", "", "true", 0.0)], dataset, run_date).filter("false")
     passes = [F.count_if(F.expr(c.expression)).alias(f"pass_{i}") for i, c in enumerate(checks)]
     totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *passes)
     rows = [
@@ -107,6 +110,8 @@ def quality_metrics(df: DataFrame, rules: MetricRules, run_date: date | str) ->
             hits.cast("double"), (F.count(F.lit(1)) * F.lit(len(flags))).cast("double")
         )
 
+    if not rules.required:
+        raise ValueError("completeness needs at least one required column")
     present = [F.col(name).isNotNull() for name in rules.required]
     typed = [
         lenient_cast(F.col(name), df.schema[name].dataType, kind).isNotNull()
@@ -204,41 +209,44 @@ def require_primary_key(df: DataFrame, keys: list[str]) -> None:
 
 
 def _as_text(name: str, data_type: T.DataType) -> Column:
-    """Text of a minimum or maximum, the same whatever the session time zone."""
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.format_string("%.4f", F.col(name).cast("double"))
-    if isinstance(data_type, (T.TimestampNTZType, T.TimestampType)):
-        return F.date_format(F.col(name), "yyyy-MM-dd HH:mm:ss")
+    """Exact text of a minimum or maximum, the same whatever the session time zone."""
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(data_type, T.TimestampType):
+        utc = F.expr(f"convert_timezone(current_timezone(), 'UTC', CAST(`{name}` AS TIMESTAMP_NTZ))")
+        return F.date_format(utc, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return F.col(name).cast("string")
 
 
 def column_stats(df: DataFrame, bounds: bool = True, distinct: bool = True) -> DataFrame:
     """One row per column: rows, NULLs, minimum, maximum, approximate distinct values.
 
-    One scan and one aggregate whose state has a fixed size. Columns that have no order
-    get NULL bounds. Without ``bounds`` and ``distinct`` only rows and NULLs are counted.
+    One scan and one aggregate whose state has a fixed size. Bounds of floating point
+    columns are given as numbers, ``min_number`` and ``max_number``, all others as text,
+    times in UTC to the microsecond. Columns that have no order get NULL bounds. Without
+    ``bounds`` and ``distinct`` only rows and NULLs are counted.
     """
     measures, rows = [F.count(F.lit(1)).alias("n_rows")], []
     for i, column in enumerate(df.schema):
         ordered = not isinstance(column.dataType, (T.ArrayType, T.MapType, T.StructType))
+        floating = isinstance(column.dataType, (T.DoubleType, T.FloatType))
         value = F.col(f"`{column.name}`")
         measures.append(F.count_if(value.isNull()).alias(f"nulls_{i}"))
         if ordered and bounds:
             measures += [F.min(value).alias(f"min_{i}"), F.max(value).alias(f"max_{i}")]
         if ordered and distinct:
             measures.append(F.approx_count_distinct(value).alias(f"distinct_{i}"))
-        none = F.lit(None).cast("string")
         fields = [
             F.lit(column.name).alias("column_name"),
             F.lit(column.dataType.simpleString()).alias("data_type"),
             F.col(f"nulls_{i}").alias("n_nulls"),
         ]
         if bounds:
-            low, high = (
-                _as_text(f"{end}_{i}", column.dataType) if ordered else none
-                for end in ("min", "max")
-            )
-            fields += [low.alias("min_value"), high.alias("max_value")]
+            text = ordered and not floating
+            for end in ("min", "max"):
+                words = _as_text(f"{end}_{i}", column.dataType) if text else F.lit(None).cast("string")
+                number = F.col(f"{end}_{i}").cast("double") if floating else F.lit(None).cast("double")
+                fields += [words.alias(f"{end}_value"), number.alias(f"{end}_number")]
         if distinct:
             count = F.col(f"distinct_{i}") if ordered else F.lit(None).cast("long")
             fields.append(count.alias("n_distinct"))

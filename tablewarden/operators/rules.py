@@ -3,23 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Rule tables are written by people. A longer list is data: it belongs in a table and is
-# joined without a hint.
-MAX_BROADCAST_RULES = 10_000
+from tablewarden.materialize import materialize
 
 
 def rules_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    """Rows as a DataFrame, marked for broadcast only while the list is short."""
-    frame = spark.createDataFrame(rows, ddl)
-    return F.broadcast(frame) if len(rows) <= MAX_BROADCAST_RULES else frame
-
-
-def is_short(df: DataFrame, max_rows: int = MAX_BROADCAST_RULES) -> bool:
-    """Whether a count, cut off at the bound, proves the table short enough to broadcast."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_short(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if is_short(df) else df
+    """Rows as a written table: its size on disk decides whether a join broadcasts it."""
+    return materialize(spark.createDataFrame(rows, ddl), "rules").frame

@@ -26,7 +26,8 @@ def search(
 ) -> DataFrame:
     """Entities that meet all given criteria.
 
-    Equality criteria come first so that they reach the scan. Text is compared with
+    Equality criteria come first so that they reach the scan. An entity without a status is
+    live. Text is compared with
     regard to case. With a limit the page is taken in (qualified_name, guid) order; each
     task then keeps only ``offset + limit`` rows.
     """
@@ -34,7 +35,7 @@ def search(
     if type_name is not None:
         found = found.filter(F.col("type_name") == type_name)
     if not include_deleted:
-        found = found.filter(F.col("status") != DELETED)
+        found = found.filter(~F.col("status").eqNullSafe(DELETED))
     for key, value in (attributes or {}).items():
         target = F.col(key) if key in _PLAIN else F.col("attributes")[key]
         found = found.filter(target == value)

@@ -2,17 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewarden.functions.casts import lenient_cast
-from tablewarden.operators.rules import broadcast_if_short, is_short
+from tablewarden.materialize import materialize
 
 # Attribute types and the Spark types their text is cast to.
 _SPARK_TYPES = {"int": "int", "long": "bigint", "float": "float", "double": "double", "boolean": "boolean", "date": "date"}
 
 
+class TypeCycleError(ValueError):
+    """A type is its own ancestor."""
+
+
+def ancestors(type_defs: DataFrame) -> DataFrame:
+    """(type_name, ancestor, distance) over parents to any depth.
+
+    Parents that are not defined here have no attributes and end the way up.
+    """
+    step = type_defs.select("type_name", F.explode("super_types").alias("ancestor")).distinct()
+    up = materialize(step, "parents").frame
+    parent = up.select(F.col("type_name").alias("below"), F.col("ancestor").alias("above"))
+    found, distance = [materialize(up.withColumn("distance", F.lit(1)), "ancestors")], 1
+    while found[-1].rows:
+        level = found[-1].frame
+        circle = level.filter("type_name = ancestor").first()
+        if circle is not None:
+            raise TypeCycleError(f"{circle['type_name']} is its own ancestor")
+        distance += 1
+        higher = level.join(parent, F.col("ancestor") == F.col("below"))
+        higher = higher.select("type_name", F.col("above").alias("ancestor")).distinct()
+        found.append(materialize(higher.withColumn("distance", F.lit(distance)), "ancestors"))
+    every = reduce(DataFrame.unionByName, [f.frame for f in found])
+    return every.groupBy("type_name", "ancestor").agg(F.min("distance").alias("distance"))
+
+
+def with_inherited(type_defs: DataFrame) -> DataFrame:
+    """The definitions with the attributes of all ancestors; the nearest definition counts."""
+    above = ancestors(type_defs).withColumnRenamed("type_name", "heir")
+    own = type_defs.withColumn("distance", F.lit(0))
+    inherited = (
+        type_defs.join(above, F.col("type_name") == F.col("ancestor"))
+        .filter("attr_name IS NOT NULL")
+        .withColumn("type_name", F.col("heir"))
+        .select(*own.columns)
+    )
+    nearest = Window.partitionBy("type_name", "attr_name").orderBy("distance", "attr_type")
+    every = own.unionByName(inherited).withColumn("_rank", F.row_number().over(nearest))
+    return every.filter("_rank = 1").select(*type_defs.columns)
+
+
 def _type_rows(type_defs: DataFrame) -> DataFrame:
     """One row per type with its attribute definitions as an array."""
     attr = F.struct(
@@ -38,7 +81,7 @@ def _is_castable() -> Column:
 
 
 def _kinds() -> Column:
-    """The first rule that an attribute breaks as an array of one name, else NULL.
+    """All rules that an attribute breaks, as an array.
 
     An array, because unfolding it evaluates the rules once. A filter on a plain name would
     be pushed below and evaluate them a second time.
@@ -48,45 +91,64 @@ def _kinds() -> Column:
         ~F.array_contains(enum, value)
     )
     miscounted = (F.size(members) > F.col("max_count")) | (F.size(members) < F.col("min_count"))
-
-    def kind(name: str) -> Column:
-        return F.array(F.lit(name))
-
-    return (
-        F.when(~F.col("known"), kind("unknown_type"))
-        .when(value.isNull(), F.when(~F.col("is_optional"), kind("missing_required")))
-        .when(~_is_castable(), kind("wrong_type"))
-        .when(enum.isNotNull() & outside, kind("not_in_enum"))
-        .when(members.isNotNull() & miscounted, kind("cardinality"))
-    )
+    known, declared = F.col("known"), F.col("attr_type").isNotNull()
+    filled = known & declared & value.isNotNull()
+    readable = _is_castable()
+    broken = {
+        "unknown_type": ~known,
+        "undeclared_attribute": known & ~declared & F.col("attribute").isNotNull(),
+        "missing_required": known & declared & value.isNull() & ~F.col("is_optional"),
+        "wrong_type": filled & ~readable,
+        "not_in_enum": filled & readable & enum.isNotNull() & outside,
+        "cardinality": filled & members.isNotNull() & miscounted,
+    }
+    return F.array_compact(F.array(*[F.when(rule, F.lit(kind)) for kind, rule in broken.items()]))
 
 
 def validate_entities(entities: DataFrame, type_defs: DataFrame) -> DataFrame:
     """Violations of the type definitions: guid, type_name, attribute, kind, value, n.
 
-    Kinds: ``unknown_type``, ``missing_required``, ``not_in_enum``, ``wrong_type``,
-    ``cardinality`` and ``duplicate_unique``. The first five are found row by row: each
-    entity is joined with the one row of its type, unfolded into its attributes, and only
-    violations leave the task. Array attributes are JSON text. Unique values are counted
-    per value before the shuffle, and a repeated value gives one row with the number of
-    entities that hold it.
+    Kinds: ``unknown_type``, ``undeclared_attribute``, ``missing_required``,
+    ``not_in_enum``, ``wrong_type``, ``cardinality`` and ``duplicate_unique``. Attributes of
+    parents apply to any depth. All but the last are found row by row: each entity is joined
+    with the one row of its type, unfolded into the attributes it should have and those it
+    has, and only violations leave the task; an attribute that breaks several rules gives a
+    row for each. Array attributes are JSON text. Unique values are counted per value before
+    the shuffle, and a repeated value gives one row with the number of entities that hold it.
+
+    The rows of the types are written first. Their size on disk decides whether they are
+    broadcast; if not, the partition of a type with most of the entities can be split.
     """
-    small = F.broadcast if is_short(type_defs) else (lambda df: df)
-    types = small(_type_rows(type_defs))
+    full = materialize(with_inherited(type_defs), "type-attributes").frame
+    types = materialize(_type_rows(full), "types").frame
     typed = entities.select("guid", "type_name", "attributes").join(types, "type_name", "left")
+    rule = "struct<attribute:string,attr_type:string,is_optional:boolean,min_count:int,max_count:int,enum_values:array<string>>"
+    none = F.array().cast(f"array<{rule}>")
+    names = F.transform(F.coalesce("attrs", none), lambda a: a["attribute"])
+    undeclared = F.transform(
+        F.array_except(F.coalesce(F.map_keys("attributes"), F.array().cast("array<string>")), names),
+        lambda name: F.struct(
+            name.alias("attribute"),
+            *[F.lit(None).cast(t).alias(n) for n, t in (
+                ("attr_type", "string"), ("is_optional", "boolean"), ("min_count", "int"),
+                ("max_count", "int"), ("enum_values", "array<string>"),
+            )],
+        ),
+    )
+    known = F.col("attrs").isNotNull()
+    rules = F.when(known, F.concat("attrs", undeclared)).otherwise(none)
     value = F.col("attributes")[F.col("attribute")]
     is_array = F.col("attr_type") == "array<string>"
     by_row = (
-        typed.withColumn("known", F.col("attrs").isNotNull())
-        .select("guid", "type_name", "attributes", "known", F.inline_outer("attrs"))
+        typed.select("guid", "type_name", "attributes", known.alias("known"), F.inline_outer(rules))
         .withColumn("value", value)
         .withColumn("members", F.when(is_array, F.from_json("value", "array<string>")))
         .select("guid", "type_name", "attribute", F.explode(_kinds()).alias("kind"), "value")
         .withColumn("n", F.lit(1).cast("long"))
     )
-    unique_attrs = small(
-        type_defs.filter("is_unique").select("type_name", F.col("attr_name").alias("attribute"))
-    )
+    unique_attrs = materialize(
+        full.filter("is_unique").select("type_name", F.col("attr_name").alias("attribute")), "unique"
+    ).frame
     values = entities.join(unique_attrs, "type_name").select(
         "type_name", "attribute", F.col("attributes")[F.col("attribute")].alias("value")
     )
@@ -127,7 +189,7 @@ def cardinality_violations(relationships: DataFrame, rel_defs: DataFrame) -> Dat
     )
     limited = rel_defs.filter("end1_cardinality = 'SINGLE' OR end2_cardinality = 'SINGLE'")
     return (
-        relationships.join(broadcast_if_short(limited), "rel_type")
+        relationships.join(materialize(limited, "limited").frame, "rel_type")
         .select("rel_type", "end1_guid", "end2_guid", "end1_cardinality", "end2_cardinality")
         .distinct()
         .select("rel_type", F.inline(ends))

@@ -15,8 +15,16 @@ from tablewarden.operators import search as searching
 from tablewarden.operators.lineage import build_edges
 from tablewarden.operators.model import RELATIONSHIP_DEFS
 from tablewarden.operators.quality import column_stats
-from tablewarden.operators.typedefs import ENTITY, Attr, TypeDef, list_types, register_types
+from tablewarden.operators.typedefs import (
+    ENTITY,
+    Attr,
+    TypeDef,
+    default_types,
+    list_types,
+    register_types,
+)
 from tablewarden.plans.views import (
+    TABLE_SCHEMAS,
     CATALOG_SQL,
     EDGES_SQL,
     TAGS_SQL,
@@ -29,11 +37,12 @@ from tablewarden.plans.views import (
     table,
     tags,
 )
+from tablewarden.sources.files import read_parquet
 
 RUN_TIME = datetime(2024, 1, 31, 12, 0, 0)
 RUN_SECONDS = 1_706_702_400
 
-HARVESTED = ["customer", "orders", "lineitem", "documents"]
+HARVESTED = list(TABLE_SCHEMAS)
 
 PII_RULES = [
     ("blue_ring", None),
@@ -67,7 +76,7 @@ RELATIONSHIP_ENDS = [
 
 def harvest_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column entities of the tables with the statistics captured from their rows."""
-    frames = {name: table(spark, sf_dir, name) for name in HARVESTED}
+    frames = {name: read_parquet(spark, f"{sf_dir}/{name}.parquet") for name in HARVESTED}
     listed = [(name, df.schema, None) for name, df in frames.items()]
     found = entities.harvest_tables(spark, "bench", listed).filter("type_name = 'hive_column'")
     counts = [
@@ -249,6 +258,47 @@ def validate_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality check per order and a KPI per customer against the built-in types.
+
+    The KPI has no name, and its target is the market segment, which is no number. The
+    check has an attribute that its type does not declare, and its id is the customer's.
+    """
+    none = F.lit(None).cast("string")
+    orders = table(spark, sf_dir, "orders")
+    checks = entities.entity_rows(
+        orders,
+        F.lit("DataQualityCheck"),
+        F.concat(F.lit("check:"), F.col("o_orderkey").cast("string")),
+        none,
+        attributes=F.create_map(
+            F.lit("checkId"), F.col("o_custkey").cast("string"),
+            F.lit("threshold"), F.col("o_totalprice").cast("string"),
+            F.lit("priority"), F.col("o_orderpriority"),
+        ),
+    )
+    kpis = entities.entity_rows(
+        table(spark, sf_dir, "customer"),
+        F.lit("BusinessKPI"),
+        F.concat(F.lit("kpi:"), F.col("c_custkey").cast("string")),
+        none,
+        attributes=F.create_map(
+            F.lit("kpiId"), F.col("c_custkey").cast("string"), F.lit("targetValue"), F.col("c_mktsegment")
+        ),
+    )
+    both = entities.bulk_batch(checks, kpis)
+    return validation.validate_entities(both, default_types(spark))
+
+
+def search_without_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose batch had no status column are live."""
+    parts = part_entities(spark, sf_dir)
+    mixed = entities.bulk_batch(
+        parts.filter("guid LIKE '%1'"), parts.filter("guid NOT LIKE '%1'").drop("status")
+    )
+    return _page(searching.search(mixed, type_name="part", name_contains="ring"))
+
+
 def cardinality_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem")
@@ -453,6 +503,8 @@ QUERIES = {
     "entity_documents": entity_documents,
     "list_types": list_entity_types,
     "validate_entities": validate_entities,
+    "validate_checks": validate_checks,
+    "search_without_status": search_without_status,
     "cardinality_violations": cardinality_violations,
     "tag_pii": tag_pii,
     "classify_by_rule": classify_by_rule,
@@ -473,16 +525,7 @@ QUERIES = {
 
 # ---- the same in SQL -------------------------------------------------------------------
 
-_TABLE_COLUMNS = {
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
-    "c_mktsegment string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
-    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-}
+_TABLE_COLUMNS = {name: ddl.lower() for name, ddl in TABLE_SCHEMAS.items()}
 
 
 def _harvest_sql() -> str:
@@ -588,6 +631,17 @@ UNION ALL SELECT 'customer:' || c_custkey, 'customer', NULL, 'unknown_type', NUL
 FROM customer
 UNION ALL SELECT NULL, 'order', 'customer', 'duplicate_unique', o_custkey::VARCHAR, COUNT(*)
 FROM orders GROUP BY o_custkey HAVING COUNT(*) > 1""",
+    "validate_checks": """WITH c AS (
+  SELECT sha256('DataQualityCheck|check:' || o_orderkey) AS guid, o_custkey, o_orderpriority FROM orders),
+k AS (SELECT sha256('BusinessKPI|kpi:' || c_custkey) AS guid, c_mktsegment FROM customer)
+SELECT guid, 'DataQualityCheck' AS type_name, 'priority' AS attribute,
+  'undeclared_attribute' AS kind, o_orderpriority AS value, 1::BIGINT AS n FROM c
+UNION ALL SELECT NULL, 'DataQualityCheck', 'checkId', 'duplicate_unique', o_custkey::VARCHAR, COUNT(*)
+FROM c GROUP BY o_custkey HAVING COUNT(*) > 1
+UNION ALL SELECT guid, 'BusinessKPI', 'kpiName', 'missing_required', NULL, 1 FROM k
+UNION ALL SELECT guid, 'BusinessKPI', 'targetValue', 'wrong_type', c_mktsegment, 1 FROM k""",
+    "search_without_status": f"""WITH {CATALOG_SQL} SELECT {_PAGE} FROM catalog
+WHERE type_name = 'part' AND name LIKE '%ring%' AND (guid NOT LIKE '%1' OR status <> 'DELETED')""",
     "cardinality_violations": """WITH l AS (
   SELECT 'placed' AS rel_type, 'end1' AS rel_end, 'customer:' || o_custkey AS guid,
     'order:' || o_orderkey AS partner FROM orders

@@ -172,7 +172,7 @@ def load_employees(
     tags = apply_classification(incoming, is_data, EMPLOYEE_TAG).unionByName(tag_pii(columns, pii))
     result = Catalog(catalog, tags, io)
     found = search(catalog, tags, type_name="rdbms_table", tag=EMPLOYEE_TAG, limit=10)
-    verify_catalog(catalog, result.edges, found.select("type_name", "name"), [name])
+    verify_catalog(catalog, result.edges, found.select("type_name", "qualified_name"), [name])
     return loaded, result
 
 

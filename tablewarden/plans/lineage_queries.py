@@ -32,19 +32,21 @@ def build_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineage_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.lineage(
-        graph_edges(spark, sf_dir), roots(spark, *DOWN_ROOTS), 4, graph.OUTPUT
+        graph_edges(spark, sf_dir, graph.OUTPUT), roots(spark, *DOWN_ROOTS), 4, graph.OUTPUT
     )
 
 
 def lineage_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same walks over an edge table in folders by bucket."""
+    """The same walks over an edge table of more buckets than its size asks for, read again."""
     edges = graph.build_edges(graph_io(spark, sf_dir), unique=True)
-    table = graph.write_edges(edges, scratch_path(spark, "edges-by-bucket"), 16)
-    return graph.lineage(table, roots(spark, *MIXED_ROOTS), 2, graph.BOTH)
+    path = scratch_path(spark, "edges-by-bucket")
+    graph.write_edges(edges, path, 16)
+    return graph.lineage(graph.read_edges(spark, path), roots(spark, *MIXED_ROOTS), 2, graph.BOTH)
 
 
 def lineage_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.lineage(graph_edges(spark, sf_dir), roots(spark, *UP_ROOTS), 4, graph.INPUT)
+    edges = graph_edges(spark, sf_dir, graph.INPUT)
+    return graph.lineage(edges, roots(spark, *UP_ROOTS), 4, graph.INPUT)
 
 
 def lineage_both(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +65,7 @@ def has_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.impact(
-        graph_edges(spark, sf_dir),
+        graph_edges(spark, sf_dir, graph.OUTPUT),
         catalog(spark, sf_dir),
         tags(spark, sf_dir),
         roots(spark, *DOWN_ROOTS),
@@ -71,7 +73,11 @@ def impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def propagate_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.propagate_tags(graph_edges(spark, sf_dir), tags(spark, sf_dir))
+    """Tags with a level, the last letter of the guid that carries them; attributes as JSON."""
+    level = F.create_map(F.lit("level"), F.substring("guid", -1, 1))
+    levelled = tags(spark, sf_dir).withColumn("attributes", level)
+    found = graph.propagate_tags(graph_edges(spark, sf_dir, graph.OUTPUT), levelled)
+    return found.withColumn("attributes", F.to_json("attributes"))
 
 
 def export_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,17 +144,21 @@ SELECT guid, SUM(i)::BIGINT AS n_inputs, SUM(o)::BIGINT AS n_outputs FROM e GROU
     "has_lineage": f"""WITH {EDGES_SQL} SELECT 'customer:' || c_custkey AS guid, c_name AS name
 FROM customer WHERE 'customer:' || c_custkey IN
   (SELECT src_guid FROM edges UNION SELECT dst_guid FROM edges)""",
-    "impact": f"""{_walks(DOWN_ROOTS, 5, graph.OUTPUT)}, {CATALOG_SQL}, {TAGS_SQL}
+    "impact": f"""{_walks(DOWN_ROOTS, 50, graph.OUTPUT)}, {CATALOG_SQL}, {TAGS_SQL}
 SELECT root, down.guid, name, type_name, classification, hop FROM down
 JOIN tags ON tags.guid = down.guid LEFT JOIN catalog ON catalog.guid = down.guid
 WHERE classification IN ('PII', 'Confidential', 'BusinessCritical')""",
     "propagate_tags": f"""WITH RECURSIVE {EDGES_SQL}, {TAGS_SQL},
-t(guid, classification) AS (
-  SELECT guid, classification FROM tags
+t(guid, classification, source, hop) AS (
+  SELECT guid, classification, guid, 0 FROM tags
   UNION
-  SELECT dst_guid, classification FROM t JOIN edges ON src_guid = t.guid)
-SELECT DISTINCT guid, classification,
-  (guid, classification) NOT IN (SELECT (guid, classification) FROM tags) AS propagated FROM t""",
+  SELECT dst_guid, classification, source, hop + 1 FROM t JOIN edges ON src_guid = t.guid
+  WHERE hop < 50),
+nearest AS (
+  SELECT * FROM t QUALIFY ROW_NUMBER() OVER (
+    PARTITION BY guid, classification ORDER BY hop, source) = 1)
+SELECT guid, classification, '{{"level":"' || right(source, 1) || '"}}' AS attributes,
+  hop > 0 AS propagated FROM nearest""",
     "export_lineage": f"""{_walks((EXPORT_ROOT,), graph.EXPORT_DEPTH, graph.OUTPUT, graph.INPUT)},
 {CATALOG_SQL},
 ids AS (SELECT guid FROM down UNION SELECT guid FROM up),

@@ -17,6 +17,9 @@ from tablewarden.sources import tables
 from tablewarden.sources.files import preview, read_csv, read_parquet, write_csv, write_parquet
 from tablewarden.streaming.ingest import ingest_new_files
 
+# Database of the tables that queries make and drop again.
+QUERY_DB = "tablewarden_queries"
+
 EMPLOYEE_MAPPING = [
     ("id", "employee_id", "int"),
     ("line", "line_no", "int"),
@@ -185,7 +188,8 @@ def column_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def structure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.structure_report(table(spark, sf_dir, "orders"), ORDER_STRUCTURE)
+    """The schema that the files have, against the one that is wanted."""
+    return quality.structure_report(read_parquet(spark, f"{sf_dir}/orders.parquet"), ORDER_STRUCTURE)
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,23 +233,29 @@ def load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filtered records to Parquet, then to a table, then read from the table."""
     files = scratch_path(spark, "adults")
     write_parquet(transforms.filter_adults(employees(spark, sf_dir)), files)
-    name = f"default.adults_{uuid.uuid4().hex}"
-    return tables.load_table(read_parquet(spark, files), name, scratch_path(spark, "table"))
+    name, path = f"{QUERY_DB}.adults_{uuid.uuid4().hex}", scratch_path(spark, "table")
+    loaded = tables.load_table(read_parquet(spark, files), name, path)
+    # The rows lie at a path of their own and stay when the name goes.
+    schema = loaded.schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)
 
 
 def text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records in a comma-delimited text table."""
-    name = f"default.text_{uuid.uuid4().hex}"
+    name, path = f"{QUERY_DB}.text_{uuid.uuid4().hex}", scratch_path(spark, "text")
     ddl = "id BIGINT, line INT, department STRING, salary DOUBLE"
-    tables.create_text_table(spark, name, ddl, location=scratch_path(spark, "text"))
+    tables.ensure_database(spark, QUERY_DB)
+    tables.create_text_table(spark, name, ddl, location=path)
     rows = employees(spark, sf_dir).select("id", "line", "department", "salary")
     rows.write.insertInto(name)
-    return spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(ddl).csv(path)
 
 
 def daily_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transform as an incremental file stream over the line items."""
-    schema = table(spark, sf_dir, "lineitem").schema
+    schema = read_parquet(spark, f"{sf_dir}/lineitem.parquet").schema
 
     def transform(rows: DataFrame) -> DataFrame:
         return transforms.transform_employees(
@@ -259,14 +269,14 @@ def daily_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             RUN_DATE,
         )
 
+    # A pattern with one match: it takes a single file as well as a folder of files.
     return ingest_new_files(
         spark,
-        sf_dir,
+        f"{sf_dir}/lineitem.parque[t]",
         schema,
         scratch_path(spark, "ingested"),
         scratch_path(spark, "ingest-progress"),
         transform,
-        source_options={"pathGlobFilter": "lineitem.parquet"},
     )
 
 
@@ -312,19 +322,21 @@ FROM emp"""
 _CHECKS_SQL = "\nUNION ALL\n".join(_check_sql(check) for check in EMPLOYEE_CHECKS)
 
 _ORDER_COLUMNS = [
-    ("o_orderkey", "bigint", "{}::VARCHAR"),
-    ("o_custkey", "bigint", "{}::VARCHAR"),
-    ("o_orderstatus", "string", "{}"),
-    ("o_totalprice", "double", "printf('%.4f', {})"),
-    ("o_orderdate", "timestamp_ntz", "strftime({}, '%Y-%m-%d %H:%M:%S')"),
-    ("o_orderpriority", "string", "{}"),
+    ("o_orderkey", "bigint", "{}::VARCHAR", "NULL::DOUBLE"),
+    ("o_custkey", "bigint", "{}::VARCHAR", "NULL::DOUBLE"),
+    ("o_orderstatus", "string", "{}", "NULL::DOUBLE"),
+    ("o_totalprice", "double", "NULL", "{}"),
+    ("o_orderdate", "timestamp_ntz", "strftime({}, '%Y-%m-%d %H:%M:%S.%f')", "NULL::DOUBLE"),
+    ("o_orderpriority", "string", "{}", "NULL::DOUBLE"),
 ]
 
 
-def _stats_sql(name: str, kind: str, text: str) -> str:
+def _stats_sql(name: str, kind: str, text: str, number: str) -> str:
+    low, high = f"MIN({name})", f"MAX({name})"
     return f"""SELECT COUNT(*) AS n_rows, '{name}' AS column_name, '{kind}' AS data_type,
-  COUNT(*) - COUNT({name}) AS n_nulls, {text.format(f"MIN({name})")} AS min_value,
-  {text.format(f"MAX({name})")} AS max_value FROM orders"""
+  COUNT(*) - COUNT({name}) AS n_nulls, {text.format(low)} AS min_value,
+  {text.format(high)} AS max_value, {number.format(low)} AS min_number,
+  {number.format(high)} AS max_number FROM orders"""
 
 
 _METRICS_SQL = f"""WITH d AS (

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. Broadcasts are left to the optimizer: it only picks one
@@ -51,8 +49,8 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """Folder for written intermediate tables, reachable by every executor.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors share one machine, may fall back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``. A local session without that setting
+    uses a folder beside its managed tables; there is no machine-local fallback.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -62,5 +60,4 @@ def scratch_root(spark: SparkSession) -> str:
         return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tablewarden-"))
-    return context.getCheckpointDir().rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"

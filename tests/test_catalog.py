@@ -262,6 +262,59 @@ def violations(spark, items, defs):
     return rows(found, "guid", "attribute", "kind", "value", "n")
 
 
+def test_parents_undeclared_and_all_broken_rules(spark):
+    def_of = typedefs.TypeDef
+    defs = [
+        def_of("base", "ENTITY", ("Asset",), (typedefs.Attr("owner_id", required=True), typedefs.Attr("size", "int"))),
+        def_of("middle", "ENTITY", ("base",)),
+        def_of("leaf", "ENTITY", ("middle",), (
+            typedefs.Attr("size", "long"),
+            typedefs.Attr("tags", "array<string>", max_count=2, enum=("a", "b")),
+        )),
+    ]
+    items = [
+        entity("1", "leaf", owner_id="x", size="99999999999", tags='["a"]'),
+        entity("2", "leaf", tags='["a", "b", "c"]', colour="red"),
+        entity("3", "middle", owner_id="y", size="99999999999"),
+    ]
+    assert violations(spark, items, defs) == [
+        ("2", "colour", "undeclared_attribute", "red", 1),
+        ("2", "owner_id", "missing_required", None, 1),
+        ("2", "tags", "cardinality", '["a", "b", "c"]', 1),
+        ("2", "tags", "not_in_enum", '["a", "b", "c"]', 1),
+        ("3", "size", "wrong_type", "99999999999", 1),
+    ]
+    circle = [def_of("p", "ENTITY", ("q",)), def_of("q", "ENTITY", ("p",))]
+    with pytest.raises(validation.TypeCycleError):
+        violations(spark, items, circle)
+
+
+def test_partition_of_a_hot_type_is_split(spark, skew_settings):
+    rows_of = spark.range(20_000).selectExpr(
+        "CAST(id AS STRING) AS guid", "IF(id % 40 = 0, 'other', 'hot') AS type_name",
+        "map('size', CAST(id AS STRING), 'text', repeat('x', 50)) AS attributes",
+    )
+    defs = [typedefs.TypeDef(t, "ENTITY", (), (typedefs.Attr("size", "int"),)) for t in ("hot", "other")]
+    found = validation.validate_entities(rows_of, typedefs.register_types(spark, defs))
+    assert {r.kind: r["count"] for r in found.groupBy("kind").count().collect()} == {"undeclared_attribute": 20_000}
+    done = found.filter("guid IS NOT NULL")
+    done.collect()
+    assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+
+
+def test_expected_entities_by_qualified_name(spark, catalog):
+    key = catalog.filter("type_name = 'table'").select("type_name", "qualified_name").limit(1)
+    assert entities.missing_entities(catalog, key).count() == 0
+    other = key.select("type_name", F.concat(F.lit("other."), "qualified_name").alias("qualified_name"))
+    assert entities.missing_entities(catalog, other).count() == 1
+
+
+def test_search_keeps_entities_without_a_status(spark):
+    items = [(g, "t", g, g, None, None, s, T0, {}) for g, s in (("1", None), ("2", "DELETED"), ("3", "ACTIVE"))]
+    found = search(spark.createDataFrame(items, ENTITIES), type_name="t")
+    assert rows(found, "guid") == [("1",), ("3",)]
+
+
 def test_kpi_without_its_required_name(spark):
     kpi = entity("k", "BusinessKPI", kpiId="1", formula="f", targetValue="80000.0", lastUpdated="5")
     assert violations(spark, [kpi], typedefs.ENTITY_TYPES) == [

@@ -1,6 +1,7 @@
 """Traversal, impact, propagation and export on small graphs, against brute force."""
 
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -87,12 +88,29 @@ def test_walks_over_buckets(spark, tmp_path, text):
 
 def test_a_hop_reads_only_the_buckets_of_its_nodes(spark, tmp_path):
     table = lin.write_edges(hub_edges(spark), str(tmp_path / "e"), 50)
-    steps, on = lin._steps(table, True)
-    start = materialize(roots_of(spark, ["n1"]).selectExpr("guid", "0 AS hop"), "f").frame
-    newest = start.filter("hop = 0").selectExpr("*", f"{lin._bucket('guid', 50)} AS bucket")
-    joined = newest.join(steps, on)
+    start = lin._written(roots_of(spark, ["n1"]), table, "f")
+    joined = lin._edges_of(table, start, True)
     assert joined.count() == 1
-    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
+    bucket = spark.sql(f"SELECT {lin._bucket(repr('n1'), 50)}").first()[0]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    filters = " ".join(re.findall(r"PartitionFilters: \[[^]]*\]", plan))
+    assert re.search(rf"bucket#\d+ = {bucket}\)", filters)
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 16])
+def test_readers_need_no_bucket_count(spark, tmp_path, buckets):
+    path = str(tmp_path / "e")
+    lin.write_edges(edges_of(spark, "xy"), path, 7)
+    lin.write_edges(edges_of(spark, "ab bc cd de"), path, buckets)
+    got = hops(lin.lineage(lin.read_edges(spark, path), roots_of(spark, ["a"]), None, "OUTPUT"))
+    assert {row[1] for row in got} == set("abcde")
+
+
+def test_one_sided_table_refuses_the_other_walk(spark, tmp_path):
+    table = lin.write_edges(edges_of(spark, "ab"), str(tmp_path / "e"), 2, "OUTPUT")
+    assert lin.lineage(table, roots_of(spark, ["a"]), 1, "OUTPUT").count() == 2
+    with pytest.raises(ValueError):
+        lin.lineage(table, roots_of(spark, ["a"]), 1, "INPUT")
 
 
 def test_down_and_up_mirror(spark):
@@ -114,7 +132,8 @@ def test_counts_and_presence(spark):
     got = {r.guid: (r.n_inputs, r.n_outputs) for r in lin.lineage_counts(edges).collect()}
     assert got == {"a": (0, 2), "b": (1, 1), "c": (2, 0)}
     have = spark.createDataFrame([("a",), ("x",)], "guid STRING")
-    assert [tuple(r) for r in lin.lineage_counts(edges, have).collect()] == [("a", 0, 2)]
+    asked = sorted(tuple(r) for r in lin.lineage_counts(edges, have).collect())
+    assert asked == [("a", 0, 2), ("x", 0, 0)]
     assert [r.guid for r in lin.has_lineage(edges, have).collect()] == ["a"]
 
 
@@ -143,7 +162,9 @@ def test_impact(spark, entities):
 
 def test_propagation(spark):
     tags = tag_rows(spark, ("a", "PII"), ("b", "PII"), ("b", "Public"), ("z", "PII"))
-    got = {tuple(r) for r in lin.propagate_tags(edges_of(spark, "ab bc ca"), tags).collect()}
+    plain = ["guid", "classification", "propagated"]
+    found = lin.propagate_tags(edges_of(spark, "ab bc ca"), tags)
+    got = {tuple(r) for r in found.select(plain).collect()}
     assert got == {
         ("a", "PII", False),
         ("b", "PII", False),
@@ -154,7 +175,17 @@ def test_propagation(spark):
         ("a", "Public", True),
     }
     only = lin.propagate_tags(edges_of(spark, "ab"), tags, ["Public"])
-    assert {tuple(r) for r in only.collect()} == {("b", "Public", False)}
+    assert {tuple(r) for r in only.select(plain).collect()} == {("b", "Public", False)}
+
+
+def test_propagated_tags_keep_the_attributes_of_the_nearest_source(spark):
+    carried = [("a", "1"), ("b", "2"), ("c", "3"), ("x", "9")]
+    tags = spark.createDataFrame([(g, "T", {"level": v}, False) for g, v in carried], CLASSIFICATIONS)
+    found = lin.propagate_tags(edges_of(spark, "ab bd cd de xy"), tags)
+    assert found.columns == tags.columns
+    got = {r.guid: (r.attributes["level"], r.propagated) for r in found.collect()}
+    assert got["a"] == ("1", False) and got["b"] == ("2", False)
+    assert got["d"] == ("2", True) and got["e"] == ("2", True) and got["y"] == ("9", True)
 
 
 def test_export(spark, entities):

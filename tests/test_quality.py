@@ -107,11 +107,32 @@ def test_column_stats(spark):
     got = {r.column_name: r for r in q.column_stats(df).collect()}
     assert (got["i"].min_value, got["i"].max_value, got["i"].n_distinct) == ("1", "2", 2)
     assert (got["s"].n_nulls, got["s"].min_value, got["s"].max_value) == (1, "a", "c")
-    assert (got["d"].min_value, got["d"].max_value) == ("-2.0000", "1.5000")
+    assert (got["d"].min_number, got["d"].max_number, got["d"].min_value) == (-2.0, 1.5, None)
     assert (got["l"].n_nulls, got["l"].min_value, got["l"].n_distinct) == (1, None, None)
     assert {r.n_rows for r in got.values()} == {3}
 
 
+def test_bounds_are_exact(spark):
+    df = spark.sql(
+        "SELECT 0.00001D AS d, TIMESTAMP_NTZ '2024-01-02 03:04:05.000007' AS t, "
+        "TIMESTAMP '2024-01-02 03:04:05.000007+02:00' AS z"
+    )
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    got = {r.column_name: r for r in q.column_stats(df).collect()}
+    spark.conf.set("spark.sql.session.timeZone", kept)
+    assert got["d"].min_number == 0.00001
+    assert got["t"].max_value == "2024-01-02 03:04:05.000007"
+    assert got["z"].max_value == "2024-01-02 01:04:05.000007"
+
+
+def test_no_checks_and_no_required_columns(spark):
+    df = spark.range(3)
+    assert q.run_checks(df, [], "d", "2024-01-01").count() == 0
+    with pytest.raises(ValueError):
+        q.quality_metrics(df, q.MetricRules([], "true"), "2024-01-01")
+
+
 def test_approximate_distinct_is_near(spark):
     df = spark.range(20_000).select((F.col("id") % 5000).alias("k"))
     n = q.column_stats(df).first().n_distinct
