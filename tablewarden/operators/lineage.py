@@ -84,9 +84,10 @@ def write_edges(
     for forward in wanted:
         folder, key = _SIDES[forward]
         keyed = once.selectExpr("src_guid", "dst_guid", f"{_bucket(key, buckets)} AS bucket")
-        keyed.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(
-            f"{path}/{version}/{folder}"
-        )
+        if buckets > 1:
+            # Files by bucket; one bucket has no others to be kept apart from.
+            keyed = keyed.hint("rebalance", F.col("bucket"))
+        keyed.write.partitionBy("bucket").parquet(f"{path}/{version}/{folder}")
     record = spark.createDataFrame([(version, buckets, time.time_ns())], PUBLISHED)
     record.coalesce(1).write.mode("append").parquet(f"{path}/published")
     return _open_edges(spark, f"{path}/{version}", buckets, wanted)
@@ -159,6 +160,9 @@ def _walk(
     carried = [] if source is None else [source]
 
     def nearest(rows: DataFrame) -> DataFrame:
+        if not carried:
+            # A number can be kept in a hash table; a struct would have to be sorted.
+            return rows.groupBy(*keys).agg(F.min("hop").alias("hop"))
         least = F.min(F.struct("hop", *carried)).alias("_least")
         return rows.groupBy(*keys).agg(least).select(*keys, "_least.*")
 

@@ -314,6 +314,26 @@ def validate_structure(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df
 
 
+def require_castable(text: DataFrame, schema: T.StructType) -> None:
+    """Raise unless a table of text has all columns and every value can be read as its type.
+
+    All columns share one scan and one aggregate.
+    """
+    absent = [c.name for c in schema if c.name not in text.columns]
+    if absent:
+        raise DataQualityError(f"missing columns: {', '.join(absent)}")
+
+    def bad(column: T.StructField) -> Column:
+        value = F.col(f"`{column.name}`")
+        read = lenient_cast(value, T.StringType(), column.dataType.simpleString())
+        return F.count_if(value.isNotNull() & read.isNull()).alias(column.name)
+
+    counts = text.agg(*[bad(c) for c in schema]).first().asDict()
+    problems = [f"{name}: {n} values" for name, n in counts.items() if n]
+    if problems:
+        raise DataQualityError(f"text that is not of its type: {'; '.join(problems)}")
+
+
 def reconcile(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """One row: rows on each side, keys found on one side only, and the verdict.
 

@@ -15,6 +15,7 @@ from tablewarden.operators.audit import verify_catalog
 from tablewarden.operators.lineage import build_edges
 from tablewarden.operators.model import ENTITIES
 from tablewarden.operators.quality import (
+    require_castable,
     require_primary_key,
     require_reconciled,
     validate_structure,
@@ -22,7 +23,7 @@ from tablewarden.operators.quality import (
 from tablewarden.operators.search import search
 from tablewarden.operators.tagging import apply_classification, tag_pii
 from tablewarden.operators.transforms import ADULT_AGE, filter_with_counts, transform_employees
-from tablewarden.sources.files import read_csv, read_parquet, write_csv
+from tablewarden.sources.files import read_csv, read_csv_text, read_parquet, write_csv
 from tablewarden.sources.schemas import EMPLOYEE_COLUMNS, EMPLOYEE_SCHEMA, SAMPLE_SCHEMA
 from tablewarden.sources.tables import load_table
 
@@ -130,6 +131,7 @@ def load_employees(
 
     Metadata is registered only after the load is known to be whole.
     """
+    require_castable(read_csv_text(spark, csv_path), EMPLOYEE_SCHEMA)
     source = validate_structure(read_csv(spark, csv_path, EMPLOYEE_SCHEMA), EMPLOYEE_SCHEMA)
     transformed = transform_employees(source, run_date)
     write_csv(transformed, out_csv_path)

@@ -13,6 +13,11 @@ from tablewarden.functions.casts import lenient_cast
 CSV_OPTIONS = {"header": "true", "escape": '"', "enforceSchema": "false"}
 
 
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header, every field as text."""
+    return spark.read.options(**CSV_OPTIONS).csv(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header; columns are bound by header name, whatever their order.
 

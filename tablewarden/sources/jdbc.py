@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tablewarden.materialize import materialize
 from tablewarden.operators.quality import require_primary_key
 
 
@@ -40,10 +41,12 @@ def load_jdbc(
 ) -> None:
     """Create the table when absent, empty it and load ``df`` over few connections.
 
-    With ``keys`` the primary key is checked first, so that a load which the database
+    The rows are computed and written once at full width; only reading them again is limited
+    to as many tasks as there are connections. With ``keys`` the primary key is checked first, so that a load which the database
     would refuse half way does not start.
     """
+    ready = materialize(df, "to-load").frame
     if keys:
-        require_primary_key(df, keys)
+        require_primary_key(ready, keys)
     options = jdbc_options(url, table, driver, column_types, connections)
-    df.write.format("jdbc").options(**options).mode("overwrite").save()
+    ready.write.format("jdbc").options(**options).mode("overwrite").save()

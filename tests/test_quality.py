@@ -184,3 +184,20 @@ def test_results_become_metadata(spark):
     tag = q.issue_tags(q.quality_issues(results), F.lit("g")).first()
     assert tag.classification == "DataQualityIssue"
     assert tag.attributes == {"issueType": "Range", "severity": "High", "affectedRecords": "1"}
+
+
+def test_files_with_columns_dropped_renamed_and_retyped(spark, tmp_path):
+    wanted = T.StructType.fromDDL("a BIGINT, b STRING, c DOUBLE")
+    spark.sql("SELECT 1L AS a, 'x' AS b2, 'y' AS c").write.parquet(str(tmp_path / "t"))
+    got = {r.column_name: r.status for r in q.structure_report(spark.read.parquet(str(tmp_path / "t")), wanted).collect()}
+    assert got == {"a": "ok", "b": "missing", "c": "retyped"}
+
+
+def test_text_that_is_not_of_its_type(spark):
+    schema = T.StructType.fromDDL("id INT, pay DOUBLE")
+    good = spark.createDataFrame([("1", "2.5"), (None, None)], "id STRING, pay STRING")
+    q.require_castable(good, schema)
+    with pytest.raises(q.DataQualityError, match="pay: 1 values"):
+        q.require_castable(good.unionAll(spark.createDataFrame([("2", "much")], good.schema)), schema)
+    with pytest.raises(q.DataQualityError, match="missing columns: pay"):
+        q.require_castable(good.drop("pay"), schema)

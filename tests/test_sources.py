@@ -154,3 +154,30 @@ def test_scratch_root_is_the_configured_folder(spark):
 
 def test_schema_names():
     assert T.StructType(EMPLOYEE_SCHEMA.fields).names == ["id", "name", "age", "salary", "department"]
+
+
+def test_stream_takes_a_file_and_a_folder(spark, tmp_path):
+    from tablewarden.streaming.ingest import ingest_new_files
+
+    rows = spark.range(100).withColumnRenamed("id", "k")
+    rows.repartition(4).write.parquet(str(tmp_path / "folder" / "t.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "made"))
+    (tmp_path / "single").mkdir()
+    part = next((tmp_path / "made").glob("part-*"))
+    (tmp_path / "single" / "t.parquet").write_bytes(part.read_bytes())
+    for kind in ("folder", "single"):
+        out, marks = str(tmp_path / f"{kind}-out"), str(tmp_path / f"{kind}-marks")
+        source = f"{tmp_path}/{kind}/t.parque[t]"
+        got = ingest_new_files(spark, source, rows.schema, out, marks, lambda df: df)
+        assert got.count() == 100, kind
+
+
+def test_scratch_tables_are_released(spark):
+    from tablewarden.materialize import materialize, release
+    from tablewarden.session import scratch_root
+
+    path = materialize(spark.range(5), "gone").paths[0]
+    assert path.startswith(scratch_root(spark))
+    release(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
