@@ -149,8 +149,8 @@ def links(prints: DataFrame, count: int, max_bits: int = 4) -> DataFrame:
     """Links (a, b) that join the fingerprints in ``prints`` (__fp) as all close pairs would."""
     radius = (max_bits + 1) // 2
     ball = sum(math.comb(64, n) for n in range(radius + 1))
-    # Enough groups for each to have few million values, at any number of fingerprints.
-    bits = min(24, max(4, math.ceil(math.log2(max(1, count * ball / (1 << 21))))))
+    # Enough groups for each to have about a million values, at any number of fingerprints.
+    bits = min(24, max(4, math.ceil(math.log2(max(1, count * ball / (1 << 20))))))
     flips = [_signed(int(m)) for group in _flips(bits, radius) for m in group]
     own = F.shiftrightunsigned("__fp", 64 - bits)
     dealt = prints.select(
