@@ -4,6 +4,12 @@ A text is cut into units: lines, paragraphs, or the sentences of lines, which al
 passage pasted into the middle of a line. Each unit is normalised and hashed, equal hashes are
 grouped over all documents, the first occurrence by document rank and place stays and the
 others are cut out. What is left keeps its places in the original text.
+
+Every line or paragraph that is not blank is a unit. A sentence of few words recurs by chance,
+so it is a unit only together with the sentences beside it: units are the shortest runs of
+sentences with ``min_words`` words that begin or that end at each sentence. They overlap, and
+together they cover every copied passage of whole sentences with that many words, whatever
+stands before and behind it. Lines with fewer words are units of their own.
 """
 
 from __future__ import annotations
@@ -29,19 +35,82 @@ WORD = re.compile(r"\w+")
 MIN_WORDS = 8
 
 
+def _cut(text: str, unit: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the units that are not blank."""
+    start = 0
+    for gap in [*((m.start(), m.end()) for m in BREAKS[unit].finditer(text)), (len(text), len(text))]:
+        if text[start : gap[0]].strip():
+            yield start, gap[0]
+        start = gap[1]
+
+
+def _digest(words: list[str], text: str) -> bytes:
+    """Hash of the words, or of the signs of a text without any."""
+    key = " ".join(words) if words else "\0" + "".join(text.split())
+    return xxhash.xxh3_128_digest(key.encode())
+
+
+def _sentence_runs(ends: list[tuple[int, int]], min_words: int) -> set[tuple[int, int]]:
+    """(first, last) of the shortest runs with ``min_words`` words that begin or end at each
+    sentence; ``ends`` are the places of each sentence's first word and behind its last."""
+    runs = set()
+    last = 0
+    for first in range(len(ends)):
+        last = max(first, last)
+        while last < len(ends) and ends[last][1] - ends[first][0] < min_words:
+            last += 1
+        if last == len(ends):
+            break
+        runs.add((first, last))
+    first = 0
+    for last in range(len(ends)):
+        while first < last and ends[last][1] - ends[first + 1][0] >= min_words:
+            first += 1
+        if ends[last][1] - ends[first][0] >= min_words:
+            runs.add((first, last))
+    return runs
+
+
 def units(text: str | None, unit: str = "sentence", min_words: int = MIN_WORDS) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest) of the units with at least ``min_words`` words.
+    """(start, end, digest) of the units in order: every line or paragraph that is not blank,
+    or the runs of sentences with ``min_words`` words and the lines with fewer.
 
-    Case, punctuation and spacing do not count.
+    Case, punctuation and spacing do not count, except in units without a word.
     """
     text = text or ""
-    found, start = [], 0
-    for gap in [*((m.start(), m.end()) for m in BREAKS[unit].finditer(text)), (len(text), len(text))]:
-        words = WORD.findall(text[start : gap[0]].lower())
-        if len(words) >= min_words:
-            found.append((start, gap[0], xxhash.xxh3_128_digest(" ".join(words).encode())))
-        start = gap[1]
-    return found
+    if unit != "sentence":
+        return [(a, b, _digest(WORD.findall(text[a:b].lower()), text[a:b])) for a, b in _cut(text, unit)]
+    spots, words, ends = [], [], []
+    for a, b in _cut(text, unit):
+        own = WORD.findall(text[a:b].lower())
+        if own:
+            spots.append((a, b))
+            ends.append((len(words), len(words) + len(own)))
+            words += own
+    found = [
+        (spots[i][0], spots[j][1], _digest(words[ends[i][0] : ends[j][1]], ""))
+        for i, j in _sentence_runs(ends, min_words)
+    ]
+    at = 0
+    for a, b in _cut(text, "line"):
+        first = at
+        while at < len(spots) and spots[at][0] < b:
+            at += 1
+        own = words[ends[first][0] : ends[at - 1][1]] if at > first else []
+        if len(own) < min_words:
+            found.append((a, b, _digest(own, text[a:b])))
+    return sorted(found)
+
+
+def merged(spans: list[dict] | None) -> list[dict]:
+    """The sorted spans with those that overlap made one."""
+    out: list[dict] = []
+    for span in spans or []:
+        if out and span["__start"] < out[-1]["__end"]:
+            out[-1]["__end"] = max(out[-1]["__end"], span["__end"])
+        else:
+            out.append({"__start": span["__start"], "__end": span["__end"]})
+    return out
 
 
 def without(text: str | None, spans: list[dict] | None) -> str | None:
@@ -60,7 +129,8 @@ def repeated_units(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(__id, __hash, __spans): the later occurrences in each document that has any."""
+    """(__id, __hash, __spans): the later occurrences, which may overlap, in each document that
+    has any."""
     schema = pa.schema(
         [("__id", pa.int64()), ("__hash", pa.int64()), ("__start", pa.int32()), ("__end", pa.int32()),
          ("__digest", pa.binary())]
@@ -112,8 +182,9 @@ def dedup_units(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in schema]
-            for doc, text, gone in zip(*column_lists(batch)):
-                cuts = [(s["__start"], s["__end"]) for s in gone or []]
+            for doc, text, spans in zip(*column_lists(batch)):
+                gone = merged(spans)
+                cuts = [(s["__start"], s["__end"]) for s in gone]
                 ends = [0, *(e for _, e in cuts)]
                 starts = [*(s for s, _ in cuts), len(text or "")]
                 row = (
@@ -135,7 +206,7 @@ def dedup_units(
 
 
 def unit_report(docs: DataFrame) -> DataFrame:
-    """Per document the text left, the number of units and characters cut out, and where."""
+    """Per document the text left, the number of spans and characters cut out, and where."""
     return dedup_units(docs.select("doc_id", "text")).select(
         "doc_id",
         "text",

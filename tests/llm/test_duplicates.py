@@ -104,6 +104,63 @@ def test_units_against_brute_force(spark):
         assert left is None or left == "".join(text[s.start : s.end] for s in got[doc][2])
 
 
+def brute_units(texts, unit):
+    """What stays of each text: every run of 8 words or more in whole sentences, and every
+    line, goes if it is anywhere before; of lines and paragraphs each one does."""
+    import re
+
+    plain = lambda x: tuple(re.findall(r"\w+", x.lower())) or x.strip()
+    cuts = {"line": r"[^\n]+", "paragraph": r"(?:[^\n]+\n?)+", "sentence": r"[^\n.!?]+[.!?]*"}
+    seen, out = set(), []
+    for text in texts:
+        gone, found = set(), []
+        lines = [m.span() for m in re.finditer(cuts["line" if unit == "sentence" else unit], text)]
+        found += [(a, b, ("whole", plain(text[a:b]))) for a, b in lines if text[a:b].strip()]
+        if unit == "sentence":
+            parts = [m.span() for m in re.finditer(cuts[unit], text) if re.search(r"\w", m.group())]
+            for i in range(len(parts)):
+                for j in range(i, len(parts)):
+                    run = tuple(plain(text[a:b]) for a, b in parts[i : j + 1])
+                    if sum(map(len, run)) >= 8:
+                        found.append((parts[i][0], parts[j][1], run))
+        for a, b, key in sorted(found, key=lambda x: x[:2]):
+            if key in seen:
+                gone |= set(range(a, b))
+            seen.add(key)
+        out.append(re.findall(r"\S", "".join(c if n not in gone else " " for n, c in enumerate(text))))
+    return out
+
+
+@pytest.mark.parametrize("unit", ["line", "paragraph", "sentence"])
+def test_short_units_against_brute_force(spark, unit):
+    rng = random.Random(12)
+    pool = [" ".join(rng.choice("abcdefghij") + str(rng.randint(0, 30)) for _ in range(rng.choice([1, 2, 3, 5, 9]))) + "." for _ in range(60)]
+    texts = []
+    for _ in range(70):
+        parts = [rng.choice(pool) + rng.choice([" ", " ", "\n", "\n\n"]) for _ in range(rng.randint(1, 25))]
+        if texts and rng.random() < 0.6:
+            donor = rng.choice(texts).split(". ")
+            at = rng.randint(0, len(donor) - 1)
+            parts.insert(rng.randint(0, len(parts)), ". ".join(donor[at : at + 6]).strip(".\n ") + ". ")
+        texts.append("".join(parts).strip())
+    texts += ["-----\nx1 y2", "x1 y2\n-----\n====="]
+    rows = [(n, t, "en", "a", 1) for n, t in enumerate(texts)]
+    got = {r.doc_id: r.text for r in unit_dedup.dedup_units(frame(spark, rows), unit).collect()}
+    want = brute_units(texts, unit)
+    for n, left in enumerate(want):
+        assert [c for c in got[n] if not c.isspace()] == left, (texts[n], got[n])
+
+
+def test_copies_of_short_sentences_leave_no_scraps(spark):
+    passage = "Go on. It rains. All of us went home. Why not? Nobody knew what the other nine of them wanted. Yes. No."
+    rows = [(1, f"First words of one. {passage} Its own end.", "en", "a", 1), (2, f"Something else here. {passage} Another end.", "en", "a", 1)]
+    rows += [(3, "Yes.\nIt is so.", "en", "a", 1), (4, "It is so.\nYes. It differs.", "en", "a", 1)]
+    got = {r.doc_id: r.text.split() for r in unit_dedup.dedup_units(frame(spark, rows)).collect()}
+    assert got[1] == rows[0][1].split()
+    assert " ".join(got[2]) == "Something else here. Another end."
+    assert " ".join(got[4]) == "Yes. It differs."
+
+
 @pytest.mark.parametrize("unit", ["line", "paragraph", "sentence"])
 def test_unit_places(unit):
     text = "One two three.  Four five six!\nSeven eight nine\n\n \nTen eleven twelve. "
