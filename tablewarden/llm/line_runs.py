@@ -12,6 +12,10 @@ A repeated run of ``min_lines`` lines or more is covered by the repeated runs of
 intervals but not change what is deleted. The first suffix of an interval stays, the lines of
 the others are deleted, and neighbouring deletions merge into the maximal runs.
 
+A repeated run of fewer lines may be repeated text all the same. ``singles=True`` also deletes
+the later copies of every line that has ``SINGLE_WORDS`` words or ``SINGLE_CHARS`` characters;
+a shorter line recurs by chance and goes only within a run of ``min_lines``.
+
 DataFrame functions only. Pairs of ranks are counted before they move, and the places within
 a rank are summed in two steps, so that a line that holds a third of all rows is no bottleneck.
 """
@@ -27,18 +31,30 @@ from tablewarden.materialize import materialize
 
 BLANKS = " \t\n\x0b\x0c\r"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
+BETWEEN = r"[\x20\x09-\x0D]+"
 MIN_LINES = 2
+# A line with either counts as a repeated run by itself; characters are for scripts without blanks.
+SINGLE_WORDS = 8
+SINGLE_CHARS = 50
 # Parts in which the places of one rank, or of all lines, are summed.
 PARTS = 1 << 12
 
 SPOT = ["__id", "__hash", "__at"]
 
 
-def line_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _long(line: Column) -> Column:
+    """Whether a trimmed line is a run by itself."""
+    return (F.size(F.split(line, BETWEEN)) >= SINGLE_WORDS) | (F.length(line) >= SINGLE_CHARS)
+
+
+def line_ids(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", singles: bool = False
+) -> DataFrame:
     """(__id, __hash, __at, __line, __h1, __h2) per line with a word.
 
     ``__at`` counts these lines, ``__line`` all lines. Outer blanks do not count. A row that
-    repeats id and text is one document.
+    repeats id and text is one document. With ``singles`` there is also ``__single``, which
+    marks the lines that are long enough to be a run.
     """
 
     def ids(text: Column) -> Column:
@@ -52,6 +68,7 @@ def line_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 x["i"].alias("line"),
                 F.xxhash64(x["t"]).alias("h1"),
                 F.xxhash64(F.lit(1), x["t"]).alias("h2"),
+                *([_long(x["t"]).alias("single")] if singles else []),
             ),
         )
 
@@ -63,6 +80,7 @@ def line_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col("col.line").alias("__line"),
         F.col("col.h1").alias("__h1"),
         F.col("col.h2").alias("__h2"),
+        *([F.col("col.single").alias("__single")] if singles else []),
     ).distinct()
 
 
@@ -113,12 +131,24 @@ def repeated_suffixes(lines: DataFrame, min_lines: int) -> DataFrame:
     return known.frame
 
 
+def _later_singles(lines: DataFrame) -> DataFrame:
+    """(spot) of the later copies of lines that are long enough to be a run."""
+    long = lines.where("__single")
+    firsts = long.groupBy("__h1", "__h2").agg(F.min(F.struct(*SPOT)).alias("__first"), F.count("*").alias("__n"))
+    repeated = materialize(firsts.where("__n > 1").drop("__n"), "single_firsts").frame
+    return long.join(repeated, ["__h1", "__h2"]).where(F.struct(*SPOT) != F.col("__first")).select(*SPOT)
+
+
 def repeated_lines(
-    docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    min_lines: int = MIN_LINES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    singles: bool = False,
 ) -> DataFrame:
     """(__id, __hash, __gone): per document with any, the numbers of its deleted lines and
     of the maximal runs they form."""
-    lines = materialize(line_ids(docs, id_col, text_col), "lines").frame
+    lines = materialize(line_ids(docs, id_col, text_col, singles), "lines").frame
     suffixes = repeated_suffixes(lines, min_lines)
     firsts = materialize(
         suffixes.groupBy("__rank").agg(F.min(F.struct(*SPOT)).alias("__first")), "firsts"
@@ -126,8 +156,10 @@ def repeated_lines(
     later = suffixes.join(firsts, "__rank").where(F.struct(*SPOT) != F.col("__first"))
     spots = later.select(
         "__id", "__hash", F.explode(F.sequence("__at", F.col("__at") + (min_lines - 1))).alias("__at")
-    ).distinct()
-    gone = spots.join(lines, SPOT).select("__id", "__hash", "__at", "__line")
+    )
+    if singles:
+        spots = spots.unionByName(_later_singles(lines))
+    gone = spots.distinct().join(lines, SPOT).select("__id", "__hash", "__at", "__line")
     return gone.groupBy("__id", "__hash").agg(
         F.sort_array(F.collect_list(F.struct("__at", "__line"))).alias("__gone")
     )
@@ -154,14 +186,18 @@ def _kept(text: Column, gone: Column) -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    min_lines: int = MIN_LINES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    singles: bool = False,
 ) -> DataFrame:
     """``docs`` with ``__gone`` (NULL where nothing goes) and ``__kept``, the text left.
 
     Documents rank by id, NULL last, then by a hash of their text. A row without lines to
     delete keeps its text as it is, NULL included; one whose lines all go has an empty text.
     """
-    gone = materialize(repeated_lines(docs, min_lines, id_col, text_col), "gone").frame
+    gone = materialize(repeated_lines(docs, min_lines, id_col, text_col, singles), "gone").frame
     # One plan at every size: the texts are dealt by document, however few of them change.
     joined = keyed(docs, id_col, text_col).join(gone.hint("merge"), ["__id", "__hash"], "left")
     text = F.col(text_col)
@@ -169,11 +205,11 @@ def dedup_lines(
     return joined.withColumn("__kept", F.when(F.col("__gone").isNull(), text).otherwise(kept))
 
 
-def line_report(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def line_report(docs: DataFrame, min_lines: int = MIN_LINES, singles: bool = False) -> DataFrame:
     """Per document: lines with a word, deleted lines, their runs, SHA-256 of the text left."""
     slim = docs.select("doc_id", "text")
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(WORD_CHAR))
-    return dedup_lines(slim, min_lines).select(
+    return dedup_lines(slim, min_lines, singles=singles).select(
         "doc_id",
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
@@ -182,9 +218,9 @@ def line_report(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     )
 
 
-def keep_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def keep_lines(docs: DataFrame, min_lines: int = MIN_LINES, singles: bool = False) -> DataFrame:
     """``docs`` with the text left, and ``n_chars`` counted again where it is a column."""
-    cleaned = dedup_lines(docs, min_lines)
+    cleaned = dedup_lines(docs, min_lines, singles=singles)
     fresh = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast("long")}
     return cleaned.select(
         *[

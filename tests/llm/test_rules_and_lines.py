@@ -96,3 +96,11 @@ def test_hot_line_and_odd_rows(spark, skew_settings):
     odd = line_runs.keep_lines(frame(spark))
     kept = collections.Counter((r.doc_id, r.text is None) for r in odd.collect())
     assert kept == collections.Counter((r.doc_id, r.text is None) for r in frame(spark).collect())
+
+
+def test_long_single_lines_go(spark):
+    nine, long = "a b c d e f g h i", "x" * 50
+    texts = [f"one\n{nine}\ntwo\n{long}", f"three\n {nine} \nfour", f"{long}\nfive\none", nine, "one\nfive six"]
+    rows = [(n, t, "en", "a", 1) for n, t in enumerate(texts)]
+    got = {r.doc_id: r.text for r in line_runs.keep_lines(frame(spark, rows), singles=True).collect()}
+    assert got == {0: texts[0], 1: "three\nfour", 2: "five\none", 3: "", 4: "one\nfive six"}
