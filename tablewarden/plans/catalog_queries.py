@@ -460,13 +460,12 @@ def _known_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(known, "columns").frame
 
 
-def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapping between supplier tables by open line item.
+def _mapping(lines: DataFrame) -> DataFrame:
+    """Mapping between supplier tables by line item.
 
     Each maps its part from its supplier's table to the table of the supplier whose key
-    is its line number. Both source and target names may be unknown columns.
+    is its line number.
     """
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "O")
     return lines.select("l_suppkey", "l_partkey", "l_linenumber").distinct().select(
         node("supply", "l_suppkey").alias("src_table"),
         node("part", "l_partkey").alias("src_column"),
@@ -475,19 +474,25 @@ def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _open_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping by open line items: source and target names may be unknown columns."""
+    return _mapping(table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "O"))
+
+
 def column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return columns.column_lineage(_known_columns(spark, sf_dir), _mapping(spark, sf_dir))
+    return columns.column_lineage(_known_columns(spark, sf_dir), _open_mapping(spark, sf_dir))
 
 
 def column_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return columns.column_processes(_mapping(spark, sf_dir), RUN_TIME).select(
+    """Processes of all line items; only the other two need unknown names."""
+    return columns.column_processes(_mapping(table(spark, sf_dir, "lineitem")), RUN_TIME).select(
         "guid", "type_name", "qualified_name", "name", "create_time"
     )
 
 
 def column_process_io(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.column_process_io(
-        _known_columns(spark, sf_dir), _mapping(spark, sf_dir), RUN_TIME
+        _known_columns(spark, sf_dir), _open_mapping(spark, sf_dir), RUN_TIME
     )
 
 

@@ -11,6 +11,7 @@ from tablewarden.materialize import materialize
 from tablewarden.operators import columns, lineage as lin
 from tablewarden.operators.entities import entity_rows, resolve_refs
 from tablewarden.operators.model import CLASSIFICATIONS, EDGES, ENTITIES, PROCESS_IO
+from tablewarden.plans.registry import QUERIES
 
 
 def edges_of(spark, text):
@@ -315,3 +316,11 @@ def test_schema_diff(spark):
         ("c", "int", None, "removed"),
         ("d", None, "int", "added"),
     }
+
+
+def test_column_processes_of_all_line_items(spark, sf_dir, tmp_path):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    finished = lines.where("l_linestatus = 'F'")
+    finished.write.parquet(str(tmp_path / "lineitem.parquet"))
+    pairs = finished.select("l_suppkey", "l_linenumber").distinct().count()
+    assert QUERIES["column_processes"](spark, str(tmp_path)).count() == pairs > 0
