@@ -213,6 +213,28 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]
         yield build_index(sorted((r[0], r[1] or "") for r in rows))
 
 
+FOUND = "__id long, __hash long, item_id long, start long, end long, edits int"
+
+
+def _search(rows: DataFrame, index: Index) -> DataFrame:
+    """The passages of one block, written, so that its index need not be kept."""
+    schema = pa.schema(
+        [("__id", pa.int64()), ("__hash", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()),
+         ("end", pa.int64()), ("edits", pa.int32())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in schema]
+            for doc, mark, text in zip(*column_lists(batch)):
+                for match in matches(index, text):
+                    for column, value in zip(out, (doc, mark, *match)):
+                        column.append(value)
+            yield to_batch(schema, out)
+
+    return materialize(rows.mapInArrow(run, FOUND), "passages").frame
+
+
 def find_passages(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -226,27 +248,13 @@ def find_passages(
     NULL texts and items have none; items without an id are left out. Places count
     characters of the normal form. Rows that repeat a document repeat its passages.
     """
-    schema = pa.schema(
-        [("__id", pa.int64()), ("__hash", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()),
-         ("end", pa.int64()), ("edits", pa.int32())]
-    )
-    names = "__id long, __hash long, item_id long, start long, end long, edits int"
     rows = texts(docs, id_col, text_col)
     found = None
     for index in _blocks(benchmark, item_id, item_text):
-
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out: list[list] = [[] for _ in schema]
-                for doc, mark, text in zip(*column_lists(batch)):
-                    for match in matches(index, text):
-                        for column, value in zip(out, (doc, mark, *match)):
-                            column.append(value)
-                yield to_batch(schema, out)
-
-        block = rows.mapInArrow(run, names)
+        block = _search(rows, index)
+        del index  # before the next block is collected
         found = block if found is None else found.unionByName(block)
-    return rows.sparkSession.createDataFrame([], names) if found is None else found
+    return rows.sparkSession.createDataFrame([], FOUND) if found is None else found
 
 
 def passage_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -290,3 +290,24 @@ def test_benchmark_in_blocks_and_odd_rows(spark, monkeypatch):
     assert decontaminate.passage_report(docs, none).count() == 0
     assert decontaminate.drop_contaminated(docs, none).count() == len(rows)
     assert decontaminate.drop_contaminated(docs, benchmark).count() == len(rows) - 6
+
+
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    import gc
+    import weakref
+
+    held, alive, build = [], [], decontaminate.build_index
+
+    def counted(items):
+        gc.collect()
+        alive.append(sum(ref() is not None for ref in held))
+        index = build(items)
+        held.append(weakref.ref(index))
+        return index
+
+    monkeypatch.setattr(decontaminate, "build_index", counted)
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 150)
+    benchmark = spark.createDataFrame([(n, prose(900 + n, 14)) for n in range(6)], "item_id long, text string")
+    docs = frame(spark, [(n, prose(900 + n, 14), "en", "a", 1) for n in range(6)])
+    assert {(r.doc_id, r.item_id) for r in decontaminate.passage_report(docs, benchmark).collect()} == {(n, n) for n in range(6)}
+    assert len(alive) > 2 and not any(alive)
