@@ -27,10 +27,11 @@ from tablewarden.llm.common import column_lists, keyed, texts, to_batch, true_id
 from tablewarden.materialize import materialize
 
 Q = 8
-# Length of a piece, distance of the next one, and the share of it that may be edited.
-PIECE, STRIDE, EDITS = 64, 32, 0.08  # at most 64, the places are packed in six bits
-# Characters of benchmark text in one block of the index.
-BLOCK_CHARS = 4_000_000
+# Length of a piece, distance of the next one, and the share of it that may be edited. A run of
+# ``PIECE`` exact characters lies at most half a stride from a piece, which is within its edits.
+PIECE, STRIDE, EDITS = 64, 10, 0.08  # at most 64, the places are packed in six bits
+# Characters of benchmark text in one block of the index; each lies in six or seven pieces.
+BLOCK_CHARS = 1_250_000
 BITS = 20
 
 

@@ -311,3 +311,12 @@ def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
     docs = frame(spark, [(n, prose(900 + n, 14), "en", "a", 1) for n in range(6)])
     assert {(r.doc_id, r.item_id) for r in decontaminate.passage_report(docs, benchmark).collect()} == {(n, n) for n in range(6)}
     assert len(alive) > 2 and not any(alive)
+
+
+@pytest.mark.parametrize("size", [64, 70, 84])
+def test_exact_quotations_are_found_at_every_offset(size):
+    item = decontaminate.normalise(prose(950, 30))
+    index = decontaminate.build_index([(1, item)])
+    for at in range(len(item) - size + 1):
+        text = f"{'#' * 80}{item[at : at + size]}{'@' * 80}"
+        assert [m[0] for m in decontaminate.matches(index, text)] == [1], at
