@@ -11,17 +11,21 @@ from tablewarden.llm import (
     decontaminate,
     line_runs,
     packing,
+    periodic_runs,
     pii,
     quality_model,
     quality_rules,
     simhash,
+    speculative_bpe,
     substring_dedup,
+    token_alignment,
     toxicity,
     unit_dedup,
 )
 from tablewarden.llm.common import read_table
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,21 @@ def repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_report(read_table(spark, sf_dir, "documents"))
 
 
+def aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    paths = (public_tokenizers.path(name) for name in (VOCABULARY, PIECES))
+    return token_alignment.alignment_report(docs, *paths)
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(read_table(spark, sf_dir, "documents"))
+
+
+def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return speculative_bpe.round_trip_report(docs, public_tokenizers.path(VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality,
     "op2_decontamination": decontamination,
@@ -78,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": personal_data,
     "op9_quality_rules": rules,
     "op10_suffix_dedup": repeated_substrings,
+    "op11_token_alignment": aligned_tokens,
+    "op12_periodic_runs": periodic,
+    "op13_bpe_round_trip": round_trip,
 }
 
 ORACLES: dict[str, str] = {"op7_line_dedup": line_runs.ORACLE, "op9_quality_rules": quality_rules.ORACLE}
