@@ -32,7 +32,9 @@ from tablewarden.llm.packing import encoder, vocabulary
 from tablewarden.materialize import materialize
 
 # Bytes of documents that are aligned together; a longer one is aligned alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
+# Rows that are taken out of a batch at a time.
+ROWS = 256
 # Distinct pairs that a task gathers before it sends them on.
 TASK_PAIRS = 1 << 20
 # Counts in a row of a vector, and vectors that are added up by one task.
@@ -53,8 +55,7 @@ class Side:
         return cls(tokens, np.array([len(t) for t in tokens], np.int64))
 
     def joined(self, ids: list[int]) -> bytes:
-        table = self.bytes
-        return b"".join([table[n] for n in ids])
+        return b"".join(map(self.bytes.__getitem__, ids))
 
 
 def byte_side(words: dict) -> Side:
@@ -76,11 +77,16 @@ def piece_side(model: sentencepiece.SentencePieceProcessor) -> Side:
     return Side.of(tokens)
 
 
+def id_type(sides: tuple[Side, Side]) -> str:
+    """How ids are written: in two bytes if they fit."""
+    return "<u2" if max(len(s.bytes) for s in sides) <= 1 << 16 else "<u4"
+
+
 TOKENS = pa.schema([("__row", pa.int64()), ("doc_id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
 
 def encode(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(__row, doc_id, a, b) per row: the ids of both tokenizers as 32-bit numbers.
+    """(__row, doc_id, a, b) per row: the ids of both tokenizers, each of ``id_type``.
 
     Both are empty for a NULL or empty text, and for one that either tokenizer does not
     give back byte by byte.
@@ -88,25 +94,26 @@ def encode(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_
     words = vocabulary(byte_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = encoder(words)
-        second = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        first, second = encoder(words), sentencepiece.SentencePieceProcessor(model_file=piece_path)
         sides = byte_side(words), piece_side(second)
+        kind = id_type(sides)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out: list[list] = [[] for _ in TOKENS]
-            for doc, text in zip(*column_lists(batch)):
-                ids: tuple[list[int], list[int]] = [], []
-                if text:
-                    ids = first.encode_ordinary(" " + text), second.encode(text)
-                    whole = b" " + text.encode()
+            for at in range(0, batch.num_rows, ROWS):
+                doc, text = column_lists(batch.slice(at, ROWS))
+                out: list[list] = [list(range(row, row + len(doc))), doc, [], []]
+                row += len(doc)
+                for one, pieces in zip(text, second.encode(text, num_threads=1)):
+                    ids = first.encode_ordinary(" " + one) if one else [], pieces
+                    whole = b" " + one.encode()
                     if any(side.joined(i) != whole for side, i in zip(sides, ids)):
                         ids = [], []
-                row += 1
-                for column, value in zip(out, (row, doc, *(np.array(i, "<u4").tobytes() for i in ids))):
-                    column.append(value)
-            yield to_batch(TOKENS, out)
+                    for column, value in zip(out[2:], ids):
+                        column.append(np.array(value, kind).tobytes())
+                yield to_batch(TOKENS, out)
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     return slim.mapInArrow(run, "__row long, doc_id long, a binary, b binary")
 
 
@@ -114,17 +121,21 @@ def encode(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_
 class Aligned:
     """Documents aligned together, one behind the other.
 
-    ``a`` and ``b`` are ids, ``a_group`` and ``b_group`` the groups they are in, and
-    ``link_a``, ``link_b`` the places of the linked tokens; ``link_doc`` the document of a link.
+    ``a`` and ``b`` are ids, ``a_group`` and ``b_group`` the groups they are in, ``a_upto``
+    and ``b_upto`` the tokens up to the end of each group; ``link_a``, ``link_b`` the places
+    of linked tokens and ``link_doc`` the document of a link. The others are per document.
     """
 
     a: np.ndarray
     b: np.ndarray
     a_counts: np.ndarray
     b_counts: np.ndarray
+    links: np.ndarray
+    groups: np.ndarray
     a_group: np.ndarray
     b_group: np.ndarray
-    groups: np.ndarray
+    a_upto: np.ndarray
+    b_upto: np.ndarray
     link_a: np.ndarray
     link_b: np.ndarray
     link_doc: np.ndarray
@@ -132,23 +143,32 @@ class Aligned:
     def keys(self) -> np.ndarray:
         return (self.a[self.link_a] << SHIFT) | self.b[self.link_b]
 
+    def index(self, table: perfect_hash.Table) -> np.ndarray:
+        """Index of the pair of each link, -1 if it is in another block."""
+        keys, place = np.unique(self.keys(), return_inverse=True)
+        return table.index(keys)[place]
+
 
 def align(a_lists: list[np.ndarray], b_lists: list[np.ndarray], sides: tuple[Side, Side]) -> Aligned:
-    counts = [np.array([len(x) for x in lists], np.int64) for lists in (a_lists, b_lists)]
+    a_counts, b_counts = (np.array([len(x) for x in lists], np.int64) for lists in (a_lists, b_lists))
     a, b = (np.concatenate(lists).astype(np.int64) for lists in (a_lists, b_lists))
     # Both sides of a document have the same bytes, so their ends meet at its end.
     a_ends, b_ends = np.cumsum(sides[0].length[a]), np.cumsum(sides[1].length[b])
-    merged = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
-    again = merged[1:] == merged[:-1]
-    common = merged[1:][again]
-    stretches = merged[np.concatenate([[True], ~again])] if len(merged) else merged
-    doc_ends = np.concatenate([[0], a_ends])[np.cumsum(counts[0])]
-    a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
-    upto = np.searchsorted(common, doc_ends, side="right")
+    marks = np.zeros(1 + (int(a_ends[-1]) if len(a) else 0), np.uint8)
+    marks[a_ends] = 1
+    marks[b_ends] += 2
+    # One link for each stretch between neighbouring ends.
+    ends = np.flatnonzero(marks)
+    kind = marks[ends]
+    of_a, of_b, both = kind & 1 == 1, kind & 2 == 2, kind == 3
+    a_done, b_done, done = (np.cumsum(x) for x in (of_a, of_b, both))
+    group = done - both
+    upto = np.searchsorted(ends, np.concatenate([[0], a_ends])[np.cumsum(a_counts)], side="right")
+    links = np.diff(upto, prepend=0)
+    groups = np.diff(np.concatenate([[0], done])[upto], prepend=0)
     return Aligned(
-        a, b, *counts, a_group, b_group, np.diff(upto, prepend=0),
-        np.searchsorted(a_ends, stretches), np.searchsorted(b_ends, stretches),
-        np.searchsorted(doc_ends, stretches),
+        a, b, a_counts, b_counts, links, groups, group[of_a], group[of_b], a_done[both], b_done[both],
+        a_done - of_a, b_done - of_b, np.repeat(np.arange(len(links)), links),
     )
 
 
@@ -164,12 +184,10 @@ class Printer:
 
     def texts(self, x: Aligned) -> Iterator[bytes]:
         """The groups of each document, empty for one without tokens."""
-        total = np.arange(int(x.groups.sum()))
-        a_end, b_end = (np.searchsorted(g, total, side="right") for g in (x.a_group, x.b_group))
-        b_begin = np.concatenate([[0], b_end])[:-1]
+        b_before = np.concatenate([[0], x.b_upto])[:-1]
         out = np.empty(len(x.a) + len(x.b), self.tables[0][0].dtype)
         for side, (ids, group, ends, shift) in enumerate(
-            ((x.a, x.a_group, a_end, b_begin), (x.b, x.b_group, b_end, a_end))
+            ((x.a, x.a_group, x.a_upto, b_before), (x.b, x.b_group, x.b_upto, x.a_upto))
         ):
             here = np.arange(len(ids))
             inner, last = self.tables[side]
@@ -179,34 +197,40 @@ class Printer:
             yield out[begin:end].tobytes().replace(b"\0", b"")[:-1]
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list[np.ndarray], list[np.ndarray]]]:
-    """(rows, doc_ids, a, b) of documents in portions of bounded size."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], sides: tuple[Side, Side]
+) -> Iterator[tuple[list[int], list[int | None], Aligned]]:
+    """(rows, doc_ids, their alignment) of documents in portions of bounded size."""
+    kind = id_type(sides)
     rows, ids, a, b, size = [], [], [], [], 0
     for batch in batches:
-        for row, doc, x, y in zip(*column_lists(batch)):
-            if rows and size + len(x) > CHUNK_BYTES:
-                yield rows, ids, a, b
-                rows, ids, a, b, size = [], [], [], [], 0
-            rows.append(row)
-            ids.append(doc)
-            a.append(np.frombuffer(x, "<u4"))
-            b.append(np.frombuffer(y, "<u4"))
-            size += len(x)
+        for at in range(0, batch.num_rows, ROWS):
+            for row, doc, x, y in zip(*column_lists(batch.slice(at, ROWS))):
+                if rows and size + len(x) > CHUNK_BYTES:
+                    yield rows, ids, align(a, b, sides)
+                    rows, ids, a, b, size = [], [], [], [], 0
+                rows.append(row)
+                ids.append(doc)
+                a.append(np.frombuffer(x, kind))
+                b.append(np.frombuffer(y, kind))
+                size += len(x)
     if rows:
-        yield rows, ids, a, b
+        yield rows, ids, align(a, b, sides)
 
 
 def distinct_pairs(tokens: DataFrame, sides: tuple[Side, Side]) -> DataFrame:
     """(key) of the pairs linked anywhere, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.array([], np.int64)
-        for _, _, a, b in chunks(batches):
-            known = np.union1d(known, align(a, b, sides).keys())
-            if len(known) >= TASK_PAIRS:
-                yield pa.RecordBatch.from_arrays([pa.array(known)], ["key"])
-                known = known[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(known)], ["key"])
+        found: list[np.ndarray] = []
+        for _, _, x in chunks(batches, sides):
+            found.append(np.unique(x.keys()))
+            if sum(map(len, found)) >= TASK_PAIRS:
+                found = [np.unique(np.concatenate(found))]
+                if 2 * len(found[0]) >= TASK_PAIRS:
+                    yield pa.RecordBatch.from_arrays([pa.array(found.pop())], ["key"])
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], ["key"])
 
     return tokens.mapInArrow(run, "key long").distinct()
 
@@ -229,9 +253,8 @@ def count_documents(tokens: DataFrame, table: perfect_hash.Table, sides: tuple[S
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vector = np.zeros(size, np.int64)
-        for _, _, a, b in chunks(batches):
-            x = align(a, b, sides)
-            index = held.value.index(x.keys())
+        for _, _, x in chunks(batches, sides):
+            index = x.index(held.value)
             inside = index >= 0
             once = np.unique(x.link_doc[inside] * size + index[inside]) % max(1, size)
             np.add.at(vector, once, 1)
@@ -281,18 +304,16 @@ def _look_up(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, counts, top = held.value
         printer = Printer(sides) if whole else None
-        for rows, ids, a, b in chunks(batches):
-            x = align(a, b, sides)
-            index = table.index(x.keys())
+        for rows, ids, x in chunks(batches, sides):
+            index = x.index(table)
             inside = index >= 0
             doc, index = x.link_doc[inside], index[inside]
             n_best = np.bincount(doc[top[index]], minlength=len(rows))
             total = np.zeros(len(rows), np.int64)
             np.add.at(total, doc, counts[index])
             if whole:
-                n_links = np.bincount(x.link_doc, minlength=len(rows))
                 digests = [hashlib.sha256(t).hexdigest() if t else "" for t in printer.texts(x)]
-                rest = [ids, x.a_counts, x.b_counts, x.groups, n_links]
+                rest = [ids, x.a_counts, x.b_counts, x.groups, x.links]
             else:
                 digests, rest = [None] * len(rows), [[None] * len(rows)] * 5
             yield to_batch(REPORT, [rows, *rest, n_best, total, digests])
