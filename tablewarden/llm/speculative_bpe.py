@@ -29,8 +29,11 @@ from tablewarden.llm.packing import PATTERN, byte_of_letter
 
 # Words that a task remembers; a full memory is emptied.
 CACHE_WORDS = 1 << 18
-# Characters of documents that are encoded together, and of one text that is split at a time.
+# Words of documents that are encoded together, and characters of a text that are split at a time.
+CHUNK_WORDS = 1 << 18
 CHUNK_CHARS = 1 << 20
+# Longest word that is merged by looking through all its pairs for the least rank.
+SHORT = 64
 NEVER = 1 << 40
 # A blank between two other characters always begins a word.
 SAFE = regex.compile(r"(?<=\S) (?=\S)")
@@ -90,7 +93,8 @@ class Codec:
         keys = left * self.size + right
         order = np.argsort(keys)
         self.pair_keys, self.pair_rank = keys[order], at[order]
-        self.ranks = {pair: (n, m) for n, (pair, m) in enumerate(zip(zip(left.tolist(), right.tolist()), made.tolist()))}
+        self.ranks = {pair: n for n, pair in enumerate(zip(left.tolist(), right.tolist()))}
+        self.made = made.tolist()
 
     def _merge_rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         key = x * self.size + y
@@ -150,34 +154,45 @@ class Codec:
     def merge(self, word: bytes) -> list[int]:
         """The encoding by single merges, the least rank first and of equal ones the leftmost."""
         ids = [self.ids[word[n : n + 1]] for n in range(len(word))]
-        after = list(range(1, len(ids) + 1))
-        before = list(range(-1, len(ids) - 1))
-        ranks, span = self.ranks, len(ids)
+        return self._merge_short(ids) if len(ids) <= SHORT else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        rank_of, made = self.ranks.get, self.made
+        ranks = [rank_of(pair, NEVER) for pair in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) < NEVER:
+            at = ranks.index(rank)
+            ids[at : at + 2] = [made[rank]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((ids[at - 1], ids[at]), NEVER)
+            if at < len(ranks):
+                ranks[at] = rank_of((ids[at], ids[at + 1]), NEVER)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of the pairs."""
+        rank_of, made, span = self.ranks.get, self.made, len(ids)
+        after = list(range(1, span + 1))
+        before = list(range(-1, span - 1))
         heap = [
-            found[0] * span + n
-            for n, pair in enumerate(zip(ids, ids[1:]))
-            if (found := ranks.get(pair)) is not None
+            rank * span + n for n, pair in enumerate(zip(ids, ids[1:])) if (rank := rank_of(pair)) is not None
         ]
         heapq.heapify(heap)
         while heap:
             rank, n = divmod(heapq.heappop(heap), span)
             other = after[n]
-            if ids[n] < 0 or other >= span:
+            # A pair of which a part was merged since is out of date.
+            if ids[n] < 0 or other >= span or rank_of((ids[n], ids[other])) != rank:
                 continue
-            found = ranks.get((ids[n], ids[other]))
-            if found is None or found[0] != rank:
-                continue
-            ids[n], ids[other] = found[1], -1
+            ids[n], ids[other] = made[rank], -1
             after[n] = after[other]
             if after[n] < span:
                 before[after[n]] = n
-                pair = ranks.get((ids[n], ids[after[n]]))
-                if pair is not None:
-                    heapq.heappush(heap, pair[0] * span + n)
-            if before[n] >= 0:
-                pair = ranks.get((ids[before[n]], ids[n]))
-                if pair is not None:
-                    heapq.heappush(heap, pair[0] * span + before[n])
+            for first, second in ((before[n], n), (n, after[n])):
+                if first >= 0 and second < span:
+                    found = rank_of((ids[first], ids[second]))
+                    if found is not None:
+                        heapq.heappush(heap, found * span + first)
         return [n for n in ids if n >= 0]
 
     def encode_words(self, words: list[bytes]) -> tuple[list[list[int]], int]:
@@ -214,35 +229,39 @@ class Codec:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         out: list[list[bytes]] = [[] for _ in texts]
         waiting: list[tuple[int, list[str] | int]] = []
-        chars = 0
+        size = 0
         for n, text in enumerate(texts):
             for part in self.split(text):
                 waiting.append((n, part))
-                chars += sum(map(len, part)) if isinstance(part, list) else 1
-                if chars >= CHUNK_CHARS:
+                size += len(part) if isinstance(part, list) else 1
+                if size >= CHUNK_WORDS:
                     self._flush(waiting, out)
-                    waiting, chars = [], 0
+                    waiting, size = [], 0
         self._flush(waiting, out)
         return [b"".join(parts) for parts in out]
 
     def _flush(self, waiting: list[tuple[int, list[str] | int]], out: list[list[bytes]]) -> None:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        lists = [part for _, part in waiting if isinstance(part, list)]
-        fresh = list({word for part in lists for word in part if word not in self.cache})
+        cache = self.cache
+        fresh = list({word for _, part in waiting if isinstance(part, list) for word in part if word not in cache})
         found, _ = self.encode_words([word.encode() for word in fresh])
+        data, at = np.array([n for ids in found for n in ids], "<u4").tobytes(), 0
         for word, ids in zip(fresh, found):
-            self.cache[word] = np.array(ids, "<u4").tobytes()
-        known = self.cache.__getitem__
+            end = at + 4 * len(ids)
+            cache[word] = data[at:end]
+            at = end
         for n, part in waiting:
-            ids = b"".join(map(known, part)) if isinstance(part, list) else np.array([part], "<u4").tobytes()
-            out[n].append(ids)
+            if isinstance(part, list):
+                out[n].append(b"".join(map(cache.__getitem__, part)))
+            else:
+                out[n].append(np.array([part], "<u4").tobytes())
 
     def decode(self, ids: bytes) -> str:
         """The text of little-endian ids; bytes that are no UTF-8 become U+FFFD."""
         table = self.bytes
         numbers = np.frombuffer(ids, "<u4").tolist()
-        return b"".join([table[n] for n in numbers]).decode("utf-8", "replace")
+        return b"".join(map(table.__getitem__, numbers)).decode("utf-8", "replace")
 
 
 def encode_documents(

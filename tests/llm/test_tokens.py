@@ -65,6 +65,8 @@ def test_verification_rejects_just_the_wrong_proposals(codec):
     words += [word for word, n in list(codec.ids.items())[::97] if len(word) > 1]
     found, failed = codec.encode_words(words)
     merged = [codec.merge(word) for word in words]
+    as_bytes = [[codec.ids[word[n : n + 1]] for n in range(len(word))] for word in words]
+    assert merged == [codec._merge_long(ids) for ids in as_bytes]
     assert found == merged
     assert failed == sum(codec.propose(word) != m for word, m in zip(words, merged)) > 100
     assert failed < len(words) * 0.9
@@ -83,6 +85,7 @@ def test_a_long_text_is_split_where_words_begin(codec, monkeypatch):
     texts = [prose(5, 3000), "a  b   c " * 2000, "a" * 30_000, " " * 20_000 + "x"]
     want = library_ids(texts)
     monkeypatch.setattr(speculative_bpe, "CHUNK_CHARS", 64)
+    monkeypatch.setattr(speculative_bpe, "CHUNK_WORDS", 50)
     monkeypatch.setattr(speculative_bpe, "CACHE_WORDS", 10)
     assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode(texts)] == want
     assert len(codec.encode(["ab" * 500_000])[0]) > 0
