@@ -29,20 +29,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def read_written(spark: SparkSession, paths: tuple[str, ...], like: DataFrame) -> DataFrame:
     """One scan over several written tables; the known schema saves the footer pass."""
-    return spark.read.schema(like.schema).parquet(*paths)
+    reader = spark.read.schema(like.schema)
+    base, _, step = paths[0].rpartition("/")
+    if step.startswith("step="):
+        # Tables in folders are parts of one table by step; its own column is left out.
+        return reader.option("basePath", base).parquet(*paths).select(*like.columns)
+    return reader.parquet(*paths)
 
 
-def materialize(df: DataFrame, label: str, **metrics: Column) -> WrittenTable:
+def materialize(df: DataFrame, label: str, folders: str | None = None, **metrics: Column) -> WrittenTable:
     """Write ``df`` and read it back; the row count and other aggregates ride on the write.
 
+    ``folders`` names a column whose values become folders.
+
     Unlike cached or locally checkpointed data the files outlive any executor, and their
     size on disk tells the optimizer whether a later join may broadcast them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if folders:
+        path = f"{scratch_path(spark, '').rpartition('/')[0]}/{label}/step={uuid.uuid4().hex}"
     observed = Observation()
     counted = [F.count(F.lit(1)).alias("rows"), *(m.alias(name) for name, m in metrics.items())]
-    df.observe(observed, *counted).write.parquet(path)
+    if folders:
+        # Files by folder, not one in each folder for each task.
+        writer = df.hint("rebalance", F.col(folders)).observe(observed, *counted).write.partitionBy(folders)
+    else:
+        writer = df.observe(observed, *counted).write
+    writer.parquet(path)
     found = dict(observed.get)
     return WrittenTable((path,), read_written(spark, (path,), df), found.pop("rows"), found)
 

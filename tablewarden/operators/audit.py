@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.operators.entities import expected_key, missing_entities
-from tablewarden.operators.lineage import has_lineage
+from tablewarden.operators.lineage import has_lineage, linked_nodes
+from tablewarden.operators.model import DELETED
 
 
 class CatalogVerificationError(AssertionError):
@@ -33,7 +34,7 @@ def metadata_audit(
     entities: DataFrame, classifications: DataFrame, edges: DataFrame
 ) -> DataFrame:
     """Share of entities per type that are described, owned, tagged and in lineage."""
-    # Marks and entities meet in one aggregate; a hub's edges are cut to one row per task.
+    # Each node and each tagged entity is one narrow row before it meets the entities.
     none = F.lit(None).cast("string")
     described = entities.select(
         "guid",
@@ -54,10 +55,9 @@ def metadata_audit(
             F.lit(not tagged).alias("is_linked"),
         )
 
-    ends = edges.select(F.explode(F.array("src_guid", "dst_guid")).alias("guid"))
     flags = (
-        described.unionByName(marks(classifications, True))
-        .unionByName(marks(ends, False))
+        described.unionByName(marks(classifications.select("guid").distinct(), True))
+        .unionByName(marks(linked_nodes(edges), False))
         .groupBy("guid")
         .agg(
             F.max("type_name").alias("type_name"),
@@ -81,6 +81,25 @@ def metadata_audit(
     )
 
 
+def catalog_faults(
+    entities: DataFrame, edges: DataFrame, expected: DataFrame, type_name: str
+) -> DataFrame:
+    """What verification finds, as a table of any size: fault, type_name, named.
+
+    ``missing`` is an expected entity without a live one, ``no_lineage`` a live entity of the
+    type that has no edge.
+    """
+    key = expected_key(expected)
+    missing = missing_entities(entities, expected).select(
+        F.lit("missing").alias("fault"), "type_name", F.col(key).alias("named")
+    )
+    live = entities.filter((F.col("type_name") == type_name) & ~F.col("status").eqNullSafe(DELETED))
+    alone = live.join(linked_nodes(edges), "guid", "left_anti").select(
+        F.lit("no_lineage").alias("fault"), "type_name", F.col("qualified_name").alias("named")
+    )
+    return missing.unionByName(alone)
+
+
 def verify_catalog(
     entities: DataFrame,
     edges: DataFrame,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions import naming, times
@@ -106,3 +106,68 @@ def schema_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         .withColumn("change", change)
         .filter("change IS NOT NULL")
     )
+
+
+def schema_intervals(snapshots: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Validity intervals of columns over many runs: keys, data_type, from_run, to_run.
+
+    ``snapshots`` has a row per run, key and ``data_type``; ``runs`` the numbers of all runs in
+    ``run``, also of those that found no column at all. An interval holds from ``from_run`` up
+    to but without ``to_run``, which is NULL while it lasts. A column that is gone for some
+    runs, or changes its type, begins a new interval. Runs are numbered one after the other
+    (a row per run, however many columns there are), then one window per column finds where
+    a stretch of runs with the same type begins. Of a column that a run has twice, the
+    type that sorts first counts; a NULL type is a type.
+    """
+    order = Window.orderBy("run")
+    numbered = runs.select("run").distinct().select(
+        "run", F.row_number().over(order).alias("_n"), F.lead("run").over(order).alias("_next")
+    )
+    once = snapshots.groupBy(*keys, "run").agg(F.min("data_type").alias("data_type"))
+    own = Window.partitionBy(*keys).orderBy("_n")
+    before = F.lag(F.struct("_n", "data_type")).over(own)
+    same = (before["_n"] == F.col("_n") - 1) & before["data_type"].eqNullSafe(F.col("data_type"))
+    stretch = F.sum((~F.coalesce(same, F.lit(False))).cast("int")).over(own)
+    marked = once.join(numbered, "run").withColumn("_stretch", stretch)
+    ends = marked.groupBy(*keys, "_stretch").agg(
+        F.first("data_type").alias("data_type"),
+        F.min("run").alias("from_run"),
+        F.max_by("_next", "_n").alias("to_run"),
+    )
+    return ends.drop("_stretch")
+
+
+def schema_as_of(intervals: DataFrame, run: Column) -> DataFrame:
+    """The columns that a run had: the keys and ``data_type`` of the intervals around it."""
+    held = (F.col("from_run") <= run) & (F.col("to_run").isNull() | (run < F.col("to_run")))
+    return intervals.filter(held).drop("from_run", "to_run")
+
+
+def schema_changes(intervals: DataFrame, keys: list[str], first_run: Column) -> DataFrame:
+    """All changes over all runs in one pass: keys, run, old_type, new_type, change.
+
+    The columns of ``first_run`` are what the others are compared with and are no change. A
+    column that comes back after a break is added again.
+    """
+    own = Window.partitionBy(*keys).orderBy("from_run")
+    rows = intervals.withColumns(
+        {
+            "_old": F.lag(F.struct("to_run", "data_type")).over(own),
+            "_back": F.lead("from_run").over(own),
+        }
+    )
+    goes_on = F.coalesce(F.col("_old.to_run") == F.col("from_run"), F.lit(False))
+    begun = F.struct(
+        F.col("from_run").alias("run"),
+        F.when(goes_on, F.col("_old.data_type")).alias("old_type"),
+        F.col("data_type").alias("new_type"),
+        F.when(goes_on, "retyped").when(F.col("from_run") != first_run, "added").alias("change"),
+    )
+    gone = F.col("to_run").isNotNull() & ~F.col("to_run").eqNullSafe(F.col("_back"))
+    ended = F.struct(
+        F.col("to_run").alias("run"),
+        F.col("data_type").alias("old_type"),
+        F.lit(None).cast("string").alias("new_type"),
+        F.when(gone, "removed").alias("change"),
+    )
+    return rows.select(*keys, F.inline(F.array(begun, ended))).filter("change IS NOT NULL")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablewarden.functions import naming, times
 from tablewarden.functions.documents import default_description
-from tablewarden.operators.model import ACTIVE, ENTITIES, ENTITY_COLUMNS
+from tablewarden.operators.model import ACTIVE, DELETED, ENTITIES, ENTITY_COLUMNS
 
 # Fixed value: owner of entities that a job registers.
 SERVICE_OWNER = "ETL_SERVICE"
@@ -103,14 +103,14 @@ def expected_key(expected: DataFrame) -> str:
 
 
 def missing_entities(entities: DataFrame, expected: DataFrame) -> DataFrame:
-    """Expected entities without a live one, each once.
+    """Expected entities without a live one, each once. One without a status is live.
 
     ``expected`` has (type_name, qualified_name), or (type_name, name) where any database
     will do. Both sides are made distinct first: names repeat, and a repeated name would put
     all its rows into one join partition.
     """
     key = ["type_name", expected_key(expected)]
-    live = entities.filter(F.col("status") == ACTIVE).select(*key).distinct()
+    live = entities.filter(~F.col("status").eqNullSafe(DELETED)).select(*key).distinct()
     wanted = expected.select(*key).distinct()
     return wanted.join(live, key, "left_anti")
 

@@ -7,7 +7,7 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.materialize import WrittenTable, materialize, read_written
@@ -118,24 +118,51 @@ def _steps(edges: DataFrame | EdgeTable, forward: bool) -> tuple[DataFrame, list
     return edges.side(forward).selectExpr("bucket", *ends), ["bucket", "guid"]
 
 
+def _is_split(edges: DataFrame | EdgeTable) -> bool:
+    return isinstance(edges, EdgeTable) and edges.buckets > 1
+
+
 def _written(nodes: DataFrame, edges: DataFrame | EdgeTable, label: str) -> WrittenTable:
-    """Nodes written once, with the buckets that they fall into."""
-    if isinstance(edges, DataFrame):
+    """Nodes written once, with the buckets that they fall into.
+
+    Next to an edge table of several buckets they lie in folders by bucket as well.
+    """
+    if not _is_split(edges):
         return materialize(nodes, label)
     bucket = F.expr(_bucket("guid", edges.buckets))
-    return materialize(nodes, label, buckets=F.collect_set(bucket))
+    placed = nodes.withColumn("bucket", bucket)
+    return materialize(placed, label, "bucket", buckets=F.collect_set("bucket"))
 
 
 def _edges_of(edges: DataFrame | EdgeTable, nodes: WrittenTable, forward: bool) -> DataFrame:
     """Rows of ``nodes`` with the ``next_guid`` of each of their edges."""
     steps, on = _steps(edges, forward)
     frame = nodes.frame
-    if "bucket" in on:
+    if _is_split(edges):
         steps = steps.filter(F.col("bucket").isin(sorted(nodes.metrics["buckets"])))
-        frame = frame.selectExpr("*", f"{_bucket('guid', edges.buckets)} AS bucket")
+    elif "bucket" in on:
+        steps, on = steps.drop("bucket"), ["guid"]
     return frame.join(steps, on)
 
 
+def _unseen(reached: DataFrame, seen: DataFrame, edges: EdgeTable, keys: list[str]) -> DataFrame:
+    """The nodes of a hop that are new, where the nodes seen lie in the buckets of the edges.
+
+    The hop is written first. So its buckets are known, and of the nodes seen only those in
+    the same buckets are read.
+    """
+    written = _written(reached, edges, "reached")
+    if not written.rows:
+        return written.frame
+    near = seen.filter(F.col("bucket").isin(sorted(written.metrics["buckets"]))).select("bucket", *keys)
+    same = [written.frame[k].eqNullSafe(near[k]) for k in ("bucket", *keys)]
+    return written.frame.join(near, reduce(Column.__and__, same), "left_anti").drop("bucket")
+
+
+# Hops that are taken one by one. A walk that is not at its end by then is in a deep graph.
+SINGLE_HOPS = 16
+
+
 def _walk(
     edges: DataFrame | EdgeTable,
     seeds: DataFrame,
@@ -146,41 +173,147 @@ def _walk(
     """Breadth-first walk from all seeds at once, the least hop per (labels, guid).
 
     ``seeds`` has a ``guid`` and label columns that travel along. Each hop joins only the
-    nodes found by the hop before, and one aggregate over these and all nodes seen so far
-    both removes repeats and drops known nodes. The new nodes are written to the shared
+    nodes found by the hop before. Known nodes are dropped in one aggregate over these and
+    all nodes seen so far, or, next to an edge table of several buckets, by a join with the
+    seen nodes of the buckets that the hop has reached. The new nodes are written to the shared
     folder. So cycles end, paths do not multiply, plans stay short, a lost executor costs
     at most the current hop, and the size of a written frontier decides whether the next
     join broadcasts it. A node with very many edges is a hot join key; adaptive execution
     splits its partition, which it can because the frontier is a table and not the output
-    of an aggregate on the same key. ``source`` names a column that is no label: of several
-    ways to a node with the least hop, the one with the least source counts.
+    of an aggregate on the same key. ``source`` names a column of numbers that is no label: of
+    several ways to a node with the least hop, the one with the least source counts.
+
+    After ``SINGLE_HOPS`` hops the rest of the way is walked over contracted chains.
     """
     labels = [c for c in seeds.columns if c not in ("guid", source)]
     keys = [*labels, "guid"]
     carried = [] if source is None else [source]
 
-    def nearest(rows: DataFrame) -> DataFrame:
-        if not carried:
-            # A number can be kept in a hash table; a struct would have to be sorted.
-            return rows.groupBy(*keys).agg(F.min("hop").alias("hop"))
-        least = F.min(F.struct("hop", *carried)).alias("_least")
-        return rows.groupBy(*keys).agg(least).select(*keys, "_least.*")
+    def nearest(rows: DataFrame, hop: int) -> DataFrame:
+        """The nodes first reached by ``hop``; numbers only, which a hash table can hold."""
+        least = [F.min(F.when(F.col("hop") == hop, F.col(c))).alias(c) for c in carried]
+        return rows.groupBy(*keys).agg(F.min("hop").alias("hop"), *least).filter(f"hop = {hop}")
 
-    frontier = _written(nearest(seeds.selectExpr(*keys, *carried, "0 AS hop")), edges, "frontier")
+    first = nearest(seeds.selectExpr(*keys, *carried, "0 AS hop"), 0).select(*keys, *carried, "hop")
+    frontier = _written(first, edges, "frontier")
     paths, seen, hop = frontier.paths, frontier.frame, 0
-    while frontier.rows and (depth is None or hop < depth):
+    while frontier.rows and (depth is None or hop < depth) and hop < SINGLE_HOPS:
         hop += 1
         reached = _edges_of(edges, frontier, forward).selectExpr(
-            *labels, "next_guid AS guid", f"{hop} AS hop", *carried
+            *labels, "next_guid AS guid", *carried, f"{hop} AS hop"
         )
-        known = nearest(seen.unionByName(reached))
-        frontier = _written(known.filter(f"hop = {hop}"), edges, "frontier")
+        if _is_split(edges):
+            fresh = _unseen(nearest(reached, hop), seen, edges, keys)
+        else:
+            fresh = nearest(seen.unionByName(reached), hop)
+        frontier = _written(fresh.select(*keys, *carried, "hop"), edges, "frontier")
         if frontier.rows:
             paths += frontier.paths
             seen = read_written(seeds.sparkSession, paths, seen)
+    seen = seen.select(*keys, *carried, "hop")
+    if frontier.rows and (depth is None or hop < depth):
+        start = materialize(frontier.frame.select(*keys, *carried, "hop"), "deep-frontier").frame
+        return _walk_chains(_steps(edges, forward)[0], start, seen, depth, keys, carried)
     return seen
 
 
+def _least(rows: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
+    """The row with the least hop of each node, then the least source."""
+    best = F.min(F.struct("hop", *carried)).alias("_best")
+    return rows.groupBy(*keys).agg(best).select(*keys, *[f"_best.{c}" for c in carried], "_best.hop")
+
+
+def _walk_chains(
+    steps: DataFrame, start: DataFrame, seen: DataFrame, depth: int | None, keys: list[str], carried: list[str]
+) -> DataFrame:
+    """The walk on from ``start``, in rounds that do not grow with the length of chains.
+
+    A node with one edge in and one edge out is part of a chain, unless the walk stands on it.
+    Each node of a chain learns the node before the chain and its distance from it by doubling:
+    it takes the pointer of the node it points to, so a chain of n nodes takes about log2 n
+    rounds. Chains then are single edges as long as they were. The walk over these repeats
+    while it finds shorter ways; at last the nodes of the chains get the hop of the node
+    before them and their distance. A ring that no other edge leads into is never reached.
+    """
+    spark = start.sparkSession
+    steps = materialize(steps.select("guid", "next_guid").distinct(), "steps").frame
+    stands = materialize(start.select("guid").distinct(), "stands").frame
+    ends = F.array(
+        F.struct(F.col("guid").alias("n"), F.lit(1).alias("o"), F.lit(0).alias("i")),
+        F.struct(F.col("next_guid").alias("n"), F.lit(0).alias("o"), F.lit(1).alias("i")),
+    )
+    single = (
+        steps.filter("guid != next_guid").select(F.inline(ends)).groupBy("n")
+        .agg(F.sum("o").alias("o"), F.sum("i").alias("i")).filter("o = 1 AND i = 1")
+    )
+    loops = steps.filter("guid = next_guid").select(F.col("guid").alias("n"))
+    outside = stands.select(F.col("guid").alias("n")).unionByName(loops)
+    links = materialize(single.select("n").join(outside, "n", "left_anti"), "links")
+    inner = links.frame
+    # (node of a chain, node pointed to, distance, whether that is a chain's node too)
+    into = steps.join(inner.withColumnRenamed("n", "next_guid"), "next_guid")
+    on = inner.select(F.col("n").alias("guid"), F.lit(True).alias("_on"))
+    pointers = into.join(on, "guid", "left").select(
+        F.col("next_guid").alias("node"), F.col("guid").alias("head"), F.lit(1).cast("long").alias("distance"),
+        F.coalesce("_on", F.lit(False)).alias("open"),
+    )
+    table = materialize(pointers, "pointers", open=F.count_if("open"))
+    reach = 1
+    while table.metrics["open"] and reach <= links.rows:
+        reach *= 2
+        all_rows = table.frame
+        ahead = all_rows.select(
+            F.col("node").alias("head"), F.col("head").alias("_head"), F.col("distance").alias("_more"),
+            F.col("open").alias("_open"),
+        )
+        moved = all_rows.filter("open").join(ahead, "head").select(
+            "node", F.col("_head").alias("head"), (F.col("distance") + F.col("_more")).alias("distance"),
+            F.col("_open").alias("open"),
+        )
+        table = materialize(all_rows.filter("NOT open").unionByName(moved), "pointers", open=F.count_if("open"))
+    chains = table.frame.filter("NOT open").drop("open")
+    # Edges between nodes that are on no chain, and from the node before a chain to the one behind it.
+    behind = steps.join(inner.withColumnRenamed("n", "next_guid"), "next_guid", "left_anti")
+    far = behind.join(chains, F.col("guid") == F.col("node")).select(
+        F.col("head").alias("guid"), "next_guid", (F.col("distance") + 1).alias("length")
+    )
+    near = behind.join(inner.withColumnRenamed("n", "guid"), "guid", "left_anti").select(
+        "guid", "next_guid", F.lit(1).cast("long").alias("length")
+    )
+    short = far.unionByName(near).groupBy("guid", "next_guid").agg(F.min("length").alias("length"))
+    roads = materialize(short, "roads").frame
+    labels = [k for k in keys if k != "guid"]
+    within = F.lit(True) if depth is None else F.col("hop") <= depth
+    known = seen.withColumn("hop", F.col("hop").cast("long"))
+    found = materialize(known, "found")
+    frontier, paths = start.withColumn("hop", F.col("hop").cast("long")), found.paths
+    state = found.frame
+    while True:
+        went = frontier.join(roads, "guid").select(
+            *labels, F.col("next_guid").alias("guid"), *carried, (F.col("hop") + F.col("length")).alias("hop")
+        )
+        mark = F.lit(True)
+        both = state.withColumn("_old", mark).unionByName(went.filter(within).withColumn("_old", ~mark))
+        value = F.struct("hop", *carried)
+        best = both.groupBy(*keys).agg(
+            F.min(value).alias("_best"), F.min(F.when(F.col("_old"), value)).alias("_known")
+        )
+        better = best.filter("_known IS NULL OR _best < _known")
+        written = materialize(
+            better.select(*keys, *[f"_best.{c}" for c in carried], "_best.hop"), "found"
+        )
+        if not written.rows:
+            break
+        frontier, paths = written.frame, paths + written.paths
+        state = read_written(spark, paths, state)
+    final = materialize(_least(state, keys, carried), "walked").frame
+    inside = final.join(chains.withColumnRenamed("head", "guid"), "guid").select(
+        *labels, F.col("node").alias("guid"), *carried, (F.col("hop") + F.col("distance")).alias("hop")
+    )
+    every = _least(final.unionByName(inside.filter(within)), keys, carried)
+    return materialize(every.withColumn("hop", F.col("hop").cast("int")), "deep-walk").frame
+
+
 def lineage(
     edges: DataFrame | EdgeTable,
     roots: DataFrame,
@@ -284,14 +417,17 @@ def propagate_tags(
     chosen = classifications.select("guid", "classification", "attributes")
     if tags is not None:
         chosen = chosen.filter(F.col("classification").isin(tags))
-    seeds = chosen.select("classification", "guid", F.col("guid").alias("source"))
-    reached = materialize(_walk(edges, seeds, None, True, "source"), "tagged").frame
+    # Sources as numbers in the order of their guids: numbers can be compared in a hash table.
+    sources = chosen.select("guid").distinct().repartitionByRange("guid").sortWithinPartitions("guid")
+    numbered = materialize(sources.withColumn("source", F.monotonically_increasing_id()), "sources").frame
     # An entity that carries a tag twice gives the values that sort first.
-    values = chosen.groupBy(F.col("guid").alias("source"), "classification").agg(
+    values = chosen.groupBy("guid", "classification").agg(
         F.min_by("attributes", F.to_json(F.array_sort(F.map_entries("attributes")))).alias("attributes")
     )
-    own = materialize(values, "tag-values").frame
-    return reached.join(own, ["source", "classification"], "left").select(
+    own = materialize(values.join(numbered, "guid"), "tag-values").frame
+    walked = _walk(edges, own.select("classification", "guid", "source"), None, True, "source")
+    reached = materialize(walked, "tagged").frame
+    return reached.join(own.drop("guid"), ["source", "classification"], "left").select(
         "guid", "classification", "attributes", (F.col("hop") > 0).alias("propagated")
     )
 

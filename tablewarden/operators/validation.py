@@ -19,12 +19,39 @@ class TypeCycleError(ValueError):
     """A type is its own ancestor."""
 
 
+# Pairs of type and parent that the driver follows by itself; more of them are joined.
+DRIVER_PARENTS = 100_000
+ANCESTORS = "type_name STRING, ancestor STRING, distance INT"
+
+
 def ancestors(type_defs: DataFrame) -> DataFrame:
     """(type_name, ancestor, distance) over parents to any depth.
 
-    Parents that are not defined here have no attributes and end the way up.
+    Parents that are not defined here have no attributes and end the way up. Type definitions
+    are written by people: up to ``DRIVER_PARENTS`` parents, counted first, are followed on
+    the driver, which takes one job; more are joined level by level.
     """
     step = type_defs.select("type_name", F.explode("super_types").alias("ancestor")).distinct()
+    pairs = step.limit(DRIVER_PARENTS + 1).collect()
+    if len(pairs) > DRIVER_PARENTS:
+        return _joined_ancestors(step)
+    parents: dict[str, list[str]] = {}
+    for pair in pairs:
+        parents.setdefault(pair["type_name"], []).append(pair["ancestor"])
+    rows = []
+    for name in parents:
+        level, found, distance = set(parents[name]), {}, 1
+        while level:
+            if name in level:
+                raise TypeCycleError(f"{name} is its own ancestor")
+            found.update(dict.fromkeys(level, distance))
+            level = {p for t in level for p in parents.get(t, ())} - found.keys()
+            distance += 1
+        rows += [(name, above, far) for above, far in found.items()]
+    return type_defs.sparkSession.createDataFrame(rows, ANCESTORS)
+
+
+def _joined_ancestors(step: DataFrame) -> DataFrame:
     up = materialize(step, "parents").frame
     parent = up.select(F.col("type_name").alias("below"), F.col("ancestor").alias("above"))
     found, distance = [materialize(up.withColumn("distance", F.lit(1)), "ancestors")], 1
@@ -65,6 +92,7 @@ def _type_rows(type_defs: DataFrame) -> DataFrame:
         "min_count",
         "max_count",
         "enum_values",
+        "is_unique",
     )
     return type_defs.groupBy("type_name").agg(
         F.collect_list(F.when(F.col("attr_name").isNotNull(), attr)).alias("attrs")
@@ -119,10 +147,9 @@ def validate_entities(entities: DataFrame, type_defs: DataFrame) -> DataFrame:
     The rows of the types are written first. Their size on disk decides whether they are
     broadcast; if not, the partition of a type with most of the entities can be split.
     """
-    full = materialize(with_inherited(type_defs), "type-attributes").frame
-    types = materialize(_type_rows(full), "types").frame
+    types = materialize(_type_rows(with_inherited(type_defs)), "types").frame
     typed = entities.select("guid", "type_name", "attributes").join(types, "type_name", "left")
-    rule = "struct<attribute:string,attr_type:string,is_optional:boolean,min_count:int,max_count:int,enum_values:array<string>>"
+    rule = "struct<attribute:string,attr_type:string,is_optional:boolean,min_count:int,max_count:int,enum_values:array<string>,is_unique:boolean>"
     none = F.array().cast(f"array<{rule}>")
     names = F.transform(F.coalesce("attrs", none), lambda a: a["attribute"])
     undeclared = F.transform(
@@ -131,7 +158,7 @@ def validate_entities(entities: DataFrame, type_defs: DataFrame) -> DataFrame:
             name.alias("attribute"),
             *[F.lit(None).cast(t).alias(n) for n, t in (
                 ("attr_type", "string"), ("is_optional", "boolean"), ("min_count", "int"),
-                ("max_count", "int"), ("enum_values", "array<string>"),
+                ("max_count", "int"), ("enum_values", "array<string>"), ("is_unique", "boolean"),
             )],
         ),
     )
@@ -146,10 +173,12 @@ def validate_entities(entities: DataFrame, type_defs: DataFrame) -> DataFrame:
         .select("guid", "type_name", "attribute", F.explode(_kinds()).alias("kind"), "value")
         .withColumn("n", F.lit(1).cast("long"))
     )
-    unique_attrs = materialize(
-        full.filter("is_unique").select("type_name", F.col("attr_name").alias("attribute")), "unique"
-    ).frame
-    values = entities.join(unique_attrs, "type_name").select(
+    unique_attrs = F.transform(F.filter("attrs", lambda a: a["is_unique"]), lambda a: a["attribute"])
+    unique_types = types.select("type_name", unique_attrs.alias("names")).filter("size(names) > 0")
+    values = entities.select("type_name", "attributes").join(
+        materialize(unique_types, "unique").frame, "type_name"
+    )
+    values = values.select("type_name", "attributes", F.explode("names").alias("attribute")).select(
         "type_name", "attribute", F.col("attributes")[F.col("attribute")].alias("value")
     )
     repeated = (

@@ -114,6 +114,79 @@ def test_one_sided_table_refuses_the_other_walk(spark, tmp_path):
         lin.lineage(table, roots_of(spark, ["a"]), 1, "INPUT")
 
 
+def deep_pairs(seed):
+    """Long chains with branches, short cuts, rings, loops and repeated edges."""
+    import random
+
+    rng = random.Random(seed)
+    pairs, end = [], 0
+    for _ in range(6):
+        start, end = end, end + rng.randint(20, 45)
+        pairs += [(n, n + 1) for n in range(start, end)]
+    pairs += [(rng.randint(0, end), rng.randint(0, end)) for _ in range(rng.choice([0, 2, 5]))]
+    pairs += [(1000 + n, 1000 + (n + 1) % 30) for n in range(30)] + [(7, 7), (40, 40), (3, 4)]
+    pairs += [(2000 + n, 2000 + (n + 1) % 30) for n in range(30)] + [(end, 2000)]
+    return [(f"n{a}", f"n{b}") for a, b in pairs]
+
+
+@pytest.mark.parametrize("seed, depth", [(0, None), (1, None), (2, 50)])
+def test_deep_walks(spark, seed, depth):
+    pairs = deep_pairs(seed)
+    edges = spark.createDataFrame(pairs, EDGES)
+    names = ["n0", "n60", "n1005"]
+    for direction, forward in (("OUTPUT", True), ("INPUT", False)):
+        found = lin.lineage(edges, roots_of(spark, names), depth, direction)
+        assert hops(found) == brute(pairs, names, 10_000 if depth is None else depth, forward)
+
+
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    edges = spark.createDataFrame([(f"n{n}", f"n{n + 1}") for n in range(2000)], EDGES)
+    rounds, write = [], lin.materialize
+
+    def counted(df, label, *args, **kwargs):
+        rounds.append(label)
+        return write(df, label, *args, **kwargs)
+
+    monkeypatch.setattr(lin, "materialize", counted)
+    found = lin.lineage(edges, roots_of(spark, ["n0"]), None, "OUTPUT")
+    assert found.count() == 2001 and found.agg(F.max("hop")).first()[0] == 2000
+    assert found.filter("guid != concat('n', hop)").count() == 0
+    # One write per single hop, one per doubling, a few for the contracted graph.
+    assert rounds.count("pointers") <= 12 and len(rounds) <= lin.SINGLE_HOPS + 12 + 12
+
+
+def test_tags_go_down_long_chains_from_the_nearest_source(spark):
+    pairs = [(f"n{n}", f"n{n + 1}") for n in range(90)] + [("z", "n30"), ("a", "n30"), ("n20", "m0"), ("m0", "n60")]
+    tags = spark.createDataFrame(
+        [(g, "T", {"from": g}, False) for g in ("n0", "z", "a", "n85")], CLASSIFICATIONS
+    )
+    found = lin.propagate_tags(spark.createDataFrame(pairs, EDGES), tags)
+    got = {r.guid: r.attributes["from"] for r in found.collect()}
+    assert len(got) == 94
+    # n60 is reached from n0 by the short cut in 22 hops, from n30's parents in 31.
+    want = {"n0": "n0", "n29": "n0", "n30": "a", "n59": "a", "n60": "n0", "n84": "n0", "n85": "n85", "n90": "n85", "m0": "n0"}
+    assert {k: got[k] for k in want} == want
+
+
+def test_a_hop_reads_only_the_seen_nodes_of_its_buckets(spark, tmp_path, monkeypatch):
+    pairs = [(f"n{n}", f"n{n + 1}") for n in range(12)] + [("n5", "n2"), ("n9", "n9")]
+    edges = lin.write_edges(spark.createDataFrame(pairs, EDGES), str(tmp_path), 64)
+    plans, unseen = [], lin._unseen
+
+    def kept(*args):
+        found = unseen(*args)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr(lin, "_unseen", kept)
+    found = lin.lineage(edges, roots_of(spark, ["n0"]), None, "OUTPUT")
+    assert hops(found) == brute(pairs, ["n0"], 99, True)
+    assert len(plans) == 13
+    # A hop of one or two nodes reads the seen nodes of one or two buckets of 64.
+    for plan in plans[:-1]:
+        assert "bucket#" in plan and (" IN (" not in plan or plan.split(" IN (")[1].split(")")[0].count(",") <= 1)
+
+
 def test_down_and_up_mirror(spark):
     text = GRAPHS["diamond"]
     nodes = sorted(set(text) - {" "})
