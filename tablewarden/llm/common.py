@@ -34,8 +34,18 @@ def text_hash(text_col: str = "text") -> Column:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The columns of ``docs`` behind the row identity ``__id``, ``__hash``."""
-    return docs.withColumns({"__id": id_rank(id_col), "__hash": text_hash(text_col)})
+    """The row identity ``__id``, ``__hash``, and all columns of ``docs`` in the struct ``__row``.
+
+    In the struct they cannot clash with columns that an operator makes, whatever they are
+    called; ``unkeyed`` gives them back.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("__row"), id_rank(id_col).alias("__id"), text_hash(text_col).alias("__hash"))
+
+
+def unkeyed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from their struct."""
+    return rows.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -133,10 +143,13 @@ def sum_tables(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
 
 
 def training_rows(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
-    """(id, __label) of the labels that may be learned from: ids outside the held-out fifth."""
+    """(id, __label) of the labels that may be learned from: ids outside the held-out fifth.
+
+    An id with several labels has the greatest of them.
+    """
     known = F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id_col)
     rows = labels.where(known).select(id_col, F.col(label).cast("int").alias("__label"))
-    return rows.dropDuplicates([id_col])
+    return rows.groupBy(id_col).agg(F.max("__label").alias("__label"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import column_lists, keyed, texts, to_batch, true_id
+from tablewarden.llm.common import column_lists, keyed, texts, to_batch, true_id, unkeyed
 from tablewarden.materialize import materialize
 
 Q = 8
@@ -33,6 +33,8 @@ PIECE, STRIDE, EDITS = 64, 10, 0.08  # at most 64, the places are packed in six
 # Characters of benchmark text in one block of the index; each lies in six or seven pieces.
 BLOCK_CHARS = 1_250_000
 BITS = 20
+# Pairs of a place in a text and a q-gram of a piece that are held at a time, about.
+PAIRS = 1 << 20
 
 
 def normalise(text: str | None) -> str:
@@ -63,7 +65,7 @@ def _slot(grams: np.ndarray) -> np.ndarray:
 class Index:
     """Pieces of benchmark items and their q-grams, sorted."""
 
-    items: list[int]
+    items: list[int | None]
     pieces: list[str]
     edits: np.ndarray
     needed: np.ndarray
@@ -76,7 +78,7 @@ class Index:
     reach: int
 
 
-def build_index(items: list[tuple[int, str | None]]) -> Index:
+def build_index(items: list[tuple[int | None, str | None]]) -> Index:
     """Items of fewer than ``Q`` characters are too short to be told from chance."""
     owners, pieces = [], []
     for item, text in items:
@@ -84,9 +86,10 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
         if len(text) < Q:
             continue
         last = max(0, len(text) - PIECE)
-        for at in sorted({*range(0, last, STRIDE), last}):
+        # Equal pieces of an item would be found at the same places.
+        for piece in dict.fromkeys(text[at : at + PIECE] for at in sorted({*range(0, last, STRIDE), last})):
             owners.append(item)
-            pieces.append(text[at : at + PIECE])
+            pieces.append(piece)
     lengths = np.array([len(p) for p in pieces], np.int64)
     edits = np.minimum((lengths * EDITS).astype(np.int64), (lengths - Q) // Q)
     found = [_grams(_codes(p)) for p in pieces]
@@ -148,18 +151,40 @@ def _candidates(index: Index, codes: np.ndarray) -> list[tuple[int, int, int]]:
     at = np.flatnonzero(hit & (np.cumsum(near)[:-1] > 0))
     low = np.searchsorted(index.grams, grams[at], "left")
     many = np.searchsorted(index.grams, grams[at], "right") - low
+    # A band lies within this many places, so portions that overlap by them lose none.
+    overlap = span + 2 * (int(index.edits.max()) + 1)
+    found: set[tuple[int, int, int]] = set()
+    done = np.r_[0, np.cumsum(many)]
+    begin = 0
+    while begin < len(at):
+        end = max(begin + 1, int(np.searchsorted(done, done[begin] + PAIRS, "right")) - 1)
+        stop = max(end, int(np.searchsorted(at, at[end - 1] + overlap, "right")))
+        one = slice(begin, stop)
+        _count_bands(index, at[one], low[one], many[one], found)
+        if stop == len(at):
+            break
+        begin = end
+    return sorted(found)
+
+
+def _count_bands(
+    index: Index, at: np.ndarray, low: np.ndarray, many: np.ndarray, found: set[tuple[int, int, int]]
+) -> None:
+    """Add the bands in which a piece has enough q-grams among those at the places ``at``."""
     entry = np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
     piece = index.owner[entry]
-    diagonal = np.repeat(at, many) - index.place[entry]
+    # A piece with too few q-grams at all these places has too few in any band.
+    rich = np.bincount(piece, minlength=len(index.pieces))[piece] >= index.needed[piece]
+    if not rich.any():
+        return
+    entry, piece = entry[rich], piece[rich]
     place = index.place[entry]
+    diagonal = np.repeat(at, many)[rich] - place
     step = index.edits[piece] + 1
-    found = set()
     for shift in (0, 1):
         band = diagonal // step - shift
         # A q-gram of the piece counts once in a band, however often the band has it.
         key = np.unique((piece << 40 | (band + (1 << 31))) << 6 | place)
-        if not len(key):
-            continue
         region = key >> 6
         first = np.flatnonzero(np.r_[True, region[1:] != region[:-1]])
         counts = np.diff(np.r_[first, len(key)])
@@ -167,16 +192,15 @@ def _candidates(index: Index, codes: np.ndarray) -> list[tuple[int, int, int]]:
         for n in np.flatnonzero(counts >= index.needed[pieces]):
             p, b = int(pieces[n]), int(region[first[n]] & ((1 << 40) - 1)) - (1 << 31)
             found.add((p, b * int(index.edits[p] + 1), (b + 2) * int(index.edits[p] + 1) - 1))
-    return sorted(found)
 
 
-def matches(index: Index, text: str | None) -> list[tuple[int, int, int, int]]:
+def matches(index: Index, text: str | None) -> list[tuple[int | None, int, int, int]]:
     """(item, start, end, edits) of the benchmark passages in a text, over its normal form.
 
     Touching pieces of one item are one passage; ``edits`` is that of its worst piece.
     """
     normal = normalise(text)
-    spans: dict[int, list[tuple[int, int, int]]] = {}
+    spans: dict[int | None, list[tuple[int, int, int]]] = {}
     for piece, low, high in _candidates(index, _codes(normal)):
         wanted = index.pieces[piece]
         middle = (low + high) // 2
@@ -210,8 +234,9 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]
     count = -(-size // BLOCK_CHARS)
     for block in range(count):
         mine = benchmark.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(count)) == block)
-        rows = mine.where(F.col(id_col).isNotNull()).select(id_col, text_col).distinct().collect()
-        yield build_index(sorted((r[0], r[1] or "") for r in rows))
+        rows = mine.select(F.col(id_col).cast("long"), F.col(text_col)).distinct().collect()
+        items = [(r[0], r[1] or "") for r in rows]
+        yield build_index(sorted(items, key=lambda i: (i[0] is None, i[0] or 0, i[1])))
 
 
 FOUND = "__id long, __hash long, item_id long, start long, end long, edits int"
@@ -246,8 +271,10 @@ def find_passages(
 ) -> DataFrame:
     """(__id, __hash, item_id, start, end, edits) per benchmark passage in a document.
 
-    NULL texts and items have none; items without an id are left out. Places count
-    characters of the normal form. Rows that repeat a document repeat its passages.
+    NULL and empty texts have none, and items of fewer than eight characters are not looked
+    for. Items without an id are found under a NULL ``item_id``. Places count characters of
+    the normal form. Rows that repeat a document repeat its passages; items that repeat id
+    and text are one. An empty benchmark gives an empty table.
     """
     rows = texts(docs, id_col, text_col)
     found = None
@@ -268,4 +295,4 @@ def passage_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a benchmark passage."""
     bad = materialize(find_passages(docs, benchmark).select("__id", "__hash").distinct(), "bad").frame
-    return keyed(docs).join(bad.hint("merge"), ["__id", "__hash"], "left_anti").select(*docs.columns)
+    return unkeyed(keyed(docs).join(bad.hint("merge"), ["__id", "__hash"], "left_anti"), docs)

@@ -192,7 +192,8 @@ def dedup_lines(
     text_col: str = "text",
     singles: bool = False,
 ) -> DataFrame:
-    """``docs`` with ``__gone`` (NULL where nothing goes) and ``__kept``, the text left.
+    """Per row of ``docs`` its columns as ``__row``, ``__gone`` (NULL where nothing goes) and
+    ``__kept``, the text left.
 
     Documents rank by id, NULL last, then by a hash of their text. A row without lines to
     delete keeps its text as it is, NULL included; one whose lines all go has an empty text.
@@ -200,7 +201,7 @@ def dedup_lines(
     gone = materialize(repeated_lines(docs, min_lines, id_col, text_col, singles), "gone").frame
     # One plan at every size: the texts are dealt by document, however few of them change.
     joined = keyed(docs, id_col, text_col).join(gone.hint("merge"), ["__id", "__hash"], "left")
-    text = F.col(text_col)
+    text = F.col("__row").getField(text_col)
     kept = bind(F.col("__gone"), lambda g: _kept(text, g))
     return joined.withColumn("__kept", F.when(F.col("__gone").isNull(), text).otherwise(kept))
 
@@ -208,9 +209,11 @@ def dedup_lines(
 def line_report(docs: DataFrame, min_lines: int = MIN_LINES, singles: bool = False) -> DataFrame:
     """Per document: lines with a word, deleted lines, their runs, SHA-256 of the text left."""
     slim = docs.select("doc_id", "text")
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(WORD_CHAR))
+    lines = F.filter(
+        F.split(F.coalesce("__row.text", F.lit("")), "\n"), lambda x: x.rlike(WORD_CHAR)
+    )
     return dedup_lines(slim, min_lines, singles=singles).select(
-        "doc_id",
+        "__row.doc_id",
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(bind(F.col("__gone"), _runs), F.lit(0)).cast("long").alias("n_runs"),
@@ -224,8 +227,8 @@ def keep_lines(docs: DataFrame, min_lines: int = MIN_LINES, singles: bool = Fals
     fresh = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast("long")}
     return cleaned.select(
         *[
-            F.when(F.col("__gone").isNull(), F.col(c)).otherwise(fresh[c]).alias(c) if c in fresh else F.col(c)
-            for c in docs.columns
+            (F.when(F.col("__gone").isNull(), own).otherwise(fresh[c]) if c in fresh else own).alias(c)
+            for c, own in ((c, F.col("__row").getField(c)) for c in docs.columns)
         ]
     )
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +25,24 @@ from pyspark.sql import functions as F
 
 from tablewarden.llm import tagger
 from tablewarden.llm.common import column_lists, to_batch
+from tablewarden.materialize import materialize
 
 KINDS = tagger.KINDS
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# An address is four parts of a chain of numbers; chains are found in one pass over the text.
+CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 ANCHOR = re.compile("[0-9@]")
+# What a text with a span of each kind is likely to match, in bounded steps from any place.
+LIKELY = (
+    r"[A-Za-z0-9]@[A-Za-z0-9-]{1,60}\.",
+    r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]",
+    r"[0-9](?:[ -]?[0-9]){15}",
+    r"\+[0-9][ ().0-9-]{6}",
+)
 # Windows and how far they overlap; a label counts at least half the overlap from an edge.
 WINDOW, OVERLAP = 160, 64
 TRAIN_WINDOW = 96
@@ -66,6 +76,19 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Each four parts of a chain, from its first on, that are at most 255."""
+    for m in CHAIN.finditer(text):
+        parts = m.group().split(".")
+        at = m.start()
+        for n in range(0, len(parts) - 3, 4):
+            end = at + sum(map(len, parts[n : n + 4])) + 3
+            plain = [p.lstrip("0") or "0" for p in parts[n : n + 4]]
+            if all(len(p) <= 3 and int(p) <= 255 for p in plain):
+                yield at, end
+            at = end + 1
+
+
 def _digits(text: str) -> str:
     return "".join(DIGIT.findall(text))
 
@@ -76,9 +99,7 @@ def base_spans(text: str | None) -> list[Span]:
     found = [(0, *span) for span in _emails(text)]
     if DIGIT.search(text) is None:
         return found
-    for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
-            found.append((1, *m.span()))
+    found += [(1, *span) for span in _addresses(text)]
     for m in CARD.finditer(text):
         number = _digits(m.group())
         if 16 <= len(number) <= 19 and luhn(number):
@@ -215,10 +236,23 @@ def all_spans(texts: list[str], weights: dict | None, every: bool = False) -> li
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict | None:
-    """The tagger, from at most ``TRAIN_DOCS`` documents that have a digit or an ``@``."""
+    """The tagger, from at most ``TRAIN_DOCS`` documents.
+
+    Each kind of span has a like share of them, documents that seem to hold one, and so have
+    documents with a digit or an ``@`` but no span. So the tagger has spans to learn from
+    wherever there are any, however rare they are.
+    """
     key = F.xxhash64(id_col, text_col)
-    known = docs.where(F.col(text_col).rlike("[0-9@]"))
-    chosen = known.select(key.alias("__key")).distinct().orderBy("__key").limit(TRAIN_DOCS)
+    kinds = [F.col(text_col).rlike(pattern).alias(f"__k{n}") for n, pattern in enumerate(LIKELY)]
+    known = docs.where(F.col(text_col).rlike("[0-9@]")).select(key.alias("__key"), *kinds).distinct()
+    known = materialize(known, "training_documents").frame
+    share = TRAIN_DOCS // (len(kinds) + 1)
+    names = [f"__k{n}" for n in range(len(kinds))]
+    shares = [*names, " AND ".join(f"NOT {name}" for name in names)]
+    chosen = reduce(
+        DataFrame.unionByName,
+        [known.where(part).select("__key").orderBy("__key").limit(share) for part in shares],
+    ).distinct()
     rows = docs.select(key.alias("__key"), text_col).join(F.broadcast(chosen), "__key").distinct()
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
     schema = pa.schema([("key", pa.int64()), ("window", pa.string()), ("spans", span)])

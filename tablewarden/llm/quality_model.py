@@ -129,14 +129,16 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 11) -> Network:
 
 
 def pool_texts(rows: DataFrame, table: np.ndarray) -> DataFrame:
-    """(label, vector) of rows (label, text)."""
-    schema = pa.schema([("label", pa.int32()), ("vector", pa.list_(pa.float32()))])
+    """(id, mark, label, vector) of rows (id, mark, label, text)."""
+    schema = pa.schema(
+        [("id", pa.int64()), ("mark", pa.int64()), ("label", pa.int32()), ("vector", pa.list_(pa.float32()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, data, begins in split_batches(batches, PART_BYTES):
-            yield to_batch(schema, [[k[0] for k in keys], list(pooled(data, begins, table))])
+            yield to_batch(schema, [*map(list, zip(*keys)), list(pooled(data, begins, table))])
 
-    return rows.mapInArrow(run, "label int, vector array<float>")
+    return rows.mapInArrow(run, "id long, mark long, label int, vector array<float>")
 
 
 def fit(
@@ -149,9 +151,12 @@ def fit(
     """
     table = word_vectors(docs.select(text_col))
     sample = F.broadcast(bounded_sample(training_rows(labels, label, id_col), train_rows, id_col))
-    chosen = docs.select(id_col, text_col).join(sample, id_col).select("__label", text_col)
+    chosen = docs.select(id_col, text_col).join(sample, id_col).select(
+        F.col(id_col).cast("long"), F.xxhash64(text_col), "__label", text_col
+    )
     found = pool_texts(chosen, table).collect()
-    found.sort(key=lambda r: (r["label"], r["vector"]))
+    # By row, so that the network does not depend on the order in which rows come.
+    found.sort(key=lambda r: (r["id"], r["mark"]))
     order = np.random.default_rng(3).permutation(len(found))
     x = np.array([found[i]["vector"] for i in order], np.float32)
     y = np.array([found[i]["label"] for i in order], np.float64)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import bind
+from tablewarden.llm.common import bind, unkeyed
 from tablewarden.materialize import materialize
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -210,8 +210,15 @@ def rules_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep."""
-    return quality_rules(docs).where("__kept").select(*docs.columns)
+    """The rows of ``docs`` that the rules keep, with all their columns whatever they are called.
+
+    NULL and empty texts fail the base rules; repeated rows are judged each, and alike.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    slim = docs.select(row.alias("__row"), "text", "lang", "source")
+    measured = materialize(measure(slim).drop("text"), "measured").frame
+    fences = materialize(thresholds(measured), "fences").frame
+    return unkeyed(judge(measured, fences).where("__kept"), docs)
 
 
 ORACLE = r"""

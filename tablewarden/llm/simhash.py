@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import column_lists, components, keyed, texts, to_batch, true_id
+from tablewarden.llm.common import column_lists, components, keyed, texts, to_batch, true_id, unkeyed
 from tablewarden.materialize import materialize
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -218,4 +218,4 @@ def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFram
     first = groups.where("__id = __first_id and __hash = __first_hash")
     chosen = first.select("__id", "__hash").distinct()
     kept = keyed(docs).join(chosen.hint("merge"), ["__id", "__hash"], "left_semi")
-    return kept.dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    return unkeyed(kept.dropDuplicates(["__id", "__hash"]), docs)

@@ -1,7 +1,7 @@
 """Random-indexing word vectors over a whole corpus.
 
 Every word has an index vector, a few random signs, that follows from the word's hash. The
-vector of a word is the sum of the index vectors of the words around it wherever it occurs.
+vector of a word is the sum of the index vectors of the words around it in its text, wherever it occurs.
 Words share ``BUCKETS`` rows by hash, so the table has a fixed size for any vocabulary.
 Tasks add up their own rows and send those; the sums are whole numbers, so they do not depend
 on the order of the tasks.
@@ -58,15 +58,19 @@ def index_vectors(seed: int = 7) -> np.ndarray:
     return table
 
 
-def _add(table: np.ndarray, buckets: np.ndarray, signs: np.ndarray) -> None:
-    """Add the surroundings of each word of a text to the word's row."""
-    count = len(buckets)
-    padded = np.zeros((count + 2 * REACH, SIZE), np.int8)
-    padded[REACH : REACH + count] = np.take(signs, buckets, axis=0)
-    around = np.zeros((count, SIZE), np.int8)
-    for shift in range(2 * REACH + 1):
-        if shift != REACH:
-            around += padded[shift : shift + count]
+def _add(table: np.ndarray, buckets: np.ndarray, signs: np.ndarray, text: np.ndarray) -> None:
+    """Add the surroundings of each word to the word's row; ``text`` numbers the words' texts.
+
+    Between two texts lie as many empty places as a word's surroundings reach, so that no
+    word has neighbours in another text.
+    """
+    place = np.arange(len(buckets)) + REACH * (1 + text)
+    padded = np.zeros((place[-1] + REACH + 1, SIZE), np.int8)
+    padded[place] = np.take(signs, buckets, axis=0)
+    around = np.zeros((len(buckets), SIZE), np.int8)
+    for shift in range(-REACH, REACH + 1):
+        if shift:
+            around += padded[place + shift]
     order = np.argsort(buckets)
     ordered = buckets[order]
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
@@ -107,10 +111,10 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs = index_vectors()
         table = np.zeros((BUCKETS, SIZE), np.int64)
-        for _, data, _ in split_batches(batches, 1 << 20):
-            buckets, _ = word_buckets(data)
+        for _, data, begins in split_batches(batches, 1 << 20):
+            buckets, start = word_buckets(data)
             if len(buckets):
-                _add(table, buckets, signs)
+                _add(table, buckets, signs, np.searchsorted(begins, start, side="right") - 1)
         yield from table_parts(table.reshape(BUCKETS // CHUNK, -1))
 
     parts = texts.mapInArrow(run, PART_TYPES)

@@ -281,7 +281,8 @@ def test_benchmark_in_blocks_and_odd_rows(spark, monkeypatch):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     rows = odd_rows() + [(700 + n, prose(n, 30) + "\n" + prose(900 + n, 14).upper() + " tail", "en", "a", 1) for n in range(6)]
     docs = frame(spark, rows, clashes=True)
-    want = {(700 + n, n) for n in range(6)}
+    # The item without an id is the text of document 1, and 701 begins like it.
+    want = {(700 + n, n) for n in range(6)} | {(1, None), (701, None)}
     whole = {(r.doc_id, r.item_id) for r in decontaminate.passage_report(docs, benchmark).collect()}
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 150)
     split = {(r.doc_id, r.item_id) for r in decontaminate.passage_report(docs, benchmark).collect()}
@@ -289,7 +290,34 @@ def test_benchmark_in_blocks_and_odd_rows(spark, monkeypatch):
     none = benchmark.limit(0)
     assert decontaminate.passage_report(docs, none).count() == 0
     assert decontaminate.drop_contaminated(docs, none).count() == len(rows)
-    assert decontaminate.drop_contaminated(docs, benchmark).count() == len(rows) - 6
+    assert decontaminate.drop_contaminated(docs, benchmark).count() == len(rows) - 7
+
+
+def test_portions_of_pairs_give_the_same_passages(monkeypatch):
+    rng = random.Random(7)
+    items = [(n, prose(900 + n, 14)) for n in range(8)] + [(9, "ab" * 90), (None, "a" * 200)]
+    index = decontaminate.build_index(items)
+    texts = []
+    for n in range(25):
+        parts = [edited(rng.choice(items)[1], rng.randint(0, 6), rng) if rng.random() < 0.5 else prose(n, 9) for _ in range(6)]
+        texts.append(" ".join(parts))
+    whole = [decontaminate.matches(index, t) for t in texts]
+    for pairs in (1, 40, 500):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        assert [decontaminate.matches(index, t) for t in texts] == whole
+    assert sum(map(len, whole)) > 50
+
+
+def test_a_megabyte_of_one_letter():
+    import tracemalloc
+
+    index = decontaminate.build_index([(1, "a" * 200), (2, prose(1, 30))])
+    tracemalloc.start()
+    found = decontaminate.matches(index, "a" * 1_000_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(f[0], f[3]) for f in found] == [(1, 0)] and found[0][2] - found[0][1] > 999_000
+    assert peak < 600 << 20
 
 
 def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):

@@ -15,6 +15,8 @@ from tablewarden.llm.queries import QUERIES
 from texts_fixture import frame
 
 BIG = "/root/testdata/sf0.1"
+# Fixed value: the base pattern of an address.
+ADDRESS = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 
 
 @pytest.mark.parametrize(
@@ -68,15 +70,38 @@ def test_words_share_a_bucket_wherever_they_lie():
 
 
 def test_word_vectors_are_sums_over_neighbours(spark):
-    texts = ["a b c d", "b c", "", None, "a"]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
-    table = word_vectors.word_vectors(docs)
+    rng = random.Random(1)
+    texts = ["a b c d", "b c", "", None, "a", "  ", "d\n d"]
+    texts += [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 9))) for _ in range(60)]
     signs = word_vectors.index_vectors().astype(float)
-    at = {w: int(word_vectors.word_buckets(np.frombuffer(w.encode(), np.uint8))[0][0]) for w in "abcd"}
-    # Texts of a part follow one another, so only the middle of a text is free of neighbours' words.
-    want = signs[at["a"]] * 0
-    assert table.shape == (word_vectors.BUCKETS, word_vectors.SIZE) and want.any() == 0
-    assert np.allclose(np.linalg.norm(table[[at["b"], at["c"]]], axis=1), 1, atol=1e-5)
+    at = {w: int(word_vectors.word_buckets(np.frombuffer(w.encode(), np.uint8))[0][0]) for w in "abcdefgh"}
+    want = np.zeros_like(signs)
+    for text in texts:
+        words = (text or "").split()
+        for i, word in enumerate(words):
+            for j in range(max(0, i - word_vectors.REACH), min(len(words), i + word_vectors.REACH + 1)):
+                if i != j:
+                    want[at[word]] += signs[at[words[j]]]
+    for parts in (1, 4, 37):
+        docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(parts)
+        table = word_vectors.word_vectors(docs)
+        assert np.allclose(table, word_vectors.unit(want))
+    assert np.abs(want).sum() > 0
+
+
+def test_scores_do_not_depend_on_the_partitions(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    labels = labels.unionByName(labels.selectExpr("doc_id", "1 - quality AS quality", "toxic").where("doc_id % 3 = 0"))
+    found = [
+        sorted((r.doc_id, r.score) for r in quality_model.quality_scores(docs.repartition(n), labels.repartition(n)).collect())
+        for n in (1, 4, 37)
+    ]
+    for other in found[1:]:
+        assert [d for d, _ in other] == [d for d, _ in found[0]]
+        # Products of matrices of differing heights may differ in the last bit.
+        assert np.allclose([s for _, s in other], [s for _, s in found[0]], rtol=0, atol=1e-12)
+    assert len({score for _, score in found[0]}) > 50
 
 
 def test_tagger_gradient():
@@ -136,7 +161,7 @@ def test_windows_without_a_digit_change_nothing(weights):
 def slow_base(text):
     digits = lambda s: re.sub("[^0-9]", "", s)
     found = [("email", *m.span()) for m in pii.EMAIL.finditer(text)]
-    found += [("ip", *m.span()) for m in pii.IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+    found += [("ip", *m.span()) for m in ADDRESS.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
     found += [
         ("card", *m.span()) for m in pii.CARD.finditer(text) if 16 <= len(digits(m.group())) <= 19 and pii.luhn(digits(m.group()))
     ]
@@ -213,3 +238,29 @@ def test_plan_is_best_fit():
                 else:
                     slow.append(64 - length)
         assert len(room) == len(slow)
+
+
+def test_addresses_in_long_runs_of_digits():
+    import time
+
+    rng = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choice("0129. a") for _ in range(rng.randint(0, 40)))
+        want = []
+        for m in ADDRESS.finditer(text):
+            if all(int(p) <= 255 for p in m.group().split(".")):
+                want.append((1, *m.span()))
+        assert [s for s in pii.base_spans(text) if s[0] == 1] == want
+    start = time.perf_counter()
+    assert not [s for s in pii.base_spans("7" * 1_000_000) if s[0] == 1]
+    assert [s for s in pii.base_spans("0" * 9000 + "1.2.3.4" + ".5" * 9) if s[0] == 1][0] == (1, 0, 9007)
+    assert time.perf_counter() - start < 2
+
+
+def test_the_tagger_learns_from_rare_spans(spark):
+    """Two documents of 3,000 with digits hold a span: both are learned from."""
+    rows = [(n, f"item {n} of {n + 7} in 19{n % 90 + 10}", "en", "a", 1) for n in range(3000)]
+    rows += [(9000, "mail bob@site.example.org now", "en", "a", 1), (9001, "from 10.20.30.40 today", "en", "a", 1)]
+    assert pii.fit(frame(spark, rows)) is not None
+    got = {r.doc_id: r.spans for r in pii.pii_report(frame(spark, rows)).collect()}
+    assert "email:5:25" in got[9000] and "ip:5:16" in got[9001]

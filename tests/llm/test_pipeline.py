@@ -8,13 +8,25 @@ from tablewarden.llm.common import components
 from texts_fixture import frame, prose
 
 
+# Names that the stages use for themselves.
+MADE = (
+    "__id __hash __text __row __m __f __f0 __f1 __f2 __j0 __j1 __k __k0 __k1 __g __n __level __kept __base_failed "
+    "__gone __at __line __h1 __h2 __rank __next __first __part __fp __class __root __min __first_id __first_hash "
+    "item_id start end edits spans kept score component_id fingerprint"
+).split()
+
+
 @pytest.mark.parametrize("clashes", [False, True])
 def test_stages_take_odd_rows(spark, sf_dir, clashes):
-    docs = frame(spark, clashes=clashes)
+    docs = frame(spark)
+    if clashes:
+        docs = docs.selectExpr("*", *[f"concat('{name}', doc_id) AS `{name}`" for name in MADE], "1 AS `a.b c`")
+    before = {tuple(r) for r in docs.drop("text", "n_chars").collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, docs, sf_dir)
         assert kept.columns == docs.columns, name
-        assert 0 < kept.count() <= docs.count(), name
+        after = [tuple(r) for r in kept.drop("text", "n_chars").collect()]
+        assert 0 < len(after) <= docs.count() and set(after) <= before, name
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert pieces.count() >= docs.count()
 
