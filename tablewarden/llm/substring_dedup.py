@@ -40,6 +40,8 @@ SIDE = -(-(WINDOW - ANCHOR) // 2)
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 INDEX_BYTES = 1 << 18
+# Compression of texts and segments: they are written once and read once, so bytes weigh more than time.
+LEVEL = 6
 # Windows whose anchors are found at a time; the arrays fit the cache of a core.
 PART = 1 << 15
 ONE, TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -166,7 +168,7 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def row(number: int, ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
         block = (TaskContext.get().partitionId() << 32) + number
         sizes = np.array([len(t) for t in texts], np.int64)
-        packed = [pack(np.array(ids, np.int64)), pack(sizes), zstandard.compress(b"".join(texts), 3)]
+        packed = [pack(np.array(ids, np.int64)), pack(sizes), zstandard.compress(b"".join(texts), LEVEL)]
         return pa.RecordBatch.from_arrays(
             [pa.array([v], f.type) for v, f in zip([block, *packed], schema)], schema=schema
         )
@@ -234,7 +236,7 @@ def _sent(packed: DataFrame, buckets: int) -> DataFrame:
                     row = [
                         int(bucket[start]), number, pack(least), pack((most > least).astype(np.uint8)),
                         pack((ends - starts)[own].astype(np.uint8)), pack(anchors[own].astype(np.uint8)),
-                        zstandard.compress(b"".join([raw[a:b] for a, b in spans]), 3),
+                        zstandard.compress(b"".join([raw[a:b] for a, b in spans]), LEVEL),
                     ]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema
