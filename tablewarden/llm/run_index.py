@@ -112,7 +112,9 @@ def build(body: np.ndarray, lengths: np.ndarray, weights: np.ndarray, depth: int
     best = np.minimum.reduceat(weights[owner[order]], begins)
     members = np.diff(np.r_[begins, size])
     run_at = np.searchsorted(start, np.arange(0, size, STEP), side="right") - 1
-    return RunIndex(np.r_[start, size], run_at, to, sampled, np.where(enough, interval, -1), best, members)
+    # Half as wide, a walk reads half as much memory.
+    narrow = (x.astype(np.int32) for x in (np.r_[start, size], run_at, to, sampled, np.where(enough, interval, -1)))
+    return RunIndex(*narrow, best, members)
 
 
 def stream(index: RunIndex, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +128,7 @@ def stream(index: RunIndex, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin = np.cumsum(lengths) - lengths
     best = np.zeros(int(lengths.sum()), np.int64)
     count = np.zeros(len(best), np.int64)
-    rows = by_length.copy()  # the end of string n is the suffix of rank n
+    rows = by_length.astype(np.int32)  # the end of string n is the suffix of rank n
     ordered = lengths[by_length]
     for back in range(1, int(lengths.max(initial=0)) + 1):
         walking = int(np.searchsorted(-ordered, -back, side="right"))

@@ -41,7 +41,7 @@ BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 INDEX_BYTES = 1 << 18
 # Compression of texts and segments: they are written once and read once, so bytes weigh more than time.
-LEVEL = 6
+LEVEL = 5
 # Windows whose anchors are found at a time; the arrays fit the cache of a core.
 PART = 1 << 15
 ONE, TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -402,6 +402,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     answers = _sent(packed, buckets).groupBy("__bucket").applyInArrow(ask, ANSWER_TYPES)
     answers = materialize(answers, "answers").frame
+    # The segments that were sent are done with. Spark removes shuffle files once the driver has
+    # forgotten the frames that made them; told so here, before the next step needs the disk.
+    docs.sparkSession.sparkContext._jvm.System.gc()
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("__id", pa.int64()), ("__n", pa.int64()), ("__left", pa.binary()), ("removed", span)])
 
