@@ -36,22 +36,26 @@ LOAD_TEXT = "Loading transformed employee data into the target table"
 TARGET_TEXT = "Employee master data with classifications"
 EMPLOYEE_TAG = "employee_data"
 
-# Tables of the sample graph with their columns and tags, and its processes.
+# Tables of the sample graph with their columns, comments and tags, and its processes.
+_SAMPLE_KEYS = (
+    "id INT COMMENT 'Primary identifier', name STRING COMMENT 'Person name', "
+    "department STRING COMMENT 'Department name'"
+)
 SAMPLE_TABLES = {
     "source_data": (
         "Raw source data for ETL processing",
-        "id INT, name STRING, department STRING, salary DOUBLE",
+        f"{_SAMPLE_KEYS}, salary DOUBLE COMMENT 'Raw salary amount'",
         "ETL_Source",
     ),
     "transformed_data": (
         "Transformed data with adjustments",
-        "id INT, name STRING, department STRING, adjusted_salary DOUBLE",
+        f"{_SAMPLE_KEYS}, adjusted_salary DOUBLE COMMENT 'Adjusted salary after calculations'",
         "ETL_Intermediate",
     ),
     "analytics_data": (
         "Final analytics data for reporting",
-        "id INT, name STRING, department STRING, department_category STRING, "
-        "adjusted_salary DOUBLE, estimated_tax DOUBLE",
+        f"{_SAMPLE_KEYS}, department_category STRING COMMENT 'Department category grouping', "
+        "adjusted_salary DOUBLE COMMENT 'Adjusted salary', estimated_tax DOUBLE COMMENT 'Estimated tax amount'",
         "ETL_Target",
     ),
 }

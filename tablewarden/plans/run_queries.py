@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.materialize import scratch_path
-from tablewarden.operators import audit, columns, entities, gram_index, integrity, lineage, load_stats, pages
+from tablewarden.operators import audit, columns, entities, gram_index, integrity, lineage, load_stats, pages, runs
 from tablewarden.operators.model import ENTITIES
 from tablewarden.plans.catalog_queries import _existing, _key_entities
 from tablewarden.plans.views import (
@@ -161,6 +161,36 @@ def load_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.reconcile_loads(source, loaded, scratch_path(spark, "integrity"), ("o_orderkey",), 64)
 
 
+def run_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job per order status, and one that fails, as processes with what their runs did."""
+    facts: list[DataFrame] = []
+    for status in ("O", "F", "P"):
+        with runs.record_run(spark, facts, f"orders_{status}", "FILTER") as run:
+            orders = run.reads(table(spark, sf_dir, "orders"))
+            kept = run.writes(orders.filter(F.col("o_orderstatus") == status))
+            kept.write.parquet(scratch_path(spark, "orders-of-status"))
+    try:
+        with runs.record_run(spark, facts, "orders_strict", "CHECK", "Refuses all orders") as run:
+            refused = run.reads(table(spark, sf_dir, "orders")).select(F.raise_error(F.lit("refused")))
+            refused.write.format("noop").mode("overwrite").save()
+    except Exception:  # noqa: BLE001 - the failure is what is recorded
+        pass
+    found = runs.run_processes(entities.bulk_batch(*facts))
+    value = F.col("attributes")
+    return found.select(
+        "type_name",
+        "name",
+        "description",
+        value["operation"].alias("operation"),
+        value["rows_in"].alias("rows_in"),
+        value["rows_out"].alias("rows_out"),
+        value["status"].alias("status"),
+        value["user_name"].isNotNull().alias("has_user"),
+        (value["start_time"] <= value["end_time"]).alias("in_order"),
+        F.coalesce(value["message"].contains("refused"), F.lit(False)).alias("says_why"),
+    )
+
+
 QUERIES = {
     "stream_upsert": stream_upsert,
     "verify_catalog": verify_catalog,
@@ -171,6 +201,7 @@ QUERIES = {
     "schema_as_of": schema_as_of,
     "schema_changes": schema_changes,
     "load_integrity": load_integrity,
+    "run_processes": run_processes,
 }
 
 
@@ -254,4 +285,11 @@ SELECT o_orderkey, CASE WHEN NOT there THEN 'missing' WHEN other THEN 'changed'
   1::BIGINT AS n_source, CASE WHEN NOT there THEN 0 WHEN twice THEN 2 ELSE 1 END::BIGINT AS n_target
 FROM l WHERE NOT there OR other OR twice
 UNION ALL SELECT -o_orderkey - 1, 'added', 0, 1 FROM orders WHERE o_orderkey % 1019 = 11""",
+    "run_processes": """WITH o AS (SELECT COUNT(*)::VARCHAR AS n FROM orders),
+s AS (SELECT v.status, COUNT(o_orderkey)::VARCHAR AS n FROM (VALUES ('O'), ('F'), ('P')) v(status)
+  LEFT JOIN orders ON o_orderstatus = v.status GROUP BY v.status)
+SELECT 'etl_process' AS type_name, 'orders_' || s.status AS name,
+  'ETL process transforming data: orders_' || s.status AS description, 'FILTER' AS operation, o.n AS rows_in,
+  s.n AS rows_out, 'SUCCEEDED' AS status, TRUE AS has_user, TRUE AS in_order, FALSE AS says_why FROM s, o
+UNION ALL SELECT 'etl_process', 'orders_strict', 'Refuses all orders', 'CHECK', NULL, NULL, 'FAILED', TRUE, TRUE, TRUE""",
 }

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewarden.materialize import scratch_path
-from tablewarden.operators import audit, columns, entities, gram_index, integrity, load_stats, pages
+from tablewarden.operators import audit, columns, entities, gram_index, integrity, load_stats, pages, runs
 from tablewarden.operators.model import EDGES
 from tablewarden.streaming import ingest, merged
 
@@ -332,3 +332,35 @@ def test_order_does_not_matter_and_equal_buckets_are_not_read(spark, tmp_path):
     assert f"({bucket})" in plan.replace("Some", "") or f"_bucket#" in plan and f"= {bucket})" in plan
     with pytest.raises(ValueError):
         integrity.differing_buckets(written[0], integrity.write_bucketed(df, scratch_path(spark, "o"), ("id",), 8))
+
+
+# ---- facts of runs ---------------------------------------------------------------------
+
+
+def test_facts_of_runs(spark):
+    facts = []
+    with runs.record_run(spark, facts, "job", "LOAD") as run:
+        out = run.reads(spark.range(100)).filter("id % 4 = 0").unionByName(run.reads(spark.range(10)))
+        run.writes(out).write.format("noop").mode("overwrite").save()
+    with pytest.raises(KeyError):
+        with runs.record_run(spark, facts, "bad", description="Says no") as run:
+            run.reads(spark.range(5))
+            raise KeyError("no such table")
+    good, bad = (f.first() for f in facts)
+    assert (good.rows_in, good.rows_out, good.status, good.message) == (110, 35, "SUCCEEDED", None)
+    assert good.user_name and good.start_time <= good.end_time and good.operation == "LOAD"
+    assert (bad.rows_in, bad.rows_out, bad.status) == (None, None, "FAILED") and "no such table" in bad.message
+    found = {r.name: r for r in runs.run_processes(facts[0].unionByName(facts[1])).collect()}
+    assert found["job"].attributes["rows_out"] == "35" and "message" not in found["job"].attributes
+    assert found["bad"].attributes["status"] == "FAILED" and "rows_in" not in found["bad"].attributes
+    assert found["job"].qualified_name.startswith("job_20") and found["job"].create_time == good.start_time
+
+
+def test_columns_of_the_sample_graph_have_comments(spark):
+    from tablewarden.plans import jobs
+
+    found = jobs.sample_graph(spark, "demo", "sample_etl", T0).entities.filter("type_name = 'hive_column'").collect()
+    assert len(found) == 14 and all(r.description for r in found)
+    assert {r.description for r in found if r.name == "adjusted_salary"} == {
+        "Adjusted salary", "Adjusted salary after calculations",
+    }
