@@ -8,6 +8,7 @@ Columns the operators make for themselves start with ``__``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,24 @@ def _to_smallest(links: DataFrame, seen: DataFrame, moved: Column) -> DataFrame:
     ).frame
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of an action go when it ends, and not at some later collection of garbage.
+
+    For an action whose result is written: until it ends, lost files can be made again.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 PARTS = pa.schema([("chunk", pa.int32()), ("sums", pa.list_(pa.int64()))])
 PART_TYPES = "chunk int, sums array<bigint>"
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import column_lists, id_rank, true_id
+from tablewarden.llm.common import column_lists, id_rank, shuffles_removed, true_id
 from tablewarden.llm.run_index import build, stream
 from tablewarden.materialize import materialize
 
@@ -401,10 +401,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return pa.table([pa.array(v, f[1]) for v, f in zip(made, ANSWER)], schema=pa.schema(ANSWER))
 
     answers = _sent(packed, buckets).groupBy("__bucket").applyInArrow(ask, ANSWER_TYPES)
-    answers = materialize(answers, "answers").frame
-    # The segments that were sent are done with. Spark removes shuffle files once the driver has
-    # forgotten the frames that made them; told so here, before the next step needs the disk.
-    docs.sparkSession.sparkContext._jvm.System.gc()
+    # The segments that were sent are done with when the answers are written.
+    with shuffles_removed(docs.sparkSession):
+        answers = materialize(answers, "answers").frame
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("__id", pa.int64()), ("__n", pa.int64()), ("__left", pa.binary()), ("removed", span)])
 
