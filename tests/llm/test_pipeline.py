@@ -43,15 +43,17 @@ def test_run_equals_stages_by_hand(spark, sf_dir):
     benchmark = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     good = {r.doc_id for r in quality_rules.rules_report(docs).collect() if r.kept}
     rows = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id in good)
-    seen, cleaned = set(), []
+    first, cleaned = {}, []
     for doc, text in rows:
         lines = text.split("\n")
         worded = [(n, x.strip(line_runs.BLANKS)) for n, x in enumerate(lines) if x.strip(line_runs.BLANKS)]
         gone = set()
-        for (a, x), (b, y) in zip(worded, worded[1:]):
-            if (x, y) in seen:
-                gone |= {a, b}
-            seen.add((x, y))
+        for at, (a, x) in enumerate(worded):
+            if len(x) >= 50 or len(x.split()) >= 8:
+                gone |= {a} if first.setdefault(x, (doc, at)) != (doc, at) else set()
+        for at, ((a, x), (b, y)) in enumerate(zip(worded, worded[1:])):
+            source, place = first.setdefault((x, y), (doc, at))
+            gone |= {a, b} if source != doc or at >= place + 2 else set()
         cleaned.append((doc, "\n".join(x for n, x in enumerate(lines) if n not in gone)))
     prints = {doc: simhash.simhash(text) for doc, text in cleaned}
     group = {doc: doc for doc in prints}

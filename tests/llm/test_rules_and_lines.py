@@ -57,20 +57,45 @@ def test_no_thresholds_without_passing_documents(spark):
     assert [(r.base_failed, r.kept) for r in got] == [(True, False)]
 
 
-def brute_lines(rows, size):
+def worded(text):
+    lines = [(n, x.strip(line_runs.BLANKS)) for n, x in enumerate((text or "").split("\n"))]
+    return [(n, x) for n, x in lines if x]
+
+
+def brute_lines(rows, size, singles=False):
     """Deleted line numbers per document; documents in rank order."""
-    seen, gone = set(), {}
+    first, gone = {}, {}
     for key, text in rows:
-        lines = [(n, x.strip(line_runs.BLANKS)) for n, x in enumerate(text.split("\n"))]
-        lines = [(n, x) for n, x in lines if x]
-        for at in range(len(lines) - size + 1):
-            run = tuple(x for _, x in lines[at : at + size])
-            if run in seen:
-                gone.setdefault(key, set()).update(n for n, _ in lines[at : at + size])
-            seen.add(run)
+        lines = worded(text)
+        for length in (size, 1) if singles else (size,):
+            for at in range(len(lines) - length + 1):
+                run = tuple(x for _, x in lines[at : at + length])
+                if length != size and len(run[0].split()) < 8 and len(run[0]) < 50:
+                    continue
+                doc, place = first.setdefault(run, (key, at))
+                if doc != key or at >= place + length:
+                    gone.setdefault(key, set()).update(n for n, _ in lines[at : at + length])
     return gone
 
 
+def brute_longest(rows):
+    """Lines of the longest run per document that begins at two places or more."""
+    found = {}
+    for key, text in rows:
+        found[key] = 0
+        lines = [x for _, x in worded(text)]
+        others = [[x for _, x in worded(t)] for k, t in rows if k != key]
+        for a in range(len(lines)):
+            for other in [lines, *others]:
+                for b in range(len(other)):
+                    n = 0
+                    while a + n < len(lines) and b + n < len(other) and lines[a + n] == other[b + n]:
+                        n += 1
+                    if other is not lines or a != b:
+                        found[key] = max(found[key], n)
+    return found
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 5])
 def test_runs_of_any_length(spark, size):
     import random
@@ -82,11 +107,51 @@ def test_runs_of_any_length(spark, size):
     ]
     got = {
         (r["__id"]): {g["__line"] for g in r["__gone"]}
-        for r in line_runs.repeated_lines(frame(spark, rows), size).collect()
+        for r in line_runs.repeated_lines(frame(spark, rows), size, singles=False).collect()
     }
     assert got == brute_lines([(n, t) for n, t, *_ in rows], size)
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdefghij"])
+def test_longest_runs_and_deleted_lines_against_brute_force(spark, letters):
+    """Runs of all lengths, copied from document to document with other borders."""
+    import random
+
+    rng = random.Random(len(letters))
+    long = ["x" * 50, "one two three four five six seven eight", "\u4e2d" * 50]
+    texts = []
+    for n in range(30):
+        lines = [rng.choice(letters) if rng.random() < 0.9 else rng.choice(long) for _ in range(rng.randint(0, 12))]
+        if texts and rng.random() < 0.7:
+            donor = rng.choice(texts)
+            at, size = rng.randint(0, len(donor)), rng.choice([1, 2, 3, 5, 7, 11])
+            lines[len(lines) // 2 : len(lines) // 2] = donor[at : at + size]
+        texts.append(lines)
+    rows = [(n, "\n".join(t), "en", "a", 1) for n, t in enumerate(texts)]
+    plain = [(n, t) for n, t, *_ in rows]
+    report = {r.doc_id: r for r in line_runs.line_report(frame(spark, rows)).collect()}
+    assert {n: r.longest_run for n, r in report.items()} == brute_longest(plain)
+    gone = brute_lines(plain, 2, singles=True)
+    assert {n: r.n_removed for n, r in report.items()} == {n: len(gone.get(n, ())) for n, _ in plain}
+
+
+def test_lengths_of_copied_runs(spark):
+    sizes = [1, 2, 3, 7, 8, 9, 100]
+    rows, want = [(999, "alone", "en", "a", 1)], {999: (0, 0, 0)}
+    for size in sizes:
+        run = "\n".join(f"line {n} of the shared run of {size} lines here" for n in range(size))
+        rows += [(10 * size + n, f"start {size} {n}\n{run}\nend {size} {n}", "en", "a", 1) for n in range(3)]
+        want |= {10 * size + n: (size, size if n else 0, 1 if n else 0) for n in range(3)}
+    got = {r.doc_id: (r.longest_run, r.n_removed, r.n_runs) for r in line_runs.line_report(frame(spark, rows)).collect()}
+    assert got == want
+
+
+def test_the_first_run_stays_whole(spark):
+    rows = [(1, "\n".join(["yes"] * 5), "en", "a", 1), (2, "no\nyes\nyes", "en", "a", 1), (3, "a\nb\na\nb\na\nb", "en", "a", 1)]
+    got = {r.doc_id: r.text for r in line_runs.keep_lines(frame(spark, rows)).collect()}
+    assert got == {1: "yes\nyes", 2: "no", 3: "a\nb"}
+
+
 def test_hot_line_and_odd_rows(spark, skew_settings):
     shared = "the same first line\nthe same second line\n"
     rows = [(n, shared + prose(n, 24) + ("\n" + shared if n % 2 else ""), "en", "a", 1) for n in range(300)]
@@ -102,5 +167,5 @@ def test_long_single_lines_go(spark):
     nine, long = "a b c d e f g h i", "x" * 50
     texts = [f"one\n{nine}\ntwo\n{long}", f"three\n {nine} \nfour", f"{long}\nfive\none", nine, "one\nfive six"]
     rows = [(n, t, "en", "a", 1) for n, t in enumerate(texts)]
-    got = {r.doc_id: r.text for r in line_runs.keep_lines(frame(spark, rows), singles=True).collect()}
+    got = {r.doc_id: r.text for r in line_runs.keep_lines(frame(spark, rows)).collect()}
     assert got == {0: texts[0], 1: "three\nfour", 2: "five\none", 3: "", 4: "one\nfive six"}
