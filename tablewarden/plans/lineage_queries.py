@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.materialize import scratch_path
+from tablewarden.materialize import materialize, scratch_path
 from tablewarden.operators import lineage as graph
+from tablewarden.operators.retag import retag, spread_tags
 from tablewarden.plans.views import (
     CATALOG_SQL,
     EDGES_SQL,
@@ -80,6 +81,20 @@ def propagate_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("attributes", F.to_json("attributes"))
 
 
+def retag_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags and their nearest sources after the edges that leave customers with a 3 at the end and
+    the tags of entities with a 7 at the end are gone, from those before."""
+    io = materialize(graph_io(spark, sf_dir), "process-io").frame
+    before = graph.build_edges(io, unique=True)
+    gone = (F.col("src_guid").startswith("customer:")) & F.col("src_guid").endswith("3")
+    own = tags(spark, sf_dir).select("guid", "classification")
+    spread = materialize(spread_tags(before, own), "spread").frame
+    untagged = F.col("guid").endswith("7")
+    return retag(
+        spread, before.filter(~gone), own.filter(~untagged), own.filter(untagged), before.filter(gone)
+    )
+
+
 def export_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes and edges in one table, told apart by ``kind``."""
     nodes, links = graph.export_lineage(
@@ -110,6 +125,7 @@ QUERIES = {
     "has_lineage": has_lineage,
     "impact": impact,
     "propagate_tags": propagate_tags,
+    "retag_after_change": retag_after_change,
     "export_lineage": export_lineage,
 }
 
@@ -159,6 +175,14 @@ nearest AS (
     PARTITION BY guid, classification ORDER BY hop, source) = 1)
 SELECT guid, classification, '{{"level":"' || right(source, 1) || '"}}' AS attributes,
   hop > 0 AS propagated FROM nearest""",
+    "retag_after_change": f"""WITH RECURSIVE {EDGES_SQL}, {TAGS_SQL},
+t(guid, classification, source, hop) AS (
+  SELECT guid, classification, guid, 0 FROM tags WHERE right(guid, 1) <> '7'
+  UNION
+  SELECT dst_guid, classification, source, hop + 1 FROM t JOIN edges ON src_guid = t.guid
+  WHERE hop < 50 AND NOT (src_guid LIKE 'customer:%' AND right(src_guid, 1) = '3'))
+SELECT guid, classification, hop, source FROM t QUALIFY ROW_NUMBER() OVER (
+  PARTITION BY guid, classification ORDER BY hop, source) = 1""",
     "export_lineage": f"""{_walks((EXPORT_ROOT,), graph.EXPORT_DEPTH, graph.OUTPUT, graph.INPUT)},
 {CATALOG_SQL},
 ids AS (SELECT guid FROM down UNION SELECT guid FROM up),

@@ -11,6 +11,7 @@ from tablewarden.materialize import materialize
 from tablewarden.operators import columns, lineage as lin
 from tablewarden.operators.entities import entity_rows, resolve_refs
 from tablewarden.operators.model import CLASSIFICATIONS, EDGES, ENTITIES, PROCESS_IO
+from tablewarden.operators.retag import affected_nodes, retag, spread_tags, tags_of
 from tablewarden.plans.registry import QUERIES
 
 
@@ -397,3 +398,45 @@ def test_column_processes_of_all_line_items(spark, sf_dir, tmp_path):
     finished.write.parquet(str(tmp_path / "lineitem.parquet"))
     pairs = finished.select("l_suppkey", "l_linenumber").distinct().count()
     assert QUERIES["column_processes"](spark, str(tmp_path)).count() == pairs > 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_retagging_after_a_change_equals_a_full_run(spark, tmp_path, seed):
+    """Tags and edges added and removed at once, in a graph with cycles; once over buckets."""
+    rng = random.Random(seed)
+    nodes = [f"n{n}" for n in range(60)]
+    pairs = {(rng.choice(nodes), rng.choice(nodes)) for _ in range(75)}
+    more = {(rng.choice(nodes), rng.choice(nodes)) for _ in range(6)} - pairs
+    less = set(rng.sample(sorted(pairs), 6))
+    old = {(rng.choice(nodes), rng.choice("AB")) for _ in range(12)}
+    new = (old - set(rng.sample(sorted(old), 4))) | {(rng.choice(nodes), "A")}
+    before = spark.createDataFrame(sorted(pairs), EDGES)
+    after = spark.createDataFrame(sorted((pairs - less) | more), EDGES)
+    rewired = spark.createDataFrame(sorted(less | more), EDGES)
+    retagged = spark.createDataFrame([(g,) for g, _ in sorted(old ^ new)], "guid STRING")
+    spread = spread_tags(before, tag_rows(spark, *sorted(old)))
+    tags = tag_rows(spark, *sorted(new))
+    edges = lin.write_edges(after, str(tmp_path / "edges"), 4) if seed == 2 else after
+    found = retag(spread, edges, tags, retagged, rewired)
+    assert rows_of(found) == rows_of(spread_tags(after, tags))
+    plain = ["guid", "classification", "propagated"]
+    whole = lin.propagate_tags(after, tags)
+    assert rows_of(tags_of(found, tags).select(plain)) == rows_of(whole.select(plain))
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_a_cycle_does_not_hold_up_a_tag(spark):
+    before = edges_of(spark, "ab bc cb cd xy")
+    tags = tag_rows(spark, ("a", "PII"), ("x", "PII"))
+    spread = spread_tags(before, tags)
+    none = spark.createDataFrame([], "guid STRING")
+    cut = spark.createDataFrame([("a", "b")], EDGES)
+    after = edges_of(spark, "bc cb cd xy")
+    assert rows_of(affected_nodes(after, none, cut)) == [("b",), ("c",), ("d",)]
+    found = retag(spread, after, tags, none, cut)
+    assert rows_of(found) == [("a", "PII", 0, "a"), ("x", "PII", 0, "x"), ("y", "PII", 1, "x")]
+    same = retag(spread, before, tags, none, cut.limit(0))
+    assert rows_of(same) == rows_of(spread)
