@@ -1,15 +1,15 @@
 """Removal of repeated lines or paragraphs by their hash.
 
-A text is cut into units: lines, paragraphs, or the sentences of lines, which also finds a
-passage pasted into the middle of a line. Each unit is normalised and hashed, equal hashes are
-grouped over all documents, the first occurrence by document rank and place stays and the
-others are cut out. What is left keeps its places in the original text.
-
-Every line or paragraph that is not blank is a unit. A sentence of few words recurs by chance,
-so it is a unit only together with the sentences beside it: units are the shortest runs of
-sentences with ``min_words`` words that begin or that end at each sentence. They overlap, and
-together they cover every copied passage of whole sentences with that many words, whatever
-stands before and behind it. Lines with fewer words are units of their own.
+A text is cut into units, lines or paragraphs. Each unit that is not blank is normalised and
+hashed, equal hashes are grouped over all documents, the first occurrence by document rank and
+place stays and the others are cut out. What is left keeps its places in the original text.
+
+With ``unit="sentence"`` every line is a unit as well, and within a line so are runs of its
+sentences, which finds a passage pasted into the middle of a line. A sentence of few words
+recurs by chance, so these are the shortest runs with ``min_words`` words that begin or that end
+at each sentence of the line. They overlap, and together they cover every copied stretch of
+whole sentences with that many words, whatever stands before and behind it. A copy that overlaps
+the first occurrence of the same unit stays, so the first is whole.
 """
 
 from __future__ import annotations
@@ -44,10 +44,9 @@ def _cut(text: str, unit: str) -> Iterator[tuple[int, int]]:
         start = gap[1]
 
 
-def _digest(words: list[str], text: str) -> bytes:
-    """Hash of the words, or of the signs of a text without any."""
-    key = " ".join(words) if words else "\0" + "".join(text.split())
-    return xxhash.xxh3_128_digest(key.encode())
+def _plain(text: str) -> str:
+    """What two equal units have in common: case and spacing do not count, signs do."""
+    return " ".join(text.lower().split())
 
 
 def _sentence_runs(ends: list[tuple[int, int]], min_words: int) -> set[tuple[int, int]]:
@@ -73,33 +72,28 @@ def _sentence_runs(ends: list[tuple[int, int]], min_words: int) -> set[tuple[int
 
 def units(text: str | None, unit: str = "sentence", min_words: int = MIN_WORDS) -> list[tuple[int, int, bytes]]:
     """(start, end, digest) of the units in order: every line or paragraph that is not blank,
-    or the runs of sentences with ``min_words`` words and the lines with fewer.
+    and for sentences also the runs within a line of ``min_words`` words or more.
 
-    Case, punctuation and spacing do not count, except in units without a word.
+    Case and spacing do not count. A NULL or empty text has no units.
     """
     text = text or ""
-    if unit != "sentence":
-        return [(a, b, _digest(WORD.findall(text[a:b].lower()), text[a:b])) for a, b in _cut(text, unit)]
-    spots, words, ends = [], [], []
-    for a, b in _cut(text, unit):
-        own = WORD.findall(text[a:b].lower())
-        if own:
-            spots.append((a, b))
-            ends.append((len(words), len(words) + len(own)))
-            words += own
-    found = [
-        (spots[i][0], spots[j][1], _digest(words[ends[i][0] : ends[j][1]], ""))
-        for i, j in _sentence_runs(ends, min_words)
-    ]
-    at = 0
-    for a, b in _cut(text, "line"):
-        first = at
-        while at < len(spots) and spots[at][0] < b:
-            at += 1
-        own = words[ends[first][0] : ends[at - 1][1]] if at > first else []
-        if len(own) < min_words:
-            found.append((a, b, _digest(own, text[a:b])))
-    return sorted(found)
+    found = []
+    for a, b in _cut(text, "paragraph" if unit == "paragraph" else "line"):
+        whole = _plain(text[a:b])
+        found.append((a, b, whole))
+        if unit != "sentence":
+            continue
+        spots = [(a + i, a + j) for i, j in _cut(text[a:b], "sentence")]
+        plain = [_plain(text[i:j]) for i, j in spots]
+        ends, n = [], 0
+        for i, j in spots:
+            n += len(WORD.findall(text[i:j]))
+            ends.append((ends[-1][1] if ends else 0, n))
+        for i, j in _sentence_runs(ends, min_words):
+            # A run that begins or ends with signs alone is one with more than it needs.
+            if ends[i][0] < ends[i][1] and ends[j][0] < ends[j][1] and (run := " ".join(plain[i : j + 1])) != whole:
+                found.append((spots[i][0], spots[j][1], run))
+    return sorted((a, b, xxhash.xxh3_128_digest(key.encode())) for a, b, key in found)
 
 
 def merged(spans: list[dict] | None) -> list[dict]:
@@ -129,8 +123,8 @@ def repeated_units(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(__id, __hash, __spans): the later occurrences, which may overlap, in each document that
-    has any."""
+    """(__id, __hash, __spans): the later occurrences, which may overlap each other but not the
+    first of their kind, in each document that has any."""
     schema = pa.schema(
         [("__id", pa.int64()), ("__hash", pa.int64()), ("__start", pa.int32()), ("__end", pa.int32()),
          ("__digest", pa.binary())]
@@ -147,10 +141,12 @@ def repeated_units(
 
     names = "__id long, __hash long, __start int, __end int, __digest binary"
     found = materialize(texts(docs, id_col, text_col).mapInArrow(run, names), "units").frame
-    spot = F.struct("__id", "__hash", "__start")
+    spot = F.struct("__id", "__hash", "__start", "__end")
     firsts = found.groupBy("__digest").agg(F.min(spot).alias("__first"), F.count("*").alias("__n"))
     repeated = materialize(firsts.where("__n > 1").drop("__n"), "repeated").frame
-    later = found.join(repeated, "__digest").where(spot != F.col("__first"))
+    first = F.col("__first")
+    same_text = (F.col("__id") == first["__id"]) & (F.col("__hash") == first["__hash"])
+    later = found.join(repeated, "__digest").where(~(same_text & (F.col("__start") < first["__end"])))
     return later.groupBy("__id", "__hash").agg(
         F.sort_array(F.collect_set(F.struct("__start", "__end"))).alias("__spans")
     )
@@ -206,7 +202,12 @@ def dedup_units(
 
 
 def unit_report(docs: DataFrame) -> DataFrame:
-    """Per document the text left, the number of spans and characters cut out, and where."""
+    """Per row the text left, the number of spans and characters cut out, and where.
+
+    The units are all lines, and the runs of sentences within them. A NULL text stays NULL, an
+    empty one empty; rows that repeat id and text are one document and keep the same; of equal
+    units the one of the least id stays, NULL last.
+    """
     return dedup_units(docs.select("doc_id", "text")).select(
         "doc_id",
         "text",

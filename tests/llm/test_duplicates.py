@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -93,41 +94,36 @@ def test_units_against_brute_force(spark):
     rows = [(n, prose(n % 30, 60) + f" Shared closing words number one two three four five{n % 7}.", "en", "a", 1) for n in range(80)]
     rows += [(500, None, "en", "a", 1), (501, "", "en", "a", 1), (None, prose(2, 60), "en", "a", 1)]
     got = {r.doc_id: (r.text, r.removed, r.kept) for r in unit_dedup.dedup_units(frame(spark, rows)).collect()}
-    seen = set()
-    for doc, text, *_ in sorted(rows, key=lambda r: LAST_ID if r[0] is None else r[0]):
-        cuts = []
-        for start, end, digest in unit_dedup.units(text):
-            cuts += [(start, end)] if digest in seen else []
-            seen.add(digest)
-        left = unit_dedup.without(text, [{"__start": s, "__end": e} for s, e in cuts])
-        assert (got[doc][0], [tuple(s) for s in got[doc][1]]) == (left, cuts)
-        assert left is None or left == "".join(text[s.start : s.end] for s in got[doc][2])
+    ranked = sorted(rows, key=lambda r: LAST_ID if r[0] is None else r[0])
+    for (doc, text, *_), want in zip(ranked, brute_units([r[1] or "" for r in ranked], "sentence")):
+        left, removed, kept = got[doc]
+        assert re.findall(r"\S", left or "") == want and (left is None) == (text is None)
+        places = sorted((s.start, s.end) for s in [*removed, *kept])
+        assert left is None or left == "".join(text[s.start : s.end] for s in kept)
+        assert [0, *(e for _, e in places)] == [*(s for s, _ in places), len(text or "")]
 
 
 def brute_units(texts, unit):
-    """What stays of each text: every run of 8 words or more in whole sentences, and every
-    line, goes if it is anywhere before; of lines and paragraphs each one does."""
-    import re
-
-    plain = lambda x: tuple(re.findall(r"\w+", x.lower())) or x.strip()
-    cuts = {"line": r"[^\n]+", "paragraph": r"(?:[^\n]+\n?)+", "sentence": r"[^\n.!?]+[.!?]*"}
-    seen, out = set(), []
-    for text in texts:
-        gone, found = set(), []
-        lines = [m.span() for m in re.finditer(cuts["line" if unit == "sentence" else unit], text)]
-        found += [(a, b, ("whole", plain(text[a:b]))) for a, b in lines if text[a:b].strip()]
-        if unit == "sentence":
-            parts = [m.span() for m in re.finditer(cuts[unit], text) if re.search(r"\w", m.group())]
+    """What stays of each text: every line or paragraph goes if it is anywhere before, and so
+    does every run of 8 words or more in whole sentences of a line, unless it overlaps the first."""
+    plain = lambda x: tuple(x.lower().split())
+    seen, out = {}, []
+    for n, text in enumerate(texts):
+        found = []
+        for whole in re.finditer(r"(?:[^\n]+\n?)+" if unit == "paragraph" else r"[^\n]+", text):
+            found += [(*whole.span(), plain(whole.group()))]
+            parts = list(re.finditer(r"[^.!?]+[.!?]*", whole.group())) if unit == "sentence" else []
             for i in range(len(parts)):
                 for j in range(i, len(parts)):
-                    run = tuple(plain(text[a:b]) for a, b in parts[i : j + 1])
-                    if sum(map(len, run)) >= 8:
-                        found.append((parts[i][0], parts[j][1], run))
-        for a, b, key in sorted(found, key=lambda x: x[:2]):
-            if key in seen:
+                    run = whole.group()[parts[i].start() : parts[j].end()]
+                    if len(re.findall(r"\w+", run)) >= 8:
+                        found.append((whole.start() + parts[i].start(), whole.start() + parts[j].end(), plain(run)))
+        gone = set()
+        for a, b, key in sorted((f for f in found if f[2]), key=lambda f: f[:2]):
+            doc, end = seen.setdefault(key, (n, b))
+            if doc != n or a >= end:
                 gone |= set(range(a, b))
-            seen.add(key)
-        out.append(re.findall(r"\S", "".join(c if n not in gone else " " for n, c in enumerate(text))))
+        out.append([c for at, c in enumerate(text) if at not in gone and not c.isspace()])
     return out
 
 
@@ -161,12 +157,20 @@ def test_copies_of_short_sentences_leave_no_scraps(spark):
     assert " ".join(got[4]) == "Yes. It differs."
 
 
+def test_first_of_overlapping_copies_stays_whole_and_signs_count(spark):
+    rows = [(1, "No. " * 20, "en", "a", 1), (2, "if a < b: return x + 1\nif a > b: return x - 1", "en", "a", 1)]
+    rows += [(3, "  IF a <  b: return x + 1\nelse", "en", "a", 1)]
+    got = {r.doc_id: r.text for r in unit_dedup.dedup_units(frame(spark, rows)).collect()}
+    assert got[1].split() == ["No."] * 8
+    assert got[2] == rows[1][1] and got[3].strip() == "else"
+
+
 @pytest.mark.parametrize("unit", ["line", "paragraph", "sentence"])
 def test_unit_places(unit):
     text = "One two three.  Four five six!\nSeven eight nine\n\n \nTen eleven twelve. "
     found = [text[s:e] for s, e, _ in unit_dedup.units(text, unit, 3)]
     assert found[0].startswith("One") and found[-1].strip() == "Ten eleven twelve."
-    assert len(found) == {"line": 3, "paragraph": 2, "sentence": 4}[unit]
+    assert len(found) == {"line": 3, "paragraph": 2, "sentence": 5}[unit]
 
 
 def test_index_against_search():
