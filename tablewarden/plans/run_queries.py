@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewarden.materialize import scratch_path
-from tablewarden.operators import audit, columns, entities, gram_index, integrity, lineage, load_stats, pages, runs
+from tablewarden.operators import (
+    audit,
+    columns,
+    entities,
+    gram_index,
+    integrity,
+    lineage,
+    load_stats,
+    pages,
+    plan_mapping,
+    runs,
+    transforms,
+)
 from tablewarden.operators.model import ENTITIES
 from tablewarden.plans.catalog_queries import _existing, _key_entities
+from tablewarden.plans.record_queries import TRANSFORM_SQL
 from tablewarden.plans.views import (
     CATALOG_SQL,
     EDGES_SQL,
+    EMP_SQL,
+    RUN_DATE,
     catalog,
+    employees,
     graph_io,
     node,
     table,
@@ -191,7 +207,35 @@ def run_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _segments(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """What the customers of a nation spent by market segment, and the segment's place in it."""
+    spent = (
+        orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
+        .groupBy("c_nationkey", "c_mktsegment")
+        .agg(
+            F.sum("o_totalprice").alias("spent"),
+            F.max("o_orderdate").alias("last_order"),
+            F.max(F.when(F.col("c_acctbal") < 0, F.col("c_name"))).alias("in_debt"),
+        )
+    )
+    named = spent.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    place = F.rank().over(Window.partitionBy("n_name").orderBy(F.desc("spent")))
+    return named.select("n_name", F.col("c_mktsegment").alias("segment"), "last_order", "in_debt", place.alias("place"))
+
+
+def plan_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of two jobs, mapped by their plans, and how many rows have a value on both sides."""
+    read = {name: table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "nation")}
+    jobs = {
+        "employees": transforms.transform_employees(employees(spark, sf_dir), RUN_DATE),
+        "segments": _segments(read["orders"], read["customer"], read["nation"]),
+    }
+    pairs = [plan_mapping.plan_mapping(job, target, read) for target, job in jobs.items()]
+    return plan_mapping.mapping_fill(pairs[0].union(pairs[1]), {**read, **jobs})
+
+
 QUERIES = {
+    "plan_lineage": plan_lineage,
     "stream_upsert": stream_upsert,
     "verify_catalog": verify_catalog,
     "search_grams": search_grams,
@@ -207,6 +251,22 @@ QUERIES = {
 
 # ---- the same in SQL -------------------------------------------------------------------
 
+_MAPPED = [
+    ("lineitem", "l_orderkey", "employees", "id", "SIMPLE"),
+    ("lineitem", "l_linenumber", "employees", "line", "SIMPLE"),
+    ("lineitem", "l_quantity", "employees", "age", "EXPRESSION"),
+    ("lineitem", "l_extendedprice", "employees", "salary", "EXPRESSION"),
+    ("lineitem", "l_returnflag", "employees", "department", "SIMPLE"),
+    ("lineitem", "l_quantity", "employees", "employee_category", "EXPRESSION"),
+    ("lineitem", "l_extendedprice", "employees", "salary_band", "EXPRESSION"),
+    ("nation", "n_name", "segments", "n_name", "SIMPLE"),
+    ("customer", "c_mktsegment", "segments", "segment", "SIMPLE"),
+    ("orders", "o_orderdate", "segments", "last_order", "EXPRESSION"),
+    ("customer", "c_acctbal", "segments", "in_debt", "EXPRESSION"),
+    ("customer", "c_name", "segments", "in_debt", "EXPRESSION"),
+    ("nation", "n_name", "segments", "place", "EXPRESSION"),
+    ("orders", "o_totalprice", "segments", "place", "EXPRESSION"),
+]
 
 def _arrivals(source: str, type_name: str, key: str, owner: str, at: str, status: str) -> str:
     name = f"'{type_name}_' || {key}"
@@ -231,6 +291,18 @@ intervals AS (
 valid AS (SELECT table_name, name, data_type, from_run, nullif(last, -1) AS to_run FROM intervals)"""
 
 ORACLES = {
+    "plan_lineage": f"""WITH {EMP_SQL}, employees AS ({TRANSFORM_SQL}), spent AS (
+  SELECT c_nationkey, c_mktsegment AS segment, SUM(o_totalprice) AS spent, MAX(o_orderdate) AS last_order,
+    MAX(CASE WHEN c_acctbal < 0 THEN c_name END) AS in_debt
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL), segments AS (
+  SELECT n_name, segment, last_order, in_debt, RANK() OVER (PARTITION BY n_name ORDER BY spent DESC) AS place
+  FROM spent JOIN nation ON c_nationkey = n_nationkey)
+"""
+    + "\nUNION ALL ".join(
+        f"SELECT '{s}' AS src_table, '{c}' AS src_column, '{t}' AS dst_table, '{d}' AS dst_column, "
+        f"'{how}' AS dependency, (SELECT COUNT({c}) FROM {s}) AS src_filled, (SELECT COUNT({d}) FROM {t}) AS dst_filled"
+        for s, c, t, d, how in _MAPPED
+    ),
     "stream_upsert": f"""WITH arrived AS (
 {_arrivals("customer", "customer", "c_custkey", "c_mktsegment", "TIMESTAMP '1990-01-01 00:00:00'", "''")
     .replace("CASE WHEN '' = 'F' THEN 1 ELSE 2 END", "0")}
