@@ -28,8 +28,9 @@ MIN_ROWS = 200
 # Fences lie this many spreads outside the quartiles.
 REACH = 5.0
 # Ratio of a document, and the least spread it is given: sources of equal documents would
-# otherwise reject the slightest difference.
-RATIOS = {"word_length": 0.5, "symbols": 0.01, "dup_lines": 0.1, "repeats": 0.1}
+# otherwise reject the slightest difference. That of repeated words is small enough for the fence
+# of a source that repeats nothing to lie below the base rule.
+RATIOS = {"word_length": 0.5, "symbols": 0.01, "dup_lines": 0.08, "repeats": 0.08}
 # Ratios of which low values are odd as well.
 TWO_SIDED = {"word_length"}
 
@@ -195,7 +196,11 @@ def quality_rules(
 
 
 def rules_report(docs: DataFrame) -> DataFrame:
-    """The counts and the verdict per document."""
+    """The counts and the verdict per row.
+
+    A NULL or empty text counts as no words and fails the base rules; repeated rows are judged
+    each, and alike; a NULL language or source is a group of its own.
+    """
     slim = docs.select("doc_id", "text", "lang", "source")
     measured = measure(slim).drop("text")
     written = materialize(measured, "measured").frame
@@ -258,8 +263,8 @@ WITH raw AS (
   FROM judged WHERE NOT base_failed GROUP BY ROLLUP (lang, source)
 ), fences AS (
   SELECT lang, source, g, l1 - 5.0 * greatest(h1 - l1, 0.5) AS low1, h1 + 5.0 * greatest(h1 - l1, 0.5) AS high1,
-    h2 + 5.0 * greatest(h2 - l2, 0.01) AS high2, h3 + 5.0 * greatest(h3 - l3, 0.1) AS high3,
-    h4 + 5.0 * greatest(h4 - l4, 0.1) AS high4
+    h2 + 5.0 * greatest(h2 - l2, 0.01) AS high2, h3 + 5.0 * greatest(h3 - l3, 0.08) AS high3,
+    h4 + 5.0 * greatest(h4 - l4, 0.08) AS high4
   FROM sketches WHERE n >= 200 OR g = 3
 ), chosen AS (
   SELECT j.*, f.*, row_number() OVER (PARTITION BY doc_id ORDER BY f.g) AS rank

@@ -52,6 +52,38 @@ def test_odd_source_is_rejected_and_clean_ones_stay(spark):
     assert all(kept.values())
 
 
+def test_each_fence_rejects_alone(spark):
+    plain = prose(500, 100).replace("\n", " ").split()
+    odd = {
+        "word_length": " ".join(w + "abcdefgh" for w in plain),
+        "symbols": " ".join(w + "#" * (i % 10 == 0) for i, w in enumerate(plain)),
+        "dup_lines": "\n".join(line + "\nk1" for line in prose(501, 72).split("\n")),
+        "repeats": " ".join(plain[:53] + plain[3:26] + plain[53:77]),
+    }
+    rows = [(n, prose(n, 60), "en", "a", 1) for n in range(250)]
+    rows += [(1000 + n, text, "en", "a", 1) for n, text in enumerate(odd.values())]
+    measured = quality_rules.measure(frame(spark, rows))
+    (fence,) = quality_rules.thresholds(measured).where("__level = 0").collect()
+    ratios = quality_rules._ratios()
+    found = measured.where("doc_id >= 1000").select("doc_id", *[r.alias(n) for n, r in ratios.items()]).orderBy("doc_id")
+    for name, row in zip(odd, found.collect()):
+        outside = {n for n in ratios if not fence[f"__low_{n}"] <= row[n] <= fence[f"__high_{n}"]}
+        assert outside == {name}
+    got = {r.doc_id: r for r in quality_rules.rules_report(frame(spark, rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {d for d, r in got.items() if not r.kept} == {1000, 1001, 1002, 1003}
+
+
+def test_each_source_has_its_own_sketch(spark):
+    """What is common in one source is odd in another of the same language."""
+    signed = lambda n: prose(n, 60).replace(" ", " #")
+    rows = [(n, prose(n, 60), "en", "web", 1) for n in range(220)]
+    rows += [(300 + n, signed(n), "en", "code", 1) for n in range(220)]
+    rows += [(1000, signed(900), "en", "web", 1), (1001, signed(901), "en", "code", 1)]
+    kept = {r.doc_id: r.kept for r in quality_rules.rules_report(frame(spark, rows)).collect()}
+    assert [d for d, k in kept.items() if not k] == [1000]
+
+
 def test_no_thresholds_without_passing_documents(spark):
     got = quality_rules.rules_report(frame(spark, [(1, "too short", "en", "a", 1)])).collect()
     assert [(r.base_failed, r.kept) for r in got] == [(True, False)]
