@@ -23,17 +23,21 @@ CRITICAL_TAGS = ["PII", "Confidential", "BusinessCritical"]
 INPUT, OUTPUT, BOTH = "INPUT", "OUTPUT", "BOTH"
 
 
-def build_edges(process_io: DataFrame, unique: bool = False) -> DataFrame:
+def build_edges(process_io: DataFrame, unique: bool = False, tasks: int | None = None) -> DataFrame:
     """Directed edges dataset -> process for inputs, process -> dataset for outputs.
 
     ``unique`` says that no row of ``process_io`` is repeated, which saves the shuffle.
+    ``tasks`` is the number of tasks that share the rows to be made distinct, so that the
+    memory of one does not depend on how much is read or merged into a task.
     """
     is_input = F.col("direction") == "input"
     edges = process_io.select(
         F.when(is_input, F.col("dataset_guid")).otherwise(F.col("process_guid")).alias("src_guid"),
         F.when(is_input, F.col("process_guid")).otherwise(F.col("dataset_guid")).alias("dst_guid"),
     )
-    return edges if unique else edges.distinct()
+    if unique:
+        return edges
+    return (edges.repartition(tasks, "src_guid", "dst_guid") if tasks else edges).distinct()
 
 
 # Fixed value: what is recorded of each version of an edge table.

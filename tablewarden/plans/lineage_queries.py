@@ -17,6 +17,7 @@ from tablewarden.plans.views import (
     graph_edges,
     graph_io,
     roots,
+    row_tasks,
     tags,
     walk_sql,
 )
@@ -28,7 +29,7 @@ EXPORT_ROOT = "part:5"
 
 
 def build_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.build_edges(graph_io(spark, sf_dir))
+    return graph.build_edges(graph_io(spark, sf_dir), tasks=row_tasks(spark, sf_dir))
 
 
 def lineage_down(spark: SparkSession, sf_dir: str) -> DataFrame:

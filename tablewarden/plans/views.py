@@ -61,6 +61,16 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Line items that one task handles, about, where they are dealt by key.
+TASK_ROWS = 250_000
+
+
+def row_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for work on all line items; these are counted from the footers of their files."""
+    rows = table(spark, sf_dir, "lineitem").count()
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def graph_io(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Process inputs and outputs, each once.
 
@@ -78,8 +88,11 @@ def graph_io(spark: SparkSession, sf_dir: str) -> DataFrame:
             dataset.alias("dataset_guid"),
         )
 
-    made = lineitem.select("l_orderkey", "l_partkey").distinct()
-    supplied = lineitem.select("l_partkey", "l_suppkey").distinct()
+    # Dealt before they are made distinct: a task's memory then depends neither on how many rows
+    # its part of a file has nor on how many partitions adaptive execution merges.
+    tasks = row_tasks(spark, sf_dir)
+    made = lineitem.select("l_orderkey", "l_partkey").repartition(tasks, "l_orderkey", "l_partkey").distinct()
+    supplied = lineitem.select("l_partkey", "l_suppkey").repartition(tasks, "l_partkey", "l_suppkey").distinct()
     return bulk_batch(
         side(orders, node("order", "o_orderkey"), "input", node("customer", "o_custkey")),
         side(made, node("order", "l_orderkey"), "output", node("part", "l_partkey")),

@@ -12,6 +12,7 @@ from tablewarden.operators import columns, lineage as lin
 from tablewarden.operators.entities import entity_rows, resolve_refs
 from tablewarden.operators.model import CLASSIFICATIONS, EDGES, ENTITIES, PROCESS_IO
 from tablewarden.operators.retag import affected_nodes, retag, spread_tags, tags_of
+from tablewarden.plans import views
 from tablewarden.plans.registry import QUERIES
 
 
@@ -440,3 +441,17 @@ def test_a_cycle_does_not_hold_up_a_tag(spark):
     assert rows_of(found) == [("a", "PII", 0, "a"), ("x", "PII", 0, "x"), ("y", "PII", 1, "x")]
     same = retag(spread, before, tags, none, cut.limit(0))
     assert rows_of(same) == rows_of(spread)
+
+
+# ---- sizes ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["build_edges", "lineage_counts", "has_lineage", "verify_catalog", "metadata_audit"])
+def test_tasks_that_make_edges_distinct_grow_with_the_table(spark, sf_dir, monkeypatch, name):
+    monkeypatch.setattr(views, "TASK_ROWS", 500)
+    tasks = views.row_tasks(spark, sf_dir)
+    lines = views.table(spark, sf_dir, "lineitem").count()
+    assert tasks == -(-lines // 500)
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(.*?, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert dealt.count(str(tasks)) >= (3 if name == "build_edges" else 2)
