@@ -108,7 +108,9 @@ def schema_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def schema_intervals(snapshots: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame:
+def schema_intervals(
+    snapshots: DataFrame, runs: DataFrame, keys: list[str], tasks: int | None = None
+) -> DataFrame:
     """Validity intervals of columns over many runs: keys, data_type, from_run, to_run.
 
     ``snapshots`` has a row per run, key and ``data_type``; ``runs`` the numbers of all runs in
@@ -117,13 +119,15 @@ def schema_intervals(snapshots: DataFrame, runs: DataFrame, keys: list[str]) ->
     runs, or changes its type, begins a new interval. Runs are numbered one after the other
     (a row per run, however many columns there are), then one window per column finds where
     a stretch of runs with the same type begins. Of a column that a run has twice, the
-    type that sorts first counts; a NULL type is a type.
+    type that sorts first counts; a NULL type is a type. ``tasks`` is the number of tasks that
+    share the columns, each of which sorts its own; without it the session's settings decide.
     """
     order = Window.orderBy("run")
     numbered = runs.select("run").distinct().select(
         "run", F.row_number().over(order).alias("_n"), F.lead("run").over(order).alias("_next")
     )
-    once = snapshots.groupBy(*keys, "run").agg(F.min("data_type").alias("data_type"))
+    dealt = snapshots.repartition(tasks, *keys) if tasks else snapshots
+    once = dealt.groupBy(*keys, "run").agg(F.min("data_type").alias("data_type"))
     own = Window.partitionBy(*keys).orderBy("_n")
     before = F.lag(F.struct("_n", "data_type")).over(own)
     same = (before["_n"] == F.col("_n") - 1) & before["data_type"].eqNullSafe(F.col("data_type"))

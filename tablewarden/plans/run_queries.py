@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewarden.materialize import scratch_path
+from tablewarden.materialize import materialize, scratch_path
 from tablewarden.operators import (
     audit,
     columns,
@@ -31,6 +31,7 @@ from tablewarden.plans.views import (
     employees,
     graph_io,
     node,
+    row_tasks,
     table,
 )
 from tablewarden.streaming import ingest, merged
@@ -146,12 +147,12 @@ COLUMN_KEYS = ["table_name", "name"]
 
 
 def schema_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return columns.schema_intervals(*_snapshots(spark, sf_dir), COLUMN_KEYS)
+    return columns.schema_intervals(*_snapshots(spark, sf_dir), COLUMN_KEYS, row_tasks(spark, sf_dir))
 
 
 def schema_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns that each run had, read from the intervals."""
-    intervals = schema_intervals(spark, sf_dir)
+    """The columns that each run had, read from the intervals, which are worked out once."""
+    intervals = materialize(schema_intervals(spark, sf_dir), "intervals").frame
     runs = _snapshots(spark, sf_dir)[1]
     found = [
         columns.schema_as_of(intervals, F.lit(r["run"])).withColumn("run", F.lit(r["run"]))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tablewarden.materialize import scratch_path
 from tablewarden.operators import audit, columns, entities, gram_index, integrity, load_stats, pages, runs
 from tablewarden.operators.model import EDGES
+from tablewarden.plans import views
+from tablewarden.plans.registry import QUERIES
 from tablewarden.streaming import ingest, merged
 
 T0 = datetime(2024, 1, 1)
@@ -364,3 +366,18 @@ def test_columns_of_the_sample_graph_have_comments(spark):
     assert {r.description for r in found if r.name == "adjusted_salary"} == {
         "Adjusted salary", "Adjusted salary after calculations",
     }
+
+
+# ---- sizes ------------------------------------------------------------------------------
+
+
+def test_intervals_are_worked_out_once(spark, sf_dir):
+    plan = QUERIES["schema_as_of"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "lineitem" not in plan
+
+
+def test_a_task_sorts_its_share_of_columns(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(views, "TASK_ROWS", 500)
+    tasks = views.row_tasks(spark, sf_dir)
+    plan = QUERIES["schema_intervals"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert f", {tasks}), REPARTITION_BY_NUM" in plan
