@@ -97,6 +97,24 @@ def write_edges(
     return _open_edges(spark, f"{path}/{version}", buckets, wanted)
 
 
+def place_edges(edges: DataFrame, path: str, tasks: int) -> EdgeTable:
+    """Write the edges below ``path``, dealt to ``tasks`` buckets by their source.
+
+    For walks from so many nodes that a hop meets all edges: a hop down joins them where they
+    lie, and only its nodes are shuffled. A hop up shuffles the edges once. The table is named
+    only until it is opened, so that nothing is left in the session's catalog.
+    """
+    spark = edges.sparkSession
+    name = f"edges_{uuid.uuid4().hex}"
+    dealt = edges.select("src_guid", "dst_guid").repartition(tasks, "src_guid")
+    writer = dealt.write.format("parquet").bucketBy(tasks, "src_guid").option("compression", "zstd")
+    writer.option("path", f"{path}/{name}").saveAsTable(name)
+    placed = spark.table(name).withColumn("bucket", F.lit(0))
+    # The table lies at a path of its own: its files stay.
+    spark.sql(f"DROP TABLE {name}")
+    return EdgeTable(placed, placed, 1)
+
+
 def _open_edges(spark: SparkSession, path: str, buckets: int, sides: list[bool]) -> EdgeTable:
     reader = spark.read.schema(EDGES + ", bucket INT")
     found = [reader.parquet(f"{path}/{_SIDES[s][0]}") if s in sides else None for s in (True, False)]

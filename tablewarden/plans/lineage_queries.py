@@ -16,6 +16,7 @@ from tablewarden.plans.views import (
     customer_entities,
     graph_edges,
     graph_io,
+    placed_edges,
     roots,
     row_tasks,
     tags,
@@ -85,14 +86,19 @@ def propagate_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retag_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags and their nearest sources after the edges that leave customers with a 3 at the end and
     the tags of entities with a 7 at the end are gone, from those before."""
-    io = materialize(graph_io(spark, sf_dir), "process-io").frame
-    before = graph.build_edges(io, unique=True)
+    placed = placed_edges(spark, sf_dir)
+    before = placed.by_source
     gone = (F.col("src_guid").startswith("customer:")) & F.col("src_guid").endswith("3")
     own = tags(spark, sf_dir).select("guid", "classification")
-    spread = materialize(spread_tags(before, own), "spread").frame
+    spread = materialize(spread_tags(placed, own), "spread").frame
+    left = before.filter(~gone)
     untagged = F.col("guid").endswith("7")
     return retag(
-        spread, before.filter(~gone), own.filter(~untagged), own.filter(untagged), before.filter(gone)
+        spread,
+        graph.EdgeTable(left, left, placed.buckets),
+        own.filter(~untagged),
+        own.filter(untagged),
+        before.filter(gone),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.materialize import scratch_path
 from tablewarden.operators.entities import bulk_batch
-from tablewarden.operators.lineage import BOTH, EdgeTable, build_edges, write_edges
+from tablewarden.operators.lineage import BOTH, EdgeTable, build_edges, place_edges, write_edges
 from tablewarden.operators.tagging import apply_classification
 
 RUN_DATE = "2024-01-31"
@@ -112,6 +112,12 @@ def graph_edges(spark: SparkSession, sf_dir: str, directions: str = BOTH) -> Edg
     return write_edges(edges, scratch_path(spark, "edges-by-bucket"), buckets, directions)
 
 
+def placed_edges(spark: SparkSession, sf_dir: str) -> EdgeTable:
+    """The edges dealt by their source, for walks down from a large part of all nodes."""
+    edges = build_edges(graph_io(spark, sf_dir), unique=True)
+    return place_edges(edges, scratch_path(spark, "edges-by-source"), row_tasks(spark, sf_dir))
+
+
 def _entities(
     df: DataFrame,
     kind: str,

@@ -446,6 +446,38 @@ def test_a_cycle_does_not_hold_up_a_tag(spark):
 # ---- sizes ------------------------------------------------------------------------------
 
 
+def test_a_hop_down_moves_only_its_nodes(spark, tmp_path, skew_settings):
+    pairs = [(f"n{i}", f"n{(7 * i + 3) % 40}") for i in range(40)] + [(f"n{i}", f"n{i + 1}") for i in range(39)]
+    edges = spark.createDataFrame(pairs, EDGES)
+    placed = lin.place_edges(edges, str(tmp_path / "placed"), 5)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("edges_")]
+    nodes = materialize(roots_of(spark, ["n1", "n5"]), "nodes")
+    hop = lin._edges_of(placed, nodes, True)
+    assert {(r.guid, r.next_guid) for r in hop.collect()} == {p for p in pairs if p[0] in ("n1", "n5")}
+    assert hop._jdf.queryExecution().sparkPlan().toString().count("Scan parquet") == 2
+    assert hop._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange ") == 1
+    tags = spark.createDataFrame([("n3", "PII", {"a": "1"}, False), ("n9", "PII", {"a": "2"}, False)], CLASSIFICATIONS)
+    rows = [
+        sorted((r.guid, r.attributes["a"], r.propagated) for r in lin.propagate_tags(e, tags).collect())
+        for e in (edges, placed)
+    ]
+    assert rows[0] == rows[1]
+
+
+@pytest.mark.parametrize("name", ["retag_after_change"])
+def test_walks_from_many_nodes_use_placed_edges(spark, sf_dir, monkeypatch, name):
+    used = []
+
+    def place(edges, path, tasks):
+        used.append(tasks)
+        return lin_place(edges, path, tasks)
+
+    lin_place = lin.place_edges
+    monkeypatch.setattr(views, "place_edges", place)
+    QUERIES[name](spark, sf_dir)
+    assert used == [views.row_tasks(spark, sf_dir)]
+
+
 @pytest.mark.parametrize("name", ["build_edges", "lineage_counts", "has_lineage", "verify_catalog", "metadata_audit"])
 def test_tasks_that_make_edges_distinct_grow_with_the_table(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(views, "TASK_ROWS", 500)
