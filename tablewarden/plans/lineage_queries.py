@@ -79,7 +79,7 @@ def propagate_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags with a level, the last letter of the guid that carries them; attributes as JSON."""
     level = F.create_map(F.lit("level"), F.substring("guid", -1, 1))
     levelled = tags(spark, sf_dir).withColumn("attributes", level)
-    found = graph.propagate_tags(graph_edges(spark, sf_dir, graph.OUTPUT), levelled)
+    found = graph.propagate_tags(placed_edges(spark, sf_dir), levelled)
     return found.withColumn("attributes", F.to_json("attributes"))
 
 

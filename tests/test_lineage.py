@@ -464,7 +464,7 @@ def test_a_hop_down_moves_only_its_nodes(spark, tmp_path, skew_settings):
     assert rows[0] == rows[1]
 
 
-@pytest.mark.parametrize("name", ["retag_after_change"])
+@pytest.mark.parametrize("name", ["propagate_tags", "retag_after_change"])
 def test_walks_from_many_nodes_use_placed_edges(spark, sf_dir, monkeypatch, name):
     used = []
 
