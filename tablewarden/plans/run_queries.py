@@ -56,7 +56,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             _key_entities(orders, "customer", "o_custkey", "o_orderstatus", "o_orderdate"),
             _key_entities(lines, "order", "l_orderkey", "l_returnflag", "l_shipdate"),
         )
-        arriving.write.mode("append").parquet(landing)
+        arriving.write.mode("append").option("compression", "zstd").parquet(landing)
         files = spark.readStream.schema(ENTITIES).parquet(landing)
         found = ingest.merge_stream(files, target, f"{target}-progress")
     return found.select("guid", "type_name", "qualified_name", "name", "owner", "create_time")

@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.materialize import materialize
@@ -24,6 +24,9 @@ BASE = "base"
 
 KEY = ["type_name", "qualified_name"]
 
+# Guids are hexadecimal hashes, which only a codec that codes by frequency makes smaller.
+CODEC = "zstd"
+
 
 def _rows_below(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table in a folder, empty if there is none yet."""
@@ -76,11 +79,14 @@ def write_part(entities: DataFrame, catalog: str, stream: str, batch: int) -> in
     """
     spark = entities.sparkSession
     known = read_merged(spark, catalog).select(*KEY)
-    batch_rows = materialize(first_by_key(entities).select(*ENTITY_COLUMNS), "batch").frame
+    first = first_by_key(entities).select(*ENTITY_COLUMNS)
+    batch_rows = materialize(first, "batch", codec=CODEC).frame
     repeated = known.join(batch_rows.select(*KEY), KEY, "left_semi").distinct()
-    fresh = materialize(batch_rows.join(repeated, KEY, "left_anti").select(*ENTITY_COLUMNS), "fresh")
-    fresh.frame.write.mode("overwrite").parquet(_part(catalog, stream, batch))
-    return fresh.rows
+    fresh = batch_rows.join(repeated, KEY, "left_anti").select(*ENTITY_COLUMNS)
+    counted = Observation()
+    rows = fresh.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").option("compression", CODEC).parquet(_part(catalog, stream, batch))
+    return counted.get["rows"]
 
 
 def commit(spark: SparkSession, catalog: str, stream: str, batch: int, rows: int) -> None:

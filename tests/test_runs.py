@@ -371,6 +371,23 @@ def test_columns_of_the_sample_graph_have_comments(spark):
 # ---- sizes ------------------------------------------------------------------------------
 
 
+def test_a_batch_is_written_twice_at_most(spark, tmp_path, monkeypatch):
+    labels, written = [], merged.materialize
+
+    def noted(df, label, *args, **more):
+        labels.append(label)
+        return written(df, label, *args, **more)
+
+    monkeypatch.setattr(merged, "materialize", noted)
+    catalog = str(tmp_path / "catalog")
+    names = spark.range(30).select(F.concat(F.lit("t"), (F.col("id") % 20).cast("string")).alias("n"))
+    rows = entities.entity_rows(names, F.lit("hive_table"), "n", "n")
+    assert merged.write_part(rows, catalog, "s", 0) == 20
+    assert labels == ["batch"]
+    assert spark.read.parquet(f"{catalog}/parts/s-0").count() == 20
+    assert all(".zstd." in f.name for f in (tmp_path / "catalog/parts/s-0").glob("part-*"))
+
+
 def test_intervals_are_worked_out_once(spark, sf_dir):
     plan = QUERIES["schema_as_of"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "lineitem" not in plan
