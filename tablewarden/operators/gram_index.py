@@ -54,7 +54,9 @@ def gap_coded(numbers: Column) -> Column:
 
     def run(k: Column) -> Column:
         part = F.slice(numbers, k * RUN + 1, F.lit(RUN))
-        return F.transform(part, lambda x, at: x - F.coalesce(F.get(part, at - 1), F.lit(0)))
+        # The number before is looked up in the whole list: a slice would be cut again for each.
+        before = lambda at: F.when(at > 0, F.get(numbers, k * RUN + at - 1)).otherwise(0)
+        return F.transform(part, lambda x, at: x - before(at))
 
     last = F.floor((F.size(numbers) - 1) / RUN).cast("int")
     return F.transform(F.sequence(F.lit(0), last), run)
@@ -91,7 +93,8 @@ def write_index(
     found = rows.select("_block", "_number", F.inline(pairs)).select(
         "field", "_block", "_number", F.explode("grams").alias("gram")
     )
-    lists = found.groupBy("field", "gram", "_block").agg(
+    # The gram comes first: rows are sorted by it, and few have the same.
+    lists = found.groupBy("gram", "field", "_block").agg(
         F.sort_array(F.collect_list("_number")).alias("numbers")
     )
     lists = lists.select("field", "gram", "_block", gap_coded(F.col("numbers")).alias("gaps"))

@@ -388,6 +388,10 @@ def test_a_batch_is_written_twice_at_most(spark, tmp_path, monkeypatch):
     assert all(".zstd." in f.name for f in (tmp_path / "catalog/parts/s-0").glob("part-*"))
 
 
+def test_gaps_cut_each_run_once():
+    assert str(gram_index.gap_coded(F.col("numbers"))).count("slice(") == 1
+
+
 def test_intervals_are_worked_out_once(spark, sf_dir):
     plan = QUERIES["schema_as_of"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "lineitem" not in plan
